@@ -87,7 +87,7 @@ def day_minutes(day: Column | str, tz: str = MARKET_TZ) -> Column:
 
 def expected_intervals(day: Column | str, resolution_minutes: Column | int, tz: str = MARKET_TZ) -> Column:
     res = F.lit(resolution_minutes) if isinstance(resolution_minutes, int) else resolution_minutes
-    return F.floor(day_minutes(day, tz) / res).cast("int")
+    return F.floor(day_minutes(day, tz) / F.nullif(res, F.lit(0))).cast("int")
 
 
 def as_zoned(instant: Column | str) -> Column:
