@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from zonecast.plans import marts_queries
+from zonecast.plans import features_queries, marts_queries
 
-CATALOG = {**marts_queries.QUERIES}
+CATALOG = {**marts_queries.QUERIES, **features_queries.QUERIES}
