@@ -4,10 +4,10 @@ The forecast for a day is issued on the day before, so prices enter only with an
 day or more; the weather of the target hour comes from the archive for history and from the
 newest snapshot not younger than the last priced day for the rows still to be forecast.
 
-Shuffle keys: everything at hour grain is keyed by (zone, delivery_date, ...), so with
-``spark.sql.requireAllClusterKeysForCoPartition=false`` the target side is exchanged once on
-(zone, delivery_date) and every further join reuses that partitioning. Tables with one row per
-day or per hour of the calendar are broadcast: their size does not grow with the zones.
+Shuffle keys: hour-grain inputs join first, while the target side is narrow, then the two
+day-grain inputs share one exchange on (zone, delivery_date). Tables with one row per day or per
+hour of the calendar are broadcast: their size does not grow with the zones. ``hourly`` and
+``archive`` are read by several branches and should be stored tables, as plans.warehouse does.
 """
 
 from __future__ import annotations
@@ -206,10 +206,10 @@ def feature_table(
         "valid_at", "hour_start"
     )
     return (
-        targets.join(previous_day, ["zone", "delivery_date"], "left")
-        .join(weather_day(weather, tz), ["zone", "delivery_date"], "left")
-        .join(seasonal_lags(prices), ["zone", "delivery_date", "hour_local"], "left")
+        targets.join(seasonal_lags(prices), ["zone", "delivery_date", "hour_local"], "left")
         .join(weather_hour, ["zone", "delivery_date", "hour_start"], "left")
+        .join(previous_day, ["zone", "delivery_date"], "left")
+        .join(weather_day(weather, tz), ["zone", "delivery_date"], "left")
         .join(F.broadcast(day_context), "delivery_date")
         .join(F.broadcast(north), "hour_start", "left")
         .select(

@@ -110,45 +110,37 @@ def _comparable(df: DataFrame, digits: int = 9) -> DataFrame:
     )
 
 
-def leaked_rows(
+def leak_report(
     build: Callable[[DataFrame], DataFrame],
     panel: DataFrame,
-    day: date | Column,
+    day: date,
     factor: float = 10.0,
     label: str = "target_price",
 ) -> DataFrame:
-    """Feature rows of ``day`` that change when only that day's own prices change.
+    """Rebuild the features with one day's prices multiplied and compare, in one row.
 
-    Empty means that no feature looks at the price it is used to forecast.
+    ``leaked_rows`` counts feature rows of that day that changed although only the prices they
+    forecast did: it must be 0. ``next_day_moved`` counts next-day lags that grew: the guard that
+    the shock arrived at all. Both builds are keyed by (zone, hour_start), so one join does.
     """
-    target = F.col("delivery_date") == (F.lit(day) if isinstance(day, date) else day)
-    before = _comparable(build(panel).where(target).drop(label))
-    after = _comparable(build(shocked(panel, day, factor)).where(target).drop(label))
-    return before.exceptAll(after).unionByName(after.exceptAll(before))
-
-
-def leak_report(
-    build: Callable[[DataFrame], DataFrame], panel: DataFrame, day: date | Column, factor: float = 10.0
-) -> DataFrame:
-    """One row: rows checked, rows that leaked, and next-day lags that moved (they must)."""
-    at = F.lit(day) if isinstance(day, date) else day
     keys = ["zone", "hour_start"]
-    before, after = build(panel), build(shocked(panel, day, factor))
-    next_day = F.col("delivery_date") == F.date_add(at, 1)
-    moved = (
-        before.where(next_day)
-        .select(*keys, F.col("lag_1d").alias("lag_before"))
-        .join(after.where(next_day).select(*keys, F.col("lag_1d").alias("lag_after")), keys)
-        .agg(
-            F.count("*").alias("next_day_rows"),
-            F.count_if(F.abs("lag_after") > F.abs("lag_before")).alias("next_day_moved"),
+    window = F.col("delivery_date").between(F.lit(day), F.date_add(F.lit(day), 1))
+
+    def packed(features: DataFrame, name: str) -> DataFrame:
+        rows = _comparable(features.where(window).drop(label))
+        return rows.select(
+            *keys, F.struct(*[c for c in rows.columns if c not in keys]).alias(name)
         )
+
+    pairs = packed(build(panel), "before").join(
+        packed(build(shocked(panel, day, factor)), "after"), keys, "full_outer"
     )
-    checked = before.where(F.col("delivery_date") == at).agg(F.count("*").alias("checked_rows"))
-    leaked = leaked_rows(build, panel, day, factor).agg(F.count("*").alias("leaked_rows"))
-    return moved.select(
-        checked.scalar().alias("checked_rows"),
-        leaked.scalar().alias("leaked_rows"),
-        "next_day_rows",
-        "next_day_moved",
+    on = F.coalesce("before.delivery_date", "after.delivery_date")
+    at, after = on == F.lit(day), on == F.date_add(F.lit(day), 1)
+    moved = F.abs("after.lag_1d") > F.abs("before.lag_1d")
+    return pairs.agg(
+        F.count_if(at).alias("checked_rows"),
+        F.count_if(at & ~F.col("before").eqNullSafe(F.col("after"))).alias("leaked_rows"),
+        F.count_if(after).alias("next_day_rows"),
+        F.count_if(after & moved).alias("next_day_moved"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.operators import features as ft
+from zonecast.operators.marts import weather_fact
 from zonecast.operators.quality import leak_report
 from zonecast.plans import panels
 from zonecast.plans.shape import big, rounded, six
@@ -22,6 +24,7 @@ from zonecast.plans.sqltext import (
     features,
     with_ctes,
 )
+from zonecast.session import materialise
 from zonecast.sources.tables import driver_table
 
 EVENT_YEARS = HOLIDAYS("select unnest([2023, 2024, 2025]) as y")
@@ -208,20 +211,29 @@ WEATHER_SPLICE = with_ctes(
 )
 
 
-def event_features(spark: SparkSession, sf_dir: str, hours: DataFrame | None = None) -> DataFrame:
-    return ft.feature_table(
-        panels.hourly(spark, sf_dir) if hours is None else hours,
-        panels.zones(spark, sf_dir),
-        panels.event_calendar(spark, sf_dir),
-        panels.weather_hourly(spark, sf_dir),
-        panels.weather_snapshots(spark, sf_dir),
-        neighbours=panels.EVENT_NEIGHBOURS,
-        northern=panels.EVENT_NORTH,
-    )
+def event_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The stored hourly panel of the events, and the feature build over such a panel."""
+    hours = materialise(panels.hourly(spark, sf_dir).select(*ft.HOUR_COLUMNS), "hourly")
+    points = materialise(panels.weather_points(spark, sf_dir), "weather-points")
+    days, zones = panels.event_calendar(spark, sf_dir), panels.zones(spark, sf_dir)
+
+    def build(panel: DataFrame) -> DataFrame:
+        return ft.feature_table(
+            panel,
+            zones,
+            days,
+            weather_fact(points),
+            panels.as_snapshots(points),
+            neighbours=panels.EVENT_NEIGHBOURS,
+            northern=panels.EVENT_NORTH,
+        )
+
+    return hours, build
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaped(event_features(spark, sf_dir))
+    hours, build = event_features(spark, sf_dir)
+    return shaped(build(hours))
 
 
 FEATURE_TABLE = with_ctes(
@@ -231,8 +243,8 @@ FEATURE_TABLE = with_ctes(
 
 def feature_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiply one day's prices by ten: its own features must not move, the next day's must."""
-    build = lambda hours: event_features(spark, sf_dir, hours)
-    return leak_report(build, panels.hourly(spark, sf_dir), SHOCK_DAY)
+    hours, build = event_features(spark, sf_dir)
+    return leak_report(build, hours, SHOCK_DAY)
 
 
 FEATURE_LEAK_CHECK = with_ctes(

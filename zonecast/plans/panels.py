@@ -115,17 +115,21 @@ def weather_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_snapshots(points: DataFrame) -> DataFrame:
     """Each local day's covariates read as the forecast issued that day for the next one."""
-    return _event_weather(spark, sf_dir).select(
-        local_date("hour").alias("issue_date"),
+    return points.select(
+        local_date("valid_at").alias("issue_date"),
         "point",
         "zone",
-        F.timestamp_add("DAY", F.lit(1), F.col("hour")).alias("valid_at"),
+        F.timestamp_add("DAY", F.lit(1), F.col("valid_at")).alias("valid_at"),
         *WEATHER,
     )
 
 
+def weather_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_snapshots(weather_points(spark, sf_dir))
+
+
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_fact(weather_points(spark, sf_dir))
 

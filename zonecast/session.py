@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "zonecast") -> SparkSession:
@@ -15,6 +15,7 @@ def local_session(cores: str = "8", app: str = "zonecast") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -43,3 +44,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the scratch folder."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a shared intermediate to the scratch folder and read it back.
+
+    Used where several branches of a plan start from the same expensive rows: they are computed
+    once, lineage is cut, and the files survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

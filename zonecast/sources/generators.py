@@ -63,26 +63,32 @@ SATURDAY_HOLIDAYS = (
 SUNDAY_SUFFIX = "; Söndag"
 
 
-def _easter(year: str) -> Column:
-    """Easter Sunday by the Meeus/Jones/Butcher rule, in integer arithmetic."""
-    golden = f"({year} % 19)"
-    century = f"({year} div 100)"
-    skipped = f"(({century} - ({century} + 8) div 25 + 1) div 3)"
-    moon = f"((19 * {golden} + {century} - {century} div 4 - {skipped} + 15) % 30)"
-    sunday = (
-        f"((32 + 2 * ({century} % 4) + 2 * (({year} % 100) div 4) - {moon} - ({year} % 100) % 4) % 7)"
-    )
-    late = f"(({golden} + 11 * {moon} + 22 * {sunday}) div 451)"
-    march = f"({moon} + {sunday} - 7 * {late} + 114)"
-    return F.expr(
-        f"make_date({year}, cast({march} div 31 as int), cast({march} % 31 + 1 as int))"
+def _with_easter(years: DataFrame) -> DataFrame:
+    """Add Easter Sunday by the Meeus/Jones/Butcher rule, one named step per projection."""
+    return (
+        years.selectExpr(
+            "year", "year % 19 as golden", "year div 100 as century", "year % 100 as in_century"
+        )
+        .selectExpr("*", "(century - (century + 8) div 25 + 1) div 3 as skipped")
+        .selectExpr("*", "(19 * golden + century - century div 4 - skipped + 15) % 30 as moon")
+        .selectExpr(
+            "*",
+            "(32 + 2 * (century % 4) + 2 * (in_century div 4) - moon - in_century % 4) % 7 as shift",
+        )
+        .selectExpr(
+            "year",
+            "moon + shift - 7 * ((golden + 11 * moon + 22 * shift) div 451) + 114 as march",
+        )
+        .selectExpr(
+            "year",
+            "make_date(year, cast(march div 31 as int), cast(march % 31 + 1 as int)) as easter",
+        )
     )
 
 
 def holidays_of(years: DataFrame) -> DataFrame:
     """Public holidays (holiday_date, holiday_name) of every ``year`` in the input."""
-    year = F.col("year").cast("int")
-    easter = _easter("year")
+    year, easter = F.col("year"), F.col("easter")
 
     def entry(day: Column, name: str) -> Column:
         return F.struct(day.alias("holiday_date"), F.lit(name).alias("holiday_name"))
@@ -93,7 +99,7 @@ def holidays_of(years: DataFrame) -> DataFrame:
         entry(F.next_day(F.date_sub(F.make_date(year, F.lit(m), F.lit(d)), 1), "SAT"), n)
         for m, d, n in SATURDAY_HOLIDAYS
     ]
-    named = years.select(F.inline(F.array(*entries)))
+    named = _with_easter(years.select(F.col("year").cast("int"))).select(F.inline(F.array(*entries)))
     on_sunday = iso_dow("holiday_date") == 7
     return named.select(
         "holiday_date",
