@@ -77,22 +77,32 @@ def _mode(values: Column) -> Column:
     return F.aggregate(F.array_sort(values), start, step, lambda acc: acc["best"])
 
 
+def _bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a generator of one row.
+
+    A later filter or projection then reads the computed value. With plain projections the
+    optimizer would copy these long expressions into every place that mentions them.
+    """
+    one = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select("*", F.inline(one))
+
+
 def check_price_days(days: DataFrame, tz: str = MARKET_TZ) -> DataFrame:
     """(zone, day, source, payload) -> the same keys with records, resolution and reason.
 
     ``reason`` is null for a good day. ``records`` are typed and sorted by start.
     """
-    typed = days.withColumn("records", F.array_sort(F.transform("payload", _typed)))
-    starts = typed.withColumn("starts", F.transform("records", lambda r: r["interval_start"]))
+    typed = _bind(days, records=F.array_sort(F.transform("payload", _typed)))
+    starts = _bind(typed, starts=F.transform("records", lambda r: r["interval_start"]))
     gap = F.transform(
         F.slice("starts", F.lit(2), F.greatest(F.size("starts") - 1, F.lit(0))),
         lambda t, i: F.timestamp_diff("SECOND", F.get(F.col("starts"), i), t) / F.lit(60.0),
     )
-    gaps = starts.withColumn("gaps", gap)
-    measured = gaps.withColumn(
-        "resolution_minutes", F.coalesce(_mode(F.col("gaps")).cast("int"), F.lit(0))
+    gaps = _bind(starts, gaps=gap)
+    measured = _bind(
+        gaps, resolution_minutes=F.coalesce(_mode(F.col("gaps")).cast("int"), F.lit(0))
     )
-    return measured.withColumn("reason", _first_failure(tz)).drop("starts", "gaps", "payload")
+    return _bind(measured, reason=_first_failure(tz)).drop("starts", "gaps", "payload")
 
 
 def _first_failure(tz: str) -> Column:
@@ -198,20 +208,18 @@ def check_weather(payloads: DataFrame, registry: DataFrame, n_points: int, *keep
 
     # Points beyond the registry only matter for the count, which is judged first.
     faults = F.filter(F.transform("payload", fault), lambda f: f.isNotNull())
-    return (
-        payloads.withColumn("names", names)
-        .withColumn(
-            "reason",
-            F.when(F.col("payload").isNull(), F.lit("malformed JSON"))
-            .when(
-                F.size("payload") != n_points,
-                F.concat(
-                    F.size("payload").cast("string"), F.lit(f" weather points, expected {n_points}")
-                ),
-            )
-            .when(F.size(faults) > 0, F.get(faults, F.lit(0))),
+    reason = (
+        F.when(F.col("payload").isNull(), F.lit("malformed JSON"))
+        .when(
+            F.size("payload") != n_points,
+            F.concat(
+                F.size("payload").cast("string"), F.lit(f" weather points, expected {n_points}")
+            ),
         )
-        .select(*keep, "payload", "reason")
+        .when(F.size(faults) > 0, F.get(faults, F.lit(0)))
+    )
+    return _bind(payloads.withColumn("names", names), reason=reason).select(
+        *keep, "payload", "reason"
     )
 
 

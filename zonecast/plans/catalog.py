@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
-from zonecast.plans import features_queries, marts_queries
+from zonecast.plans import features_queries, ingest_queries, marts_queries
 
-CATALOG = {**marts_queries.QUERIES, **features_queries.QUERIES}
+CATALOG = {
+    **marts_queries.QUERIES,
+    **ingest_queries.QUERIES,
+    **features_queries.QUERIES,
+}
