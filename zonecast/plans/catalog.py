@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from zonecast.plans import features_queries, forecast_queries, ingest_queries, marts_queries
+from zonecast.plans import features_queries, forecast_queries, ingest_queries, marts_queries, value_queries
 
 CATALOG = {
     **marts_queries.QUERIES,
     **ingest_queries.QUERIES,
     **features_queries.QUERIES,
     **forecast_queries.QUERIES,
+    **value_queries.QUERIES,
 }
