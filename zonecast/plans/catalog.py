@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from zonecast.plans import features_queries, forecast_queries, ingest_queries, marts_queries, value_queries
+from zonecast.plans import (
+    features_queries,
+    forecast_queries,
+    ingest_queries,
+    marts_queries,
+    report_queries,
+    value_queries,
+)
 
 CATALOG = {
     **marts_queries.QUERIES,
@@ -10,4 +17,5 @@ CATALOG = {
     **features_queries.QUERIES,
     **forecast_queries.QUERIES,
     **value_queries.QUERIES,
+    **report_queries.QUERIES,
 }
