@@ -159,9 +159,10 @@ class FittedForest:
         scored = self.model.transform(
             design_matrix(rows, self.zone_codes, self.inputs, *keep)
         ).select(*keep, vector_to_array("leaf").alias("leaf"))
-        width = range(len(self.spec.quantiles))
-        sizes = [1 + max((leaf for t, leaf in self.table if t == tree), default=0)
-                 for tree in range(self.model.getNumTrees)]
+        sizes = [
+            1 + max((leaf for t, leaf in self.table if t == tree), default=0)
+            for tree in range(self.model.getNumTrees)
+        ]
         # [tree][leaf][quantile]; the text folds to one literal when the plan is optimised.
         nested = [
             [self.table.get((tree, leaf)) for leaf in range(size)] for tree, size in enumerate(sizes)
@@ -169,10 +170,12 @@ class FittedForest:
         values = F.from_json(F.lit(json.dumps(nested)), "array<array<array<double>>>")
         found = F.transform("leaf", lambda leaf, t: F.get(F.get(values, t), leaf.cast("int")))
         scored = scored.withColumn("found", found)
-        out = [
-            F.aggregate("found", F.lit(0.0), lambda acc, q, i=i: acc + F.get(q, F.lit(i))) / len(sizes)
-            for i in width
-        ]
+
+        def over_trees(i: int) -> Column:
+            total = F.aggregate("found", F.lit(0.0), lambda acc, q: acc + F.get(q, F.lit(i)))
+            return total / len(sizes)
+
+        out = [over_trees(i) for i in range(len(self.spec.quantiles))]
         # A single quantile stands for all three.
         three = out * 3 if len(out) == 1 else ordered(*out)
         return scored.select(*keep, *[q.alias(c) for q, c in zip(three, QCOLS, strict=True)])

@@ -5,9 +5,11 @@ from __future__ import annotations
 from zonecast.plans import (
     features_queries,
     forecast_queries,
+    forest_queries,
     ingest_queries,
     marts_queries,
     report_queries,
+    stream_queries,
     value_queries,
 )
 
@@ -18,4 +20,6 @@ CATALOG = {
     **forecast_queries.QUERIES,
     **value_queries.QUERIES,
     **report_queries.QUERIES,
+    **stream_queries.QUERIES,
+    **forest_queries.QUERIES,
 }
