@@ -94,8 +94,8 @@ def design_matrix(
 
 
 def matrix_names(inputs: Sequence[str]) -> list[str]:
-    nullable = [c for c in inputs if c not in CALENDAR_INPUTS]
-    return ["zone", *inputs, *[f"{c} missing" for c in nullable]]
+    """The input behind each element of ``x``; a missing flag stands for its input."""
+    return ["zone", *inputs, *[c for c in inputs if c not in CALENDAR_INPUTS]]
 
 
 @dataclass(frozen=True)
@@ -181,11 +181,13 @@ class FittedForest:
         return scored.select(*keep, *[q.alias(c) for q, c in zip(three, QCOLS, strict=True)])
 
     def importance(self) -> DataFrame:
-        """Share of each input in the forest's splits, largest first."""
+        """Share of each input in the forest's splits, largest first, its missing flag included."""
         spark = SparkSession.active()
-        pairs = list(
-            zip(matrix_names(self.inputs), self.model.featureImportances.toArray().tolist(), strict=True)
-        )
-        return spark.createDataFrame(pairs, "input string, importance double").orderBy(
-            F.desc("importance"), "input"
-        )
+        shares: dict[str, float] = {}
+        for name, value in zip(
+            matrix_names(self.inputs), self.model.featureImportances.toArray().tolist(), strict=True
+        ):
+            shares[name] = shares.get(name, 0.0) + value
+        return spark.createDataFrame(
+            list(shares.items()), "input string, importance double"
+        ).orderBy(F.desc("importance"), "input")

@@ -41,7 +41,8 @@ def forecast_live(
         .withColumn("interval_margin", F.coalesce("interval_margin", F.lit(0.0)))
         .withColumns(apply_margin(F.col("interval_margin")))
         .select(
-            *keep,
+            *keep[:3],
+            F.col("hour_local").cast("int"),
             "weather_source",
             "q10",
             "q50",

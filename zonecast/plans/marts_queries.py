@@ -305,18 +305,39 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_VIOLATIONS = {
+    "interval_zone_not_null": "select 1 from intervals where zone is null",
+    "interval_day_not_null": "select 1 from intervals where delivery_date is null",
+    "interval_price_not_null": "select 1 from intervals where price_sek_kwh is null",
+    "interval_resolution_accepted": "select 1 from intervals where resolution_minutes not in (15, 60)",
+    "hourly_intervals_accepted": "select 1 from hours where n not in (1, 4)",
+    "calendar_day_not_null": "select 1 from days where date_day is null",
+    "zone_not_null": "select 1 from zones where zone is null",
+    "zone_unique": "select 1 from zones group by zone having count(*) > 1",
+    "calendar_day_unique": "select 1 from days group by date_day having count(*) > 1",
+    "interval_unique": "select 1 from intervals group by zone, interval_start having count(*) > 1",
+    "hourly_unique": "select 1 from hours group by zone, hour_start having count(*) > 1",
+    "weather_unique": "select 1 from weather group by zone, valid_at having count(*) > 1",
+    "interval_zone_known": "select 1 from intervals where zone not in (select zone from zones)",
+    "interval_day_known": "select 1 from intervals where delivery_date not in (select date_day from days)",
+    "complete_days": f"""select 1 from (
+        select zone, delivery_date as date_day, count(*) * 15 as filled from intervals group by all)
+        where filled <> {_DAY_MINUTES}""",
+    "weather_coverage": """select 1 from (
+        select count(*) as n, count(w.zone) as found from hours as h
+        left join weather as w on w.zone = h.zone and w.valid_at = h.hour_start) where found < 0.99 * n""",
+}
 DQ_RESULTS = with_ctes(
     INTERVALS,
     "hours as (select zone, date_trunc('hour', interval_start) as hour_start, count(*) as n from intervals group by all)",
-    select=f"""
-    select * from (values ('interval_zone_not_null', 0), ('interval_day_not_null', 0), ('interval_price_not_null', 0),
-      ('interval_resolution_accepted', 0), ('calendar_day_not_null', 0), ('zone_not_null', 0), ('zone_unique', 0),
-      ('calendar_day_unique', 0), ('interval_unique', 0), ('hourly_unique', 0), ('weather_unique', 0),
-      ('interval_zone_known', 0), ('interval_day_known', 0), ('weather_coverage', 0)) as t(test, failures)
-    union all select 'hourly_intervals_accepted', count(*) filter (where n not in (1, 4)) from hours
-    union all select 'complete_days', count(*) from (
-      select zone, delivery_date as date_day, count(*) * 15 as filled from intervals group by all)
-      where filled <> {_DAY_MINUTES}""",
+    "zones as (select distinct event_type as zone from events)",
+    "weather as (select event_type as zone, date_trunc('hour', ts) as valid_at from events group by all)",
+    """days as (
+        select cast(unnest(generate_series(cast(min(delivery_date) as timestamp),
+                 cast(max(delivery_date) + 7 as timestamp), interval 1 day)) as date) as date_day from intervals)""",
+    select=" union all ".join(
+        f"select '{name}' as test, count(*) as failures from ({rows})" for name, rows in _VIOLATIONS.items()
+    ),
 )
 
 

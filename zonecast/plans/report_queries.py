@@ -31,7 +31,10 @@ def lag_mean() -> tuple:
 
 
 def issued(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast of the day after the last priced one, issued at ten local time the day before."""
+    """Forecast of the day after the last priced one, issued at ten local time the day before.
+
+    Stored first, as an issued log is: the report reads it several times and must see one value.
+    """
     hours = materialise(panels.hourly(spark, sf_dir), "hourly")
     previous = ft.daily_profile(hours).select(
         "zone",
@@ -47,7 +50,7 @@ def issued(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     keep = ("zone", "delivery_date", "hour_start", "hour_local", "naive_day")
     ten = F.timestamp_add("HOUR", F.lit(10), day_start_utc(F.date_sub("delivery_date", 1)))
-    return predict_long(rows, {"lag_mean": lag_mean}, *keep).select(
+    log = predict_long(rows, {"lag_mean": lag_mean}, *keep).select(
         *keep,
         "q10",
         "q50",
@@ -55,6 +58,7 @@ def issued(spark: SparkSession, sf_dir: str) -> DataFrame:
         ten.alias("issued_at"),
         F.lit("lag-mean-v1").alias("model_version"),
     )
+    return materialise(log, "issued")
 
 
 _ISSUED = f"""last as (select max(delivery_date) as d from hourly),

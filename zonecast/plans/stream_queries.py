@@ -125,7 +125,8 @@ def stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     write = jobs.validate_batches(f"{root}/prices", f"{root}/status")
     jobs.each_batch_available(days, write, f"{root}/state")
     valid = (
-        spark.read.parquet(f"{root}/prices")
+        spark.read.schema("interval_start timestamp_ntz, zone string, delivery_date date")
+        .parquet(f"{root}/prices")
         .groupBy("zone", F.col("delivery_date").alias("day"))
         .agg(F.count("*").alias("intervals"))
     )

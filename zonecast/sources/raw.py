@@ -46,16 +46,17 @@ def read_price_days(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_weather_archive(spark: SparkSession, root: str) -> DataFrame:
-    """``root/<month>.json`` -> (name, source, payload)."""
+    """``root/<month>.json`` -> (name, source, modified, payload)."""
     return _files(spark, f"{root}/*.json").select(
         F.regexp_extract("source", _STEM, 1).alias("name"),
         "source",
+        "modified",
         F.from_json("value", POINTS_PAYLOAD).alias("payload"),
     )
 
 
 def read_weather_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """``root/<issue day>.json`` -> (name, issue_date, fetched_at, source, payload)."""
+    """``root/<issue day>.json`` -> (name, issue_date, fetched_at, source, modified, payload)."""
     doc = F.from_json("value", SNAPSHOT_PAYLOAD)
     return (
         _files(spark, f"{root}/*.json")
@@ -65,6 +66,7 @@ def read_weather_snapshots(spark: SparkSession, root: str) -> DataFrame:
             F.regexp_extract("source", _STEM, 1).try_cast("date").alias("issue_date"),
             parse_instant(F.col("doc.fetched_at")).alias("fetched_at"),
             "source",
+            "modified",
             F.col("doc.points").alias("payload"),
         )
     )
