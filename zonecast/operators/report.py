@@ -97,7 +97,9 @@ def occurrence_label() -> Column:
 def cheapest_hours(hours: DataFrame, price: str, k: int = CHEAPEST) -> DataFrame:
     """The k cheapest hours of every zone and day; of equals the earlier."""
     place = F.row_number().over(
-        Window.partitionBy("zone", "delivery_date").orderBy(price, "hour_start")
+        Window.partitionBy("zone", "delivery_date").orderBy(
+            F.col(price).asc_nulls_last(), "hour_start"
+        )
     )
     return hours.withColumn("place", place).where(F.col("place") <= k)
 
@@ -112,7 +114,9 @@ def timetable(issued: DataFrame, bins: int = PRICE_BINS, k: int = CHEAPEST) -> D
     day = newest(issued)
     cuts = price_cuts(day, "q50", bins).agg(F.collect_list("cut")).scalar()
     place = F.row_number().over(
-        Window.partitionBy("zone", "delivery_date").orderBy("q50", "hour_start")
+        Window.partitionBy("zone", "delivery_date").orderBy(
+            F.col("q50").asc_nulls_last(), "hour_start"
+        )
     )
     return day.withColumn("cuts", cuts).select(
         "zone",
@@ -121,7 +125,7 @@ def timetable(issued: DataFrame, bins: int = PRICE_BINS, k: int = CHEAPEST) -> D
         occurrence_label().alias("label"),
         "q50",
         F.size(F.filter("cuts", lambda c: F.col("q50") >= c)).alias("bin"),
-        (place <= k).alias("cheap"),
+        ((place <= k) & F.col("q50").isNotNull()).alias("cheap"),
     )
 
 

@@ -186,14 +186,14 @@ TIMETABLE = with_ctes(
     HOURLY,
     _ISSUED,
     """cuts as (
-        select q50 as cut from (select q50, row_number() over (order by q50) - 1 as place, count(*) over () as n from issued),
+        select q50 as cut from (select q50, row_number() over (order by q50) - 1 as place, count(*) over () as n from issued where q50 is not null),
           (select unnest(range(1, 7)) as i) where place = least(n - 1, cast(floor(i / 7 * n) as bigint)))""",
     select=f"""
     select zone, delivery_date, hour_start,
            lpad(cast(hour_local as varchar), 2, '0')
              || case when row_number() over (partition by zone, hour_local order by hour_start) > 1 then 'b' else '' end as label,
            {R6('q50')} as q50, (select count(*) from cuts where cut <= q50) as bin,
-           row_number() over (partition by zone order by q50, hour_start) <= 3 as cheap
+           q50 is not null and row_number() over (partition by zone order by q50 nulls last, hour_start) <= 3 as cheap
     from issued""",
 )
 
