@@ -30,9 +30,13 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Values missing in the parent table; nulls pass."""
+    """Values missing in the parent table, with their count; nulls pass.
+
+    Rows are counted per value before the join, so a value that fills the table is one row there.
+    """
     keys = parent.select(F.col(field).alias(column)).distinct()
-    return df.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return values.join(keys, column, "left_anti")
 
 
 def accepted_values(df: DataFrame, column: str, *values: object) -> DataFrame:

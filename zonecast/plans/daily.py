@@ -49,7 +49,7 @@ def forecast_live(
             "q90",
             "interval_margin",
             "naive_day",
-            F.lit(at).cast("timestamp_ntz").alias("issued_at"),
+            F.lit(at.isoformat(" ")).cast("timestamp_ntz").alias("issued_at"),
             F.lit(MODEL_VERSION).alias("model_version"),
             trained.alias("trained_through"),
         )

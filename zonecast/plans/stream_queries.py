@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +84,7 @@ STREAM_SCORE = with_ctes(
       on l.zone = h.zone and l.delivery_date = h.delivery_date - 1 and l.hour_local = h.hour_local""",
 )
 
-HALFWAY = datetime(2024, 1, 15)
+HALFWAY = "2024-01-15 00:00:00"
 
 
 def stream_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:

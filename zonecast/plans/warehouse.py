@@ -231,5 +231,31 @@ def build(
     return stats, build_features(spark, out)
 
 
+# Marts are stored tables; staging and facts read from files are views over them.
+TABLES = (
+    "fct_price_hourly",
+    "fct_weather_hourly",
+    "dim_date",
+    "mart_daily_zone_stats",
+    "feat_price_hourly",
+)
+
+
+def register_views(spark: SparkSession, out: str) -> None:
+    """Temporary views over the warehouse, for ``sources.tables.query``."""
+    for name in TABLES:
+        spark.read.parquet(f"{out}/{name}").createOrReplaceTempView(name)
+    prices = tables.scan_prices(spark, f"{out}/prices")
+    prices.createOrReplaceTempView("stg_prices")
+    marts.interval_fact(prices).createOrReplaceTempView("fct_price_interval")
+    zone_table(spark).createOrReplaceTempView("dim_zone")
+    tables.scan_weather_archive(spark, f"{out}/weather_archive").createOrReplaceTempView(
+        "stg_weather_archive"
+    )
+    tables.scan_weather_snapshots(spark, f"{out}/weather_forecast").createOrReplaceTempView(
+        "stg_weather_forecast"
+    )
+
+
 def interval_prices(spark: SparkSession, out: str, first: date, last: date) -> DataFrame:
     return tables.load_interval_prices(tables.scan_prices(spark, f"{out}/prices"), first, last)

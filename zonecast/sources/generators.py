@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.config import WEATHER_POINTS, ZONES
+from zonecast import schemas
+from zonecast.config import WEATHER_POINTS, ZONE_ROWS
 from zonecast.functions.clock import iso_dow, month_start
 
 
@@ -129,8 +130,9 @@ def calendar(days: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     )
 
 
-def zone_table(spark: SparkSession, zones: tuple[str, ...] = ZONES) -> DataFrame:
-    return spark.createDataFrame([(z,) for z in zones], "zone string")
+def zone_table(spark: SparkSession, rows: tuple = ZONE_ROWS) -> DataFrame:
+    """Zone dimension: zone, its name, largest city and description."""
+    return spark.createDataFrame(list(rows), schemas.ZONES_SEED)
 
 
 def point_registry(spark: SparkSession, points: tuple = WEATHER_POINTS) -> DataFrame:
