@@ -1,7 +1,8 @@
 """The given tables seen as panels: which columns play zone, time, price and covariates.
 
-Values of ``events`` and ``orders`` carry two decimals. They are summed as decimals, so that a
-panel is the same bit for bit however the rows were partitioned or a task was retried.
+Values of ``events``, ``orders`` and ``lineitem`` carry two decimals. They are summed as whole
+hundredths, so that a panel is the same bit for bit however the rows were partitioned or a task
+was retried. (A long sum of rint is also several times faster than a decimal one.)
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ EVENT_NORTH = ("click", "error")
 
 
 def exact_mean(value: str) -> Column:
-    return F.sum(F.col(value).cast("decimal(18,2)")).cast("double") / F.count("*")
+    return F.sum(F.rint(F.col(value) * 100).cast("bigint")).cast("double") / 100.0 / F.count("*")
 
 
 def market_intervals(spark: SparkSession, sf_dir: str, minutes: int = 15) -> DataFrame:

@@ -40,7 +40,7 @@ def run(
     start: date = BACKTEST_START,
     forests: dict[str, QuantileForest] | None = None,
     inputs: dict[str, list[str]] | None = None,
-    parallel_folds: int = 4,
+    parallel_folds: int = 8,
 ) -> DataFrame:
     """Raw predictions of every model for every month from ``start``.
 
