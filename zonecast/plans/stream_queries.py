@@ -27,7 +27,8 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("price_sek_kwh"),
     )
     out = scratch_path(spark, "stream-hourly")
-    jobs.append_available(jobs.hourly_rollup(events), out, f"{out}-state")
+    parts = jobs.landed_partitions(spark, f"{sf_dir}/events.parquet")
+    jobs.append_available(jobs.hourly_rollup(events), out, f"{out}-state", parts)
     return spark.read.parquet(out).select(
         "zone",
         "hour_start",
@@ -68,7 +69,8 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.landing(spark, f"{root}/forecasts", "zone string, hour_start timestamp_ntz, q10 double, q50 double, q90 double"),
         jobs.landing(spark, f"{root}/actuals", "zone string, hour_start timestamp_ntz, price_sek_kwh double"),
     )
-    jobs.append_available(scored, f"{root}/scored", f"{root}/state")
+    parts = jobs.landed_partitions(spark, f"{root}/forecasts", f"{root}/actuals")
+    jobs.append_available(scored, f"{root}/scored", f"{root}/state", parts)
     return spark.read.parquet(f"{root}/scored").select(
         "zone", "hour_start", *six("actual", "error", "inside")
     )

@@ -31,16 +31,42 @@ def landing(
     return reader.parquet(path)
 
 
-def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run the stream over what has landed and append its output to ``path``."""
-    query = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def landed_partitions(spark: SparkSession, *paths: str, least: int = 8) -> int:
+    """Scan partitions of what has landed, between ``least`` and the session's shuffle setting.
+
+    The state of a new stream is split this way: adaptive execution does not merge state
+    partitions, and hundreds of nearly empty ones cost more than the data.
+    """
+    scans = sum(spark.read.parquet(p).rdd.getNumPartitions() for p in paths)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(least, scans))
+
+
+def append_available(
+    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+) -> None:
+    """Run the stream over what has landed and append its output to ``path``.
+
+    ``state_partitions`` counts for the first run of a checkpoint, which keeps its number. A
+    stream that will grow should be started with the number its full state needs.
+    """
+    spark = stream.sparkSession
+    setting = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(setting)
+    if state_partitions:
+        spark.conf.set(setting, state_partitions)
+    try:
+        # The stream takes its settings with it when it starts.
+        query = (
+            stream.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(setting, usual)
     query.awaitTermination()
 
 
