@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonecast.functions.clock import local_date
 from zonecast.operators import features as ft
 from zonecast.operators.marts import weather_fact
 from zonecast.operators.quality import leak_report
@@ -45,7 +46,7 @@ def shaped(df: DataFrame) -> DataFrame:
 
 
 def seasonal_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = panels.hourly(spark, sf_dir)
+    hours = panels.stored_hourly(spark, sf_dir)
     lagged = hours.join(ft.seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
     return lagged.select("zone", "hour_start", *big("hour_local"), *six("lag_1d", "lag_2d", "lag_7d"))
 
@@ -193,10 +194,9 @@ SNAPSHOT_AS_OF = f"""
 
 
 def weather_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cutoff = ft.last_day(panels.hourly(spark, sf_dir))
-    spliced = ft.splice_weather(
-        panels.weather_hourly(spark, sf_dir), panels.weather_snapshots(spark, sf_dir), cutoff
-    )
+    points = materialise(panels.weather_points(spark, sf_dir), "weather-points")
+    cutoff = ft.last_day(points.select(local_date("valid_at").alias("delivery_date")))
+    spliced = ft.splice_weather(weather_fact(points), panels.as_snapshots(points), cutoff)
     return spliced.select("zone", "valid_at", "weather_source", *six(*ft.WEATHER_COLUMNS))
 
 
@@ -215,7 +215,7 @@ def event_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Callabl
     """The stored hourly panel of the events, and the feature build over such a panel."""
     hours = materialise(panels.hourly(spark, sf_dir).select(*ft.HOUR_COLUMNS), "hourly")
     points = materialise(panels.weather_points(spark, sf_dir), "weather-points")
-    days, zones = panels.event_calendar(spark, sf_dir), panels.zones(spark, sf_dir)
+    days, zones = panels.calendar_of(hours), panels.zones_of(hours)
 
     def build(panel: DataFrame) -> DataFrame:
         return ft.feature_table(

@@ -18,15 +18,15 @@ from zonecast.operators.models import naive_day, naive_week, predict_long
 from zonecast.plans import panels
 from zonecast.plans.shape import big, six
 from zonecast.plans.sqltext import DAILY_PANEL, LOCAL, R6, with_ctes
+from zonecast.session import materialise
 from zonecast.sources.tables import driver_table
 
 START = date(1995, 3, 1)
 MIN_DAYS = 30
 
 
-def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_rows(panel: DataFrame) -> DataFrame:
     """Daily targets with the inputs of the naive models, and one unlabelled day per zone."""
-    panel = panels.daily_panel(spark, sf_dir)
     ahead = panel.select("zone").distinct().select(
         "zone", F.date_add(ft.last_day(panel), 1).alias("delivery_date")
     ).select(
@@ -59,11 +59,11 @@ MODELS = {"naive_day": naive_day, "naive_week": naive_week, "band": band}
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled days that every model can predict."""
-    rows = ft.labelled(order_rows(spark, sf_dir)).where(
+    """Labelled days that every model can predict, stored as a backtest stores them."""
+    rows = ft.labelled(order_rows(panels.stored_days(spark, sf_dir))).where(
         (F.col("delivery_date") >= F.lit(START)) & band()[1].isNotNull()
     )
-    return predict_long(rows, MODELS)
+    return materialise(predict_long(rows, MODELS), "predictions")
 
 
 # One slot per day: the day's only price is also its mean, the fallback of the naive day.
@@ -112,7 +112,7 @@ calibrated as (
 
 def naive_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both naive models for every day, the coming one included."""
-    rows = order_rows(spark, sf_dir)
+    rows = order_rows(panels.stored_days(spark, sf_dir))
     long = predict_long(rows, {"naive_day": naive_day, "naive_week": naive_week})
     return long.select("zone", "delivery_date", "model", *six("target_price", "q10", "q50", "q90"))
 
@@ -284,13 +284,13 @@ EVALUATION_PERIOD = with_ctes(
 )
 
 
-def issued_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def issued_forecasts(spark: SparkSession, sf_dir: str, panel: DataFrame) -> DataFrame:
     """The band forecast of every day, the coming one included, as an issued log.
 
     A day's forecast is issued the day before, at 08:00 UTC and half an hour later for every
     order that came in on the day before.
     """
-    rows = order_rows(spark, sf_dir).where(band()[1].isNotNull())
+    rows = order_rows(panel).where(band()[1].isNotNull())
     arrivals = (
         driver_table(spark, sf_dir, "orders")
         .groupBy(F.date_add(F.col("o_orderdate").cast("date"), 1).alias("delivery_date"))
@@ -325,8 +325,9 @@ record as (
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    issued = issued_forecasts(spark, sf_dir)
-    return issued, sc.with_actuals(issued, panels.daily_panel(spark, sf_dir))
+    panel = panels.stored_days(spark, sf_dir)
+    issued = materialise(issued_forecasts(spark, sf_dir, panel), "issued")
+    return issued, sc.with_actuals(issued, panel)
 
 
 def track_record(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = ft.feature_table(
         panel,
         panel.select("zone").distinct(),
-        panels.order_calendar(spark, sf_dir),
+        panels.calendar_of(panel),
         weather_fact(points),
         panels.as_snapshots(points),
         neighbours=NEIGHBOURS,

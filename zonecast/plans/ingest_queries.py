@@ -308,7 +308,7 @@ WEATHER_QUARANTINE = with_ctes(
 
 def missing_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone-days to fetch when a day counts as landed once it has events in at least 20 hours."""
-    hours = panels.hourly(spark, sf_dir)
+    hours = panels.stored_hourly(spark, sf_dir)
     landed = (
         hours.groupBy("zone", F.col("delivery_date").alias("day"))
         .agg(F.count("*").alias("n"))
@@ -316,7 +316,7 @@ def missing_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bounds = hours.agg(F.min("delivery_date").alias("first"), F.max("delivery_date").alias("last"))
     return ingest.price_worklist(
-        panels.zones(spark, sf_dir),
+        panels.zones_of(hours),
         landed,
         start=bounds.select("first").scalar(),
         today=bounds.select("last").scalar(),

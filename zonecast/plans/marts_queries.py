@@ -11,7 +11,7 @@ from zonecast.operators.marts import daily_zone_stats, hourly_fact
 from zonecast.plans import panels
 from zonecast.plans.shape import big, six
 from zonecast.plans.sqltext import HOLIDAYS, INTERVALS, LOCAL, R6, UTC, with_ctes
-from zonecast.sources.generators import calendar
+from zonecast.session import materialise
 from zonecast.sources.tables import driver_table
 
 
@@ -40,7 +40,8 @@ HOURLY_ROLLUP = with_ctes(
 
 
 def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = daily_zone_stats(panels.intervals(spark, sf_dir), panels.event_calendar(spark, sf_dir))
+    quarters = panels.stored_intervals(spark, sf_dir)
+    stats = daily_zone_stats(quarters, panels.calendar_of(quarters))
     return stats.select(
         "delivery_date",
         "zone",
@@ -75,13 +76,9 @@ DAILY_STATS = with_ctes(
 
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the span of the orders, with the orders of each day."""
-    orders = (
-        driver_table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_orderdate").cast("date").alias("date_day"))
-        .agg(F.count("*").alias("orders"))
-    )
+    orders = materialise(_order_days(spark, sf_dir), "order-counts")
     return (
-        panels.order_calendar(spark, sf_dir)
+        panels.calendar_of(orders.withColumnRenamed("date_day", "delivery_date"))
         .join(orders, "date_day", "left")
         .select(
             "date_day",
@@ -198,7 +195,7 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours without the same hour of yesterday, a missing value by construction of the data."""
     from zonecast.operators.features import seasonal_lags
 
-    hours = panels.hourly(spark, sf_dir)
+    hours = panels.stored_hourly(spark, sf_dir)
     lagged = hours.join(seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
     return quality.not_null(lagged, "lag_1d", F.col("hour_local") != 2).select(
         "zone", "delivery_date", "hour_start", *big("hour_local")
@@ -263,11 +260,11 @@ DQ_ACCEPTED = with_ctes(
 
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The warehouse test suite over the panel: (test, failures)."""
-    intervals = panels.intervals(spark, sf_dir)
+    intervals = panels.stored_intervals(spark, sf_dir)
     hours = hourly_fact(intervals)
-    days = panels.event_calendar(spark, sf_dir)
-    zones = panels.zones(spark, sf_dir)
-    weather = panels.weather_hourly(spark, sf_dir)
+    days = panels.calendar_of(intervals)
+    zones = panels.zones_of(intervals)
+    weather = materialise(panels.weather_hourly(spark, sf_dir), "weather")
     missing = lambda c: F.col(c).isNull()
     return quality.suite(
         quality.row_checks(

@@ -17,6 +17,7 @@ from zonecast.functions.clock import (
     plus_minutes,
 )
 from zonecast.operators.marts import hourly_fact, interval_fact, weather_fact
+from zonecast.session import materialise
 from zonecast.sources.generators import calendar, days_between
 from zonecast.sources.tables import driver_table
 
@@ -63,22 +64,27 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_fact(intervals(spark, sf_dir))
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return driver_table(spark, sf_dir, "events").select(F.col("event_type").alias("zone")).distinct()
+def stored_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval fact as a stored table, for queries that read it more than once."""
+    return materialise(intervals(spark, sf_dir), "intervals")
 
 
-def event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar from the first day of the events to a week after the last."""
-    bounds = driver_table(spark, sf_dir, "events").agg(
-        local_date(F.min("ts")).alias("first"), local_date(F.max("ts")).alias("last")
-    )
-    return calendar(days_between(bounds, "first", "last", extra_days=7))
+def stored_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(hourly(spark, sf_dir), "hourly")
+
+
+def stored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(daily_panel(spark, sf_dir), "order-days")
 
 
-def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = driver_table(spark, sf_dir, "orders").agg(
-        F.min("o_orderdate").cast("date").alias("first"),
-        F.max("o_orderdate").cast("date").alias("last"),
+def zones_of(panel: DataFrame) -> DataFrame:
+    return panel.select("zone").distinct()
+
+
+def calendar_of(panel: DataFrame) -> DataFrame:
+    """Calendar from the first day of a panel to a week after the last."""
+    bounds = panel.agg(
+        F.min("delivery_date").alias("first"), F.max("delivery_date").alias("last")
     )
     return calendar(days_between(bounds, "first", "last", extra_days=7))
 
@@ -127,10 +133,6 @@ def as_snapshots(points: DataFrame) -> DataFrame:
     )
 
 
-def weather_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_snapshots(weather_points(spark, sf_dir))
-
-
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_fact(weather_points(spark, sf_dir))
 

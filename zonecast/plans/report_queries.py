@@ -35,14 +35,14 @@ def issued(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Stored first, as an issued log is: the report reads it several times and must see one value.
     """
-    hours = materialise(panels.hourly(spark, sf_dir), "hourly")
+    hours = panels.stored_hourly(spark, sf_dir)
     previous = ft.daily_profile(hours).select(
         "zone",
         F.date_add("delivery_date", 1).alias("delivery_date"),
         F.col("day_mean").alias("prev_day_mean"),
     )
     rows = (
-        ft.next_day_hours(hours, panels.zones(spark, sf_dir))
+        ft.next_day_hours(hours, panels.zones_of(hours))
         .withColumnRenamed("price_sek_kwh", "target_price")
         .join(ft.seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
         .join(previous, ["zone", "delivery_date"], "left")
@@ -103,7 +103,7 @@ TOMORROW = with_ctes(
 
 
 def latest_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.latest_actual(panels.intervals(spark, sf_dir)).select(
+    return report.latest_actual(panels.stored_intervals(spark, sf_dir)).select(
         "delivery_date", "zone", *big("resolution_minutes"), "interval_start", "start_local", *six("price")
     )
 
@@ -119,14 +119,14 @@ LATEST_ACTUAL = with_ctes(
 
 def recent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 120 days of the order panel, one interval per day."""
-    panel = panels.daily_panel(spark, sf_dir).select(
+    panel = panels.stored_days(spark, sf_dir).select(
         "zone",
         "delivery_date",
         F.col("hour_start").alias("interval_start_local"),
         (F.col("price_sek_kwh") - 2.5).alias("price_sek_kwh"),
         F.lit(1440).alias("resolution_minutes"),
     )
-    stats = daily_zone_stats(panel, panels.order_calendar(spark, sf_dir))
+    stats = daily_zone_stats(panel, panels.calendar_of(panel))
     return report.recent_days(stats).select(
         "delivery_date", "zone", *six("mean_price", "min_price", "max_price", "intraday_spread"),
         *big("negative_intervals"),
@@ -161,7 +161,7 @@ CHEAPEST_K_HOURS = with_ctes(
 
 def price_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut points between seven equally filled bins of all quarter-hour prices."""
-    cuts = report.price_cuts(panels.intervals(spark, sf_dir), "price_sek_kwh")
+    cuts = report.price_cuts(panels.stored_intervals(spark, sf_dir), "price_sek_kwh")
     return cuts.select(*big("position"), *six("cut"))
 
 
@@ -199,7 +199,7 @@ TIMETABLE = with_ctes(
 
 
 def aligned_day_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.aligned_actual(issued(spark, sf_dir), panels.intervals(spark, sf_dir)).select(
+    return report.aligned_actual(issued(spark, sf_dir), panels.stored_intervals(spark, sf_dir)).select(
         "zone", "hour_start", *big("hour_local"), *six("q10", "q50", "q90", "day_before")
     )
 
@@ -217,7 +217,7 @@ ALIGNED_DAY_COMPARE = with_ctes(
 
 
 def zone_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards = report.zone_cards(issued(spark, sf_dir), panels.intervals(spark, sf_dir))
+    cards = report.zone_cards(issued(spark, sf_dir), panels.stored_intervals(spark, sf_dir))
     return cards.select("zone", *six("forecast_mean", "actual_mean"))
 
 
@@ -235,7 +235,7 @@ ZONE_CARDS = with_ctes(
 
 def pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     health = report.pipeline_health(
-        panels.intervals(spark, sf_dir),
+        panels.stored_intervals(spark, sf_dir),
         ingest_queries.quarantine_reasons(spark, sf_dir),
         marts_queries.dq_results(spark, sf_dir),
     )
@@ -271,7 +271,7 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first run sees prices ten per cent too high; the second run repairs the newest dates of
     the table and adds the days after them. Older dates keep the first run's prices.
     """
-    quarters = materialise(panels.intervals(spark, sf_dir), "intervals")
+    quarters = panels.stored_intervals(spark, sf_dir)
     path = scratch_path(spark, "hourly-merge")
     first = quarters.where(F.col("delivery_date") <= F.lit(FIRST_RUN)).withColumn(
         "price_sek_kwh", F.col("price_sek_kwh") * 1.1

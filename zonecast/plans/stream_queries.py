@@ -49,7 +49,7 @@ STREAM_HOURLY = f"""
 
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecasts (the same hour of the day before) scored when the hourly prices arrive."""
-    hours = panels.hourly(spark, sf_dir)
+    hours = panels.stored_hourly(spark, sf_dir)
     forecasts = (
         hours.join(seasonal_lags(hours, (1,)), ["zone", "delivery_date", "hour_local"])
         .where(F.col("lag_1d").isNotNull())

@@ -14,7 +14,6 @@ from zonecast.operators.models import naive_day, predict_long
 from zonecast.plans import panels
 from zonecast.plans.shape import rounded, six
 from zonecast.plans.sqltext import HOURLY, INTERVALS, R6, with_ctes
-from zonecast.session import materialise
 
 _HOME = ", ".join(str(h) for h in EV().home_hours)
 
@@ -70,8 +69,10 @@ EV_ON_ARRIVAL = with_ctes(
 
 def spread_to_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plan on hourly mean prices, carried out on the quarter hours of each hour."""
-    quarters = panels.intervals(spark, sf_dir).withColumn("hour_start", hour_floor("interval_start"))
-    hours = panels.hourly(spark, sf_dir)
+    quarters = panels.stored_intervals(spark, sf_dir).withColumn(
+        "hour_start", hour_floor("interval_start")
+    )
+    hours = hourly_fact(quarters)
     home = F.col("hour_local").isin(*EV().home_hours)
     plan = schedule.cheapest_first(hours, "price_sek_kwh", home, F.lit(1.0), order="hour_start")
     return schedule.spread(quarters, plan).select(
@@ -119,7 +120,7 @@ def _predictions(quarters: DataFrame) -> DataFrame:
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quarters = materialise(panels.intervals(spark, sf_dir), "intervals")
+    quarters = panels.stored_intervals(spark, sf_dir)
     return value.daily_values(_predictions(quarters), quarters, "blend")
 
 
