@@ -8,8 +8,6 @@ of days.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -183,19 +181,19 @@ def battery_plans(
 def battery_plan(battery: Battery = Battery()):
     """Column function (prices array, step hours) -> struct<charge, discharge>."""
 
+    # Scalar form, so that several plans of one row share a single pass through Python.
     @F.pandas_udf("struct<charge:array<double>,discharge:array<double>>")
-    def plan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for prices, step_hours in batches:
-            charge, discharge = [], []
-            for at in range(0, len(prices), _BLOCK):
-                c, d = battery_plans(
-                    [np.asarray(p, dtype=float) for p in prices.iloc[at : at + _BLOCK]],
-                    step_hours.iloc[at : at + _BLOCK].to_numpy(dtype=float),
-                    battery,
-                )
-                charge += c
-                discharge += d
-            yield pd.DataFrame({"charge": charge, "discharge": discharge})
+    def plan(prices: pd.Series, step_hours: pd.Series) -> pd.DataFrame:
+        charge, discharge = [], []
+        for at in range(0, len(prices), _BLOCK):
+            c, d = battery_plans(
+                [np.asarray(p, dtype=float) for p in prices.iloc[at : at + _BLOCK]],
+                step_hours.iloc[at : at + _BLOCK].to_numpy(dtype=float),
+                battery,
+            )
+            charge += c
+            discharge += d
+        return pd.DataFrame({"charge": charge, "discharge": discharge})
 
     return plan
 
