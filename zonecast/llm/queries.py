@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import bpe, quality_rules
+from zonecast.llm import bpe, near_dedup, quality_rules
 from zonecast.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded)
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents")).drop("__text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -31,5 +35,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": (op2_byte_bpe, None),
+    "op3_chosen_path": (op3_chosen_path, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
