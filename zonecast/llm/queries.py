@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zonecast.llm import bpe, near_dedup, quality_rules
+from zonecast.llm import bpe, decontaminate, near_dedup, quality_rules, substring_dedup
 from zonecast.llm.common import read
 
 
@@ -19,6 +20,18 @@ def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents")).drop("__text")
 
 
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_repeats(read(spark, sf_dir, "documents")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -36,5 +49,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_chosen_path": (op3_chosen_path, None),
+    "op4_string_tiling": (op4_string_tiling, None),
+    "op5_suffix_trees": (op5_suffix_trees, None),
+    "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
 }

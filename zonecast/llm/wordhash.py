@@ -65,13 +65,25 @@ class Words:
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of ``size`` consecutive words, of all hashes in a row."""
+    """A hash of each run of ``size`` consecutive words, of all hashes in a row.
+
+    Spans of 1, 2, 4, ... words are doubled and joined, so the cost grows with the logarithm of ``size``.
+    """
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for k in range(size):
-        out = out * U(0xFF51AFD7ED558CCD) + hashes[k : k + n]
+    out, covered = np.full(n, U(size)), 0
+    span, width, odd = hashes, 1, 0xFF51AFD7ED558CCD
+    while width <= size:
+        factor = U(odd)
+        if size & width:
+            out = out * factor + span[covered : covered + n]
+            covered += width
+        odd = (odd * 0xC4CEB9FE1A85EC53 + 2) % (1 << 64)
+        factor = U(odd)
+        if 2 * width <= size:
+            span = span[:-width] * factor + span[width:]
+        width *= 2
     return mix(out)
 
 
