@@ -5,8 +5,9 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, decontaminate, near_dedup, quality_rules, substring_dedup
+from zonecast.llm import bpe, chat, decontaminate, near_dedup, quality_rules, substring_dedup, warc
 from zonecast.llm.common import read
 
 
@@ -28,6 +29,45 @@ def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.remove_repeats(read(spark, sf_dir, "documents")))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # The extra conversation says the template's own control strings.
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.digests(chat.format_conversations(turns.unionByName(extra)))
+
+
+OP8_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+      ORDER BY turn, role, text) AS roles,
+    sum(10 + 9 + 4 + length(role) + length(text)
+      + len(regexp_extract_all(role, '[<\[]\\*(/?s>|/?INST\])'))
+      + len(regexp_extract_all(text, '[<\[]\\*(/?s>|/?INST\])'))) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
+  regexp_full_match(roles, 's?u(au)*a?') AS valid
+FROM joined
+"""
+
+
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -51,6 +91,8 @@ QUERIES = {
     "op3_chosen_path": (op3_chosen_path, None),
     "op4_string_tiling": (op4_string_tiling, None),
     "op5_suffix_trees": (op5_suffix_trees, None),
+    "op8_chat_format": (op8_chat_format, OP8_SQL),
+    "op9_warc_dictionary": (op9_warc_dictionary, None),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
 }
