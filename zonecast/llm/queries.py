@@ -7,7 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, chat, decontaminate, near_dedup, quality_rules, substring_dedup, warc
+from zonecast.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from zonecast.llm.common import read
 
 
@@ -29,6 +39,21 @@ def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.remove_repeats(read(spark, sf_dir, "documents")))
 
 
+def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").select("doc_id", F.col(label).cast("double").alias("label"))
+
+
+def op6_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = quality_classifier.remainder(5)
+    docs, labels = read(spark, sf_dir, "documents"), _labels(spark, sf_dir, "quality")
+    return quality_classifier.score(docs, labels, remainder == 0, remainder == 1)
+
+
+def op7_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), _labels(spark, sf_dir, "toxic")
+    return toxicity.score(docs, labels, quality_classifier.remainder(4) == 2)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     # The extra conversation says the template's own control strings.
@@ -91,6 +116,8 @@ QUERIES = {
     "op3_chosen_path": (op3_chosen_path, None),
     "op4_string_tiling": (op4_string_tiling, None),
     "op5_suffix_trees": (op5_suffix_trees, None),
+    "op6_fourier_quality": (op6_fourier_quality, None),
+    "op7_subword_toxicity": (op7_subword_toxicity, None),
     "op8_chat_format": (op8_chat_format, OP8_SQL),
     "op9_warc_dictionary": (op9_warc_dictionary, None),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
