@@ -9,7 +9,7 @@ sets' Jaccard similarity is at least 0.75, and a component is what links connect
    one or two positions (4/3 on average, that is 1 / 0.75, as the method asks), and a document goes to the child named by
    its token there. Similar documents follow the same path with high probability.
 3. A node of at most ``SMALL`` documents is compared exhaustively. In a larger one each document is compared
-   with the node's smallest id, and then the node branches on.
+   with the node's smallest id, and then the node branches on, ``STEPS`` times before nodes are counted again.
 4. Candidates whose tokens agree as rarely as a similarity of 0.75 all but never would (below ``AGREE`` of 64; it
    happens to one such pair in 10^8) are dropped; all others are confirmed on their full sets.
 5. Links are joined to components. A node whose documents are all connected by then holds nothing more to
@@ -39,9 +39,14 @@ from zonecast.llm.components import components
 from zonecast.llm.wordhash import U, Words, in_chunks, mix, runs
 
 SHINGLE = 5
-POSITIONS, TREES, SMALL, AGREE = 64, 20, 16, 28
-# Nodes that are still large on the last level are compared exhaustively.
-LEVELS = 40
+POSITIONS, TREES, AGREE = 64, 20, 28
+# Nodes up to so many documents are compared exhaustively: below the roots, and further down, where only pairs
+# that aren't connected yet are.
+SMALL, SMALL_BELOW = 16, 64
+# A large node branches so many times before its descendants are counted again.
+STEPS = 3
+# Nodes that are still large after so many rounds are compared exhaustively.
+ROUNDS = 12
 
 _RANDOM = mix(np.arange(1, 4 * POSITIONS + 1, dtype=np.uint64) * U(0xA0761D6478BD642F))
 _MULTIPLY = _RANDOM[:POSITIONS, None] | U(1)
@@ -171,13 +176,18 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _branch(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The children (``node``, ``id``) of rows (``node``, ``id``)."""
+    """The descendants (``node``, ``id``), ``STEPS`` branchings down, of rows (``node``, ``id``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), "<u4").reshape(-1, POSITIONS)
             nodes = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            below = [x.view(np.int64) for x in _children(nodes, own.astype(np.uint64))]
+            own, row = own.astype(np.uint64), np.arange(len(nodes))
+            for _ in range(STEPS):
+                below = _children(nodes, own[row])
+                row = np.repeat(row, [len(x) for x in below])
+                nodes = np.concatenate([nodes[:0], *below])
+            below = [x.view(np.int64) for x in np.split(nodes, np.searchsorted(row, np.arange(1, len(own))))] if len(own) else []
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(below, pa.list_(pa.int64()))], names=["id", "below"])
 
     joined = rows.join(tokens.select("id", "tokens"), "id")
@@ -193,8 +203,8 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         classes.select("id", "n", "tokens", _low_bytes(low).alias("low")).dropDuplicates(["id", "n", "low"]), "tokens"
     )
     rows = classes.select(F.explode("nodes").alias("node"), "id").withColumn("component", F.col("id"))
-    links = found = sets = None
-    for level in range(LEVELS):
+    links = found = sets = tried = None
+    for turn in range(ROUNDS):
         # Nodes that hold two components or more, and the least id of each; the rest has nothing left to find.
         counted = rows.groupBy("node").agg(
             F.count("*").alias("size"),
@@ -206,7 +216,8 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         rows = materialise(rows.join(shared, "node"), "node-rows")
         if rows.isEmpty():
             break
-        is_small = F.lit(True) if level == LEVELS - 1 else F.col("size") <= SMALL
+        limit = SMALL if turn == 0 else SMALL_BELOW
+        is_small = F.lit(True) if turn == ROUNDS - 1 else F.col("size") <= limit
         small = rows.where(is_small)
         x, y = small.alias("x"), small.alias("y")
         pairs = x.join(
@@ -218,8 +229,13 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         stars = rows.where(~is_small & (F.col("id") != F.col("least"))).select(
             F.col("least").alias("a"), F.col("id").alias("b")
         )
-        candidates = materialise(_agree(pairs.unionByName(stars).distinct(), tokens), "candidates")
+        pairs = pairs.unionByName(stars).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        candidates = materialise(_agree(pairs, tokens), "candidates")
         if not candidates.isEmpty():
+            known = candidates.select("a", "b")
+            tried = known if tried is None else tried.unionByName(known)
             ends = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id")))
             ends = ends.distinct()
             if sets is not None:
@@ -228,7 +244,7 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
             sets = new if sets is None else sets.unionByName(new)
             # One likely link of each document first; the others only where they join what is apart.
             best = candidates.groupBy("b").agg(F.max_by("a", "agree").alias("a")).select("a", "b")
-            for pairs in (best, candidates):
+            for pairs in (best, candidates) if turn == 0 else (candidates,):
                 if found is not None:
                     pairs = _apart(pairs, found)
                 confirmed = materialise(_confirm(pairs, sets), "confirmed")
