@@ -11,6 +11,7 @@ from zonecast.llm import (
     bpe,
     chat,
     decontaminate,
+    licenses,
     near_dedup,
     quality_classifier,
     quality_rules,
@@ -21,6 +22,10 @@ from zonecast.llm import (
 from zonecast.llm.common import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, read(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_decode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -112,6 +117,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": (op1_license_scan, None),
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_chosen_path": (op3_chosen_path, None),
     "op4_string_tiling": (op4_string_tiling, None),
