@@ -1,7 +1,7 @@
 """Quality rules as weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
-Every rule looks at one measure of a document and votes good (+1), bad (-1) or abstains (0). The
-accuracy of each rule and the share of good documents are estimated without labels from the counts
+Every rule looks at a document's measures and votes good (+1) or bad (-1), or abstains (0), which tells as much as it is commoner among good or bad ones. How often each
+rule is right among good and among bad documents, and the share of good ones, are estimated without labels from the counts
 of the vote patterns, and a document is kept if its posterior probability of being good is at least
 ``threshold`` and the base rules did not fail.
 
@@ -25,36 +25,30 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import keep_rows, materialise, word_array
 
 WINDOW = 5
+PRIOR = 20
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad at or beyond ``bad``, good at or within ``good``, and abstains between them.
-
-    ``value`` is SQL over the measures. With ``bad`` above ``good`` large values are bad, otherwise
-    small ones are.
-    """
+    """Votes ``vote`` where the SQL condition over the measures holds, and abstains elsewhere."""
 
     name: str
-    value: str
-    good: float
-    bad: float
+    vote: int
+    when: str
 
-    def vote(self) -> Column:
-        value = F.expr(self.value)
-        if self.bad > self.good:
-            return F.when(value >= self.bad, -1).when(value <= self.good, 1).otherwise(0)
-        return F.when(value <= self.bad, -1).when(value >= self.good, 1).otherwise(0)
+    def column(self) -> Column:
+        return F.when(F.expr(self.when), self.vote).otherwise(0).alias(f"vote_{self.name}")
 
 
 RULES = (
-    Rule("symbols", "n_symbols / greatest(n_words, 1)", 0.05, 0.25),
-    Rule("repeated_words", "n_repeat_words / greatest(n_words, 1)", 0.05, 0.2),
-    Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", 0.1, 0.3),
-    Rule("capitals", "n_upper / greatest(n_letters, 1)", 0.15, 0.4),
-    Rule("word_length", "abs(word_chars / greatest(n_words, 1) - 6)", 3.0, 6.0),
-    Rule("letters", "n_letters / greatest(word_chars, 1)", 0.85, 0.6),
-    Rule("shouting", "n_exclamations / greatest(n_words, 1)", 0.1, 0.5),
+    Rule("symbols", -1, "n_symbols >= 0.2 * n_words"),
+    Rule("repeated_words", -1, "n_repeat_words >= 0.2 * n_words"),
+    Rule("repeated_lines", -1, "n_dup_lines >= 0.3 * greatest(n_lines, 2)"),
+    Rule("capitals", -1, "n_upper >= 0.4 * greatest(n_letters, 1)"),
+    Rule("word_length", -1, "word_chars < 2.5 * n_words or word_chars > 14 * n_words"),
+    Rule("letters", -1, "n_letters < 0.45 * word_chars"),
+    Rule("shouting", -1, "n_exclamations >= 0.3 * n_words"),
+    Rule("prose", 1, "n_letters >= 0.92 * word_chars and n_upper <= 0.2 * n_letters and n_words >= 10"),
 )
 
 
@@ -119,52 +113,65 @@ def _window_hashes(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """The share of good documents and the accuracy of each rule when it votes."""
+    """The share of good documents, and of each rule the share of its votes (-1, 0, 1) among bad and among good ones."""
 
     good: float
-    accuracies: tuple[float, ...]
+    given_bad: tuple[dict[int, float], ...]
+    given_good: tuple[dict[int, float], ...]
+
+    def weight(self, rule: int, vote: int) -> float:
+        """What a vote adds to the log odds of being good; a rule is never read backwards."""
+        weight = math.log(self.given_good[rule][vote] / self.given_bad[rule][vote])
+        return max(0.0, weight) if vote > 0 else min(0.0, weight) if vote < 0 else weight
+
+    def log_odds(self, pattern: Sequence[int]) -> float:
+        return math.log(self.good / (1 - self.good)) + sum(self.weight(j, v) for j, v in enumerate(pattern))
 
     def posterior(self, votes: Sequence[Column]) -> Column:
         score = F.lit(math.log(self.good / (1 - self.good)))
-        for vote, accuracy in zip(votes, self.accuracies, strict=True):
-            score = score + vote * F.lit(math.log(accuracy / (1 - accuracy)))
+        for j, vote in enumerate(votes):
+            score = score + F.when(vote > 0, self.weight(j, 1)).when(vote < 0, self.weight(j, -1)).otherwise(self.weight(j, 0))
         return 1 / (1 + F.exp(-score))
 
 
-def fit(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 50) -> LabelModel:
+def fit(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 30) -> LabelModel:
     """Expectation-maximisation over counted vote patterns.
 
-    Accuracies stay within 0.6..0.99, so that a rule is never read backwards, and start from 0.8. The share
-    of good documents stays within 0.05..0.95. Every estimate is smoothed by two pseudo-votes.
+    It starts from the belief that a document with a bad vote is bad with probability 0.9 and one without is good with 0.95. The share
+    of good documents stays within 0.05..0.95. Every share is smoothed by what was believed at first, worth ``PRIOR`` votes.
     """
-    good, accuracies = 0.7, [0.8] * n_rules
-    total = sum(patterns.values())
+    belief = {p: 0.1 if -1 in p else 0.95 for p in patterns}
+    model = LabelModel(0.7, ({-1: 0.3, 0: 0.5, 1: 0.2},) * n_rules, ({-1: 0.01, 0: 0.39, 1: 0.6},) * n_rules)
+    start, total = model, sum(patterns.values())
     for _ in range(rounds if total else 0):
-        agreed, voted, mass = [1.6] * n_rules, [2.0] * n_rules, 0.0
-        for pattern, count in patterns.items():
-            score = math.log(good / (1 - good)) + sum(
-                v * math.log(a / (1 - a)) for v, a in zip(pattern, accuracies, strict=True)
+        good = sum(c * belief[p] for p, c in patterns.items()) / total
+        shares = []
+        for side, first in ((lambda p: 1 - belief[p], start.given_bad), (lambda p: belief[p], start.given_good)):
+            mass = sum(c * side(p) for p, c in patterns.items()) + PRIOR
+            shares.append(
+                tuple(
+                    {
+                        v: (sum(c * side(p) for p, c in patterns.items() if p[j] == v) + PRIOR * first[j][v]) / mass
+                        for v in (-1, 0, 1)
+                    }
+                    for j in range(n_rules)
+                )
             )
-            p = 1 / (1 + math.exp(-score))
-            mass += count * p
-            for j, v in enumerate(pattern):
-                if v:
-                    voted[j] += count
-                    agreed[j] += count * (p if v > 0 else 1 - p)
-        good = min(0.95, max(0.05, mass / total))
-        accuracies = [min(0.99, max(0.6, a / v)) for a, v in zip(agreed, voted, strict=True)]
-    return LabelModel(good, tuple(accuracies))
+        model = LabelModel(min(0.95, max(0.05, good)), *shares)
+        belief = {p: 1 / (1 + math.exp(-max(-50.0, min(50.0, model.log_odds(p))))) for p in patterns}
+    return model
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, threshold: float = 0.5) -> DataFrame:
     """Measures, votes, posterior and verdict of every row; ``__text`` is the hash of its text."""
     voted = materialise(
-        measures(docs).select("*", *(r.vote().alias(f"vote_{r.name}") for r in rules)), "quality-votes"
+        measures(docs).select("*", *(r.column() for r in rules)), "quality-votes"
     )
     votes = [f"vote_{r.name}" for r in rules]
-    counted = voted.groupBy(*votes).count().collect()
-    model = fit({tuple(r[v] for v in votes): r["count"] for r in counted}, len(rules))
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    # What fails the base rules goes anyway; the weights are learnt from the rest.
+    counted = voted.where(~base_failed).groupBy(*votes).count().collect()
+    model = fit({tuple(r[v] for v in votes): r["count"] for r in counted}, len(rules))
     return voted.select(
         "*",
         base_failed.alias("base_failed"),

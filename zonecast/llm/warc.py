@@ -67,8 +67,10 @@ def train(records: list[bytes]) -> bytes | None:
     total = sum(map(len, records))
     step = max(1, -(-total // SAMPLE_BYTES))
     samples = [r for r in records[::step] if r]
+    size = DICTIONARY_BYTES
+    while size > 1024 and 4 * size > sum(map(len, samples)):  # no larger than what it is learnt from allows
+        size //= 4
     try:
-        size = min(DICTIONARY_BYTES, max(1024, sum(map(len, samples)) // 10))
         return zstandard.train_dictionary(size, samples, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
         return None
@@ -82,7 +84,7 @@ def write_archive(path: str, records: list[bytes]) -> None:
     compressor = zstandard.ZstdCompressor(**options)
     store, name = fs.FileSystem.from_uri(path)
     store.create_dir(name.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(name) as out:
+    with store.open_output_stream(name, compression=None) as out:
         if dictionary:
             packed = zstandard.ZstdCompressor(level=6).compress(dictionary)
             out.write(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
@@ -93,7 +95,7 @@ def write_archive(path: str, records: list[bytes]) -> None:
 def read_archive(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record."""
     store, name = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(name) as source:
+    with store.open_input_stream(name, compression=None) as source:
         head = source.read(8)
         magic, size = struct.unpack("<II", head) if len(head) == 8 else (0, 0)
         if magic == DICTIONARY_MAGIC:

@@ -25,13 +25,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_POWERS = np.ones(64, np.uint64)
+_POWER = U(0xD6E8FEB86659FD93)
+_POWERS = np.cumprod(np.append(U(1), np.full(255, _POWER)), dtype=np.uint64)
 
 
 def _powers(n: int) -> np.ndarray:
+    """The first powers of an odd number, ``n`` at least; longer words extend them."""
     global _POWERS
     if len(_POWERS) < n:
-        _POWERS = np.cumprod(np.append(U(1), np.full(2 * n, U(0xD6E8FEB86659FD93))), dtype=np.uint64)
+        _POWERS = np.cumprod(np.append(U(1), np.full(2 * n, _POWER)), dtype=np.uint64)
     return _POWERS
 
 
