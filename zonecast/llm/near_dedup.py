@@ -8,8 +8,9 @@ sets' Jaccard similarity is at least 0.75, and a component is what links connect
 2. Every class has ``POSITIONS`` minwise tokens. In each of ``TREES`` independent trees a node chooses
    one or two positions (4/3 on average, that is 1 / 0.75, as the method asks), and a document goes to the child named by
    its token there. Similar documents follow the same path with high probability.
-3. A node of at most ``SMALL`` documents is compared exhaustively. In a larger one each document is compared
-   with the node's smallest id, and then the node branches on, ``STEPS`` times before nodes are counted again.
+3. A node is small while fewer than ``SMALL`` of its documents are outside its largest connected part (at first each
+   document is a part of its own). What is outside is compared with the whole node exhaustively. In a larger node each document is compared
+   with the smallest id that it meets, and then the node branches on, ``STEPS`` times before nodes are counted again.
 4. Candidates whose tokens agree as rarely as a similarity of 0.75 all but never would (below ``AGREE`` of 64; it
    happens to one such pair in 10^8) are dropped; all others are confirmed on their full sets.
 5. Links are joined to components. A node whose documents are all connected by then holds nothing more to
@@ -40,9 +41,8 @@ from zonecast.llm.wordhash import U, Words, in_chunks, mix, runs
 
 SHINGLE = 5
 POSITIONS, TREES, AGREE = 64, 20, 28
-# Nodes up to so many documents are compared exhaustively: below the roots, and further down, where only pairs
-# that aren't connected yet are.
-SMALL, SMALL_BELOW = 16, 64
+# A node is small while fewer documents than this are outside its largest component.
+SMALL = 16
 # A large node branches so many times before its descendants are counted again.
 STEPS = 3
 # Nodes that are still large after so many rounds are compared exhaustively.
@@ -176,7 +176,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _branch(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The descendants (``node``, ``id``), ``STEPS`` branchings down, of rows (``node``, ``id``)."""
+    """The descendants (``node``, ``id``, ``n``), ``STEPS`` branchings down, of rows (``node``, ``id``, ``n``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,11 +188,15 @@ def _branch(rows: DataFrame, tokens: DataFrame) -> DataFrame:
                 row = np.repeat(row, [len(x) for x in below])
                 nodes = np.concatenate([nodes[:0], *below])
             below = [x.view(np.int64) for x in np.split(nodes, np.searchsorted(row, np.arange(1, len(own))))] if len(own) else []
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(below, pa.list_(pa.int64()))], names=["id", "below"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n"), pa.array(below, pa.list_(pa.int64()))], names=["id", "n", "below"]
+            )
 
-    joined = rows.join(tokens.select("id", "tokens"), "id")
-    below = joined.select("id", "node", "tokens").mapInArrow(run, f"id {id_type(rows, 'id')}, below array<long>")
-    return below.select(F.explode("below").alias("node"), "id")
+    joined = rows.join(tokens.select(F.col("id").alias("__of"), "n", "tokens"), (F.col("id") == F.col("__of")) & (rows["n"] == tokens["n"]))
+    below = joined.select("id", rows["n"], "node", "tokens").mapInArrow(
+        run, f"id {id_type(rows, 'id')}, n long, below array<long>"
+    )
+    return below.select(F.explode("below").alias("node"), "id", "n")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -202,34 +206,35 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     tokens = materialise(
         classes.select("id", "n", "tokens", _low_bytes(low).alias("low")).dropDuplicates(["id", "n", "low"]), "tokens"
     )
-    rows = classes.select(F.explode("nodes").alias("node"), "id").withColumn("component", F.col("id"))
+    rows = classes.select(F.explode("nodes").alias("node"), "id", "n").withColumn("component", F.col("id"))
     links = found = sets = tried = None
     for turn in range(ROUNDS):
-        # Nodes that hold two components or more, and the least id of each; the rest has nothing left to find.
-        counted = rows.groupBy("node").agg(
-            F.count("*").alias("size"),
-            F.min("id").alias("least"),
-            F.min("component").alias("c"),
-            F.max("component").alias("d"),
+        # Nodes that hold two components or more, with the largest of them; the rest has nothing left to find.
+        inside = rows.groupBy("node", "component").agg(F.count("*").alias("here"), F.min("id").alias("least"))
+        counted = inside.groupBy("node").agg(
+            F.count("*").alias("parts"),
+            F.min("least").alias("least"),
+            F.max(F.struct("here", "component")).alias("main"),
+            F.sum("here").alias("size"),
         )
-        shared = materialise(counted.where("c <> d").select("node", "size", "least"), "nodes")
-        rows = materialise(rows.join(shared, "node"), "node-rows")
+        shared = counted.where("parts > 1").select(
+            "node", "least", F.col("main.component").alias("main"), (F.col("size") - F.col("main.here")).alias("others")
+        )
+        rows = materialise(rows.join(materialise(shared, "nodes"), "node"), "node-rows")
         if rows.isEmpty():
             break
-        limit = SMALL if turn == 0 else SMALL_BELOW
-        is_small = F.lit(True) if turn == ROUNDS - 1 else F.col("size") <= limit
+        is_small = F.lit(True) if turn == ROUNDS - 1 else F.col("others") < SMALL
         small = rows.where(is_small)
-        x, y = small.alias("x"), small.alias("y")
+        x, y = small.where("component <> main").alias("x"), small.alias("y")
         pairs = x.join(
             y,
             (F.col("x.node") == F.col("y.node"))
-            & (F.col("x.id") < F.col("y.id"))
-            & (F.col("x.component") != F.col("y.component")),
-        ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        stars = rows.where(~is_small & (F.col("id") != F.col("least"))).select(
-            F.col("least").alias("a"), F.col("id").alias("b")
-        )
-        pairs = pairs.unionByName(stars).distinct()
+            & (F.col("x.component") != F.col("y.component"))
+            & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n")),
+        ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        # In large nodes each document is compared with the least id that it meets.
+        stars = rows.where(~is_small).groupBy(F.col("id").alias("b")).agg(F.min("least").alias("a")).where("a <> b")
+        pairs = pairs.unionByName(stars.select("a", "b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         candidates = materialise(_agree(pairs, tokens), "candidates")
@@ -240,7 +245,7 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
             ends = ends.distinct()
             if sets is not None:
                 ends = ends.join(sets.select("id"), "id", "left_anti")
-            new = materialise(_sets(docs, ends), "sets")
+            new = materialise(_sets(docs, materialise(ends, "ends")), "sets")
             sets = new if sets is None else sets.unionByName(new)
             # One likely link of each document first; the others only where they join what is apart.
             best = candidates.groupBy("b").agg(F.max_by("a", "agree").alias("a")).select("a", "b")
@@ -251,8 +256,9 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 if not confirmed.isEmpty():
                     links = confirmed if links is None else links.unionByName(confirmed)
                     found = components(links)
-        big = rows.where(~is_small).select("node", "id").distinct()
-        rows = _branch(big, tokens)
+        if rows.where(~is_small).isEmpty():
+            break
+        rows = _branch(rows.where(~is_small).select("node", "id", "n").distinct(), tokens)
         rows = rows.withColumn("component", F.col("id")) if found is None else _placed(rows, found)
         rows = materialise(rows, "branches")
     if found is None:
@@ -262,10 +268,10 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows (``node``, ``id``) with the component of each id so far."""
+    """Rows (``node``, ``id``, ``n``) with the component of each id so far."""
     placed = found.withColumnRenamed("id", "__of")
     return rows.join(placed, F.col("id") == F.col("__of"), "left").select(
-        "node", "id", F.coalesce("component", "id").alias("component")
+        "node", "id", "n", F.coalesce("component", "id").alias("component")
     )
 
 
