@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A bracket reaches this share of the rows to either side of the wanted rank; the sketch that
-# places it is ten times finer. Shorter columns than SMALL are kept whole.
+# places it is ten times finer.
 _REACH = 0.001
 _ACCURACY = 10000
-SMALL = 10000
 
 
 def floor_rank_values(df: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
@@ -23,15 +22,14 @@ def floor_rank_values(df: DataFrame, value: str, shares: Sequence[float]) -> Dat
     """
     rows = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
     probes = [min(1.0, max(0.0, p + d)) for p in shares for d in (-_REACH, _REACH)]
-    size = F.col("n") <= SMALL
 
     def bracket(i: int) -> Column:
         p = float(shares[i])
         return F.struct(
             F.lit(i).alias("position"),
             F.least(F.col("n") - 1, F.floor(F.lit(p) * F.col("n"))).alias("rank"),
-            F.when(size, F.lit(float("-inf"))).otherwise(F.col("probes")[2 * i]).alias("low"),
-            F.when(size, F.lit(float("inf"))).otherwise(F.col("probes")[2 * i + 1]).alias("high"),
+            F.col("probes")[2 * i].alias("low"),
+            F.col("probes")[2 * i + 1].alias("high"),
         )
 
     brackets = (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,16 +152,22 @@ def _with_battery(days: DataFrame, battery: Battery) -> DataFrame:
 
 
 def value_summary(daily: DataFrame, ev: EV = EV()) -> DataFrame:
-    """Yearly figures and shares of the hindsight result, overall and by zone, in one pass."""
+    """Yearly figures and shares of the hindsight result, overall and by zone, in one pass.
+
+    Only days count on which every strategy has a value, that is, the car gets its full energy;
+    ``days_left_out`` counts the others.
+    """
     strategies = (
         "ev_on_arrival", "ev_naive", "ev_model", "ev_oracle", "bat_naive", "bat_model", "bat_oracle",
     )
+    complete = reduce(and_, (F.col(s).isNotNull() for s in strategies))
     means = (
         daily.groupingSets([[], ["zone"]], "zone")
         .agg(
-            F.count("*").alias("days"),
+            F.count_if(complete).alias("days"),
+            F.count_if(~complete).alias("days_left_out"),
             F.grouping("zone").alias("whole"),
-            *[F.avg(s).alias(s) for s in strategies],
+            *[F.avg(F.when(complete, F.col(s))).alias(s) for s in strategies],
         )
         .withColumn("part", F.when(F.col("whole") == 1, F.lit("all")).otherwise(F.col("zone")))
     )
@@ -178,4 +187,4 @@ def value_summary(daily: DataFrame, ev: EV = EV()) -> DataFrame:
     for k in ("naive", "model"):
         out.append(share(c(f"bat_{k}"), c("bat_oracle")))
         names.append(f"bat_{k}_share")
-    return means.select("part", "days", *[x.alias(n) for x, n in zip(out, names, strict=True)])
+    return means.select("part", "days", "days_left_out", *[x.alias(n) for x, n in zip(out, names, strict=True)])

@@ -20,16 +20,30 @@ EVENTS = (
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly roll-up of the event file with a three-day watermark; open hours are not out yet."""
-    events = jobs.landing(spark, sf_dir, EVENTS, glob="events.parquet").select(
-        F.col("event_type").alias("zone"),
-        F.col("ts").alias("interval_start"),
-        F.col("value").alias("price_sek_kwh"),
+    """Hourly roll-up of quarter-hour prices with a three-day watermark; open hours are not out yet.
+
+    The intervals land in one file; a second one republishes the first of every hour at twice the price.
+    """
+    root = scratch_path(spark, "stream-hourly")
+    quarter = F.timestamp_add(
+        "MINUTE", (F.floor(F.minute("ts") / 15) * 15).cast("int"), F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    )
+    intervals = (
+        driver_table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("zone"), quarter.alias("interval_start"))
+        .agg(F.max("value").alias("price_sek_kwh"))
+    )
+    first = intervals.withColumn("published", F.lit(1))
+    second = intervals.where(F.minute("interval_start") == 0).withColumns(
+        {"price_sek_kwh": 2 * F.col("price_sek_kwh"), "published": F.lit(2)}
     )
-    out = scratch_path(spark, "stream-hourly")
-    parts = jobs.landed_partitions(spark, f"{sf_dir}/events.parquet")
-    jobs.append_available(jobs.hourly_rollup(events), out, f"{out}-state", parts)
-    return spark.read.parquet(out).select(
+    for part in (first, second):
+        part.write.mode("append").parquet(f"{root}/landing")
+    landed = jobs.landing(
+        spark, f"{root}/landing", "zone string, interval_start timestamp_ntz, price_sek_kwh double, published int"
+    )
+    jobs.append_available(jobs.hourly_rollup(landed), f"{root}/hours", f"{root}/state")
+    return spark.read.parquet(f"{root}/hours").select(
         "zone",
         "hour_start",
         "n_intervals",
@@ -38,12 +52,17 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_HOURLY = f"""
-    select event_type as zone, date_trunc('hour', ts) as hour_start, count(*) as n_intervals,
-           {R6('avg(value)')} as price_sek_kwh, {R6('min(value)')} as min_interval_price,
-           {R6('max(value)')} as max_interval_price
-    from events
-    where date_trunc('hour', ts) + interval 1 hour
-          <= (select date_trunc('milliseconds', max(ts)) - interval 3 days from events)
+    with quarters as (
+        select event_type as zone, time_bucket(interval 15 minutes, ts) as start, max(value) as price
+        from events group by all),
+    prices as (
+        select zone, start, case when extract('minute' from start) = 0 then 2 * price else price end as price
+        from quarters)
+    select zone, date_trunc('hour', start) as hour_start, count(*) as n_intervals,
+           {R6('avg(price)')} as price_sek_kwh, {R6('min(price)')} as min_interval_price,
+           {R6('max(price)')} as max_interval_price
+    from prices
+    where date_trunc('hour', start) + interval 1 hour <= (select max(start) - interval 3 days from prices)
     group by all"""
 
 
@@ -69,8 +88,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.landing(spark, f"{root}/forecasts", "zone string, hour_start timestamp_ntz, q10 double, q50 double, q90 double"),
         jobs.landing(spark, f"{root}/actuals", "zone string, hour_start timestamp_ntz, price_sek_kwh double"),
     )
-    parts = jobs.landed_partitions(spark, f"{root}/forecasts", f"{root}/actuals")
-    jobs.append_available(scored, f"{root}/scored", f"{root}/state", parts)
+    jobs.append_available(scored, f"{root}/scored", f"{root}/state")
     return spark.read.parquet(f"{root}/scored").select(
         "zone", "hour_start", *six("actual", "error", "inside")
     )
@@ -124,9 +142,14 @@ def stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write = jobs.validate_batches(f"{root}/prices", f"{root}/status")
     jobs.each_batch_available(days, write, f"{root}/state")
+    # The days of every month's first week land again, without a record.
+    again = ingest_queries.raw_price_days(spark, sf_dir).where(F.dayofmonth("day") <= 7)
+    again.withColumn("value", F.lit("[]")).write.mode("append").parquet(f"{root}/landing")
+    jobs.each_batch_available(days, write, f"{root}/state")
+    kinds = "interval_start timestamp_ntz, zone string, delivery_date date"
+    prices = spark.read.schema(kinds).parquet(f"{root}/prices")
     valid = (
-        spark.read.schema("interval_start timestamp_ntz, zone string, delivery_date date")
-        .parquet(f"{root}/prices")
+        jobs.current_prices(prices, spark.read.parquet(f"{root}/status"))
         .groupBy("zone", F.col("delivery_date").alias("day"))
         .agg(F.count("*").alias("intervals"))
     )
@@ -139,7 +162,8 @@ def stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_VALIDATE = ingest_queries.DAY_VALIDATION.replace(
     "select zone, day, records, cast(resolution_minutes as bigint) as resolution_minutes, reason from judged",
-    "select zone, day, zone || '/' || day as source, reason, case when reason is null then records else 0 end as intervals from judged",
+    "select zone, day, zone || '/' || day as source, case when day(day) <= 7 then 'empty payload' else reason end as reason,"
+    " case when reason is null and day(day) > 7 then records else 0 end as intervals from judged",
 )
 
 QUERIES = {

@@ -184,7 +184,7 @@ EV_FIGURES = (
 
 def value_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = value.value_summary(_daily(spark, sf_dir))
-    return summary.select("part", "days", *six(*EV_FIGURES))
+    return summary.select("part", "days", "days_left_out", *six(*EV_FIGURES))
 
 
 VALUE_SUMMARY = with_ctes(
@@ -192,10 +192,14 @@ VALUE_SUMMARY = with_ctes(
     HOURLY,
     _VALUES,
     """means as (
-        select part, count(*) as days, avg(ev_on_arrival) as a, avg(ev_naive) as n, avg(ev_model) as m, avg(ev_oracle) as o
-        from (select 'all' as part, * from daily union all select zone, * from daily) group by part)""",
+        select part, count(*) filter (whole) as days, count(*) filter (not whole) as days_left_out,
+               avg(ev_on_arrival) filter (whole) as a, avg(ev_naive) filter (whole) as n,
+               avg(ev_model) filter (whole) as m, avg(ev_oracle) filter (whole) as o
+        from (select *, ev_on_arrival is not null and ev_naive is not null and ev_model is not null
+                        and ev_oracle is not null as whole
+              from (select 'all' as part, * from daily union all select zone, * from daily)) group by part)""",
     select=f"""
-    select part, days, {R6('a / 10')} as ev_on_arrival_per_kwh, {R6('n / 10')} as ev_naive_per_kwh,
+    select part, days, days_left_out, {R6('a / 10')} as ev_on_arrival_per_kwh, {R6('n / 10')} as ev_naive_per_kwh,
            {R6('m / 10')} as ev_model_per_kwh, {R6('o / 10')} as ev_oracle_per_kwh,
            {R6('(a - n) * 365')} as ev_naive_saving_per_year, {R6('(a - m) * 365')} as ev_model_saving_per_year,
            {R6('(a - o) * 365')} as ev_oracle_saving_per_year,
@@ -215,7 +219,7 @@ def battery_arbitrage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def battery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = value.value_summary(_daily(spark, sf_dir))
     figures = [c for c in summary.columns if c.startswith("bat_")]
-    return summary.select("part", "days", *[rounded(c).alias(c) for c in figures])
+    return summary.select("part", "days", "days_left_out", *[rounded(c).alias(c) for c in figures])
 
 
 QUERIES = {

@@ -18,13 +18,16 @@ from zonecast.operators import ingest, marts, quality, validate
 from zonecast.operators.features import feature_table
 from zonecast.sources import raw, sinks, tables
 from zonecast.sources.generators import calendar, days_between, point_registry, zone_table
+from zonecast.session import is_missing
 
 
 def built_months(spark: SparkSession, status_path: str) -> DataFrame:
     """(zone, month, built_at) from the write times of the status table."""
     try:
         files = spark.read.schema(schemas.DAY_STATUS).parquet(status_path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return spark.createDataFrame([], "zone string, month string, built_at timestamp")
     return files.groupBy("zone", "month").agg(
         F.min("_metadata.file_modification_time").alias("built_at")
@@ -40,7 +43,9 @@ def build_prices(spark: SparkSession, raw_root: str, out: str) -> dict[str, int]
     status_path = f"{out}/price_status"
     try:
         files = raw.list_files(spark, raw_root)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return {"months_built": 0, "days_ok": 0, "days_quarantined": 0}
     stale = ingest.stale_groups(files, built_months(spark, status_path)).select("zone", "month")
     days = (
@@ -74,7 +79,9 @@ def _build_weather(
             .groupBy("name")
             .agg(F.min("_metadata.file_modification_time").alias("built_at"))
         )
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         built = spark.createDataFrame([], "name string, built_at timestamp")
     stale = documents.join(built, "name", "left").where(
         F.col("built_at").isNull() | (F.col("modified") > F.col("built_at"))

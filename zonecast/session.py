@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,11 +30,15 @@ def local_session(cores: str = "8", app: str = "zonecast") -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only where that setting is absent (plain local tests) is a temporary folder made.
+    Only a plain local session may leave it unset; it gets a temporary folder. On a cluster that would
+    be a folder of one machine, so an unset value is an error there. Nothing here is removed by the library:
+    whoever owns the folder sets its age limit.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = spark.conf.get("zonecast.scratch.dir", None)
     if not local:
         local = tempfile.mkdtemp(prefix="zonecast-")
@@ -43,7 +48,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the scratch folder."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -56,3 +61,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed only because nothing is there yet; any other failure must not pass for that."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from zonecast.config import REPUBLISH_DAYS
 from zonecast.functions.numeric import json_ready
 
+from zonecast.session import is_missing
+
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace exactly the partitions present in ``df``.
@@ -35,7 +37,9 @@ def existing_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or an empty one of the same shape before the first write."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return spark.createDataFrame([], like.schema)
 
 
@@ -69,7 +73,9 @@ def merge_recent(
     """
     try:
         newest = spark.read.parquet(path).agg(F.max(day).alias("d")).first()["d"]
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         newest = None
     if newest is not None:
         source = source.where(F.col(day) >= F.date_sub(F.lit(newest), recompute_days))

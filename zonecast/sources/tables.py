@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -68,4 +67,4 @@ def load_issued(spark: SparkSession, path: str) -> DataFrame:
 
 
 def driver_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(str(Path(directory) / f"{name}.parquet"))
+    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")

@@ -31,42 +31,20 @@ def landing(
     return reader.parquet(path)
 
 
-def landed_partitions(spark: SparkSession, *paths: str, least: int = 8) -> int:
-    """Scan partitions of what has landed, between ``least`` and the session's shuffle setting.
-
-    The state of a new stream is split this way: adaptive execution does not merge state
-    partitions, and hundreds of nearly empty ones cost more than the data.
-    """
-    scans = sum(spark.read.parquet(p).rdd.getNumPartitions() for p in paths)
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(least, scans))
-
-
-def append_available(
-    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
-) -> None:
+def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run the stream over what has landed and append its output to ``path``.
 
-    ``state_partitions`` counts for the first run of a checkpoint, which keeps its number. A
-    stream that will grow should be started with the number its full state needs.
+    A checkpoint keeps the number of state partitions of its first run, the session's
+    spark.sql.shuffle.partitions: start a stream with the number that its full state needs.
     """
-    spark = stream.sparkSession
-    setting = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(setting)
-    if state_partitions:
-        spark.conf.set(setting, state_partitions)
-    try:
-        # The stream takes its settings with it when it starts.
-        query = (
-            stream.writeStream.outputMode("append")
-            .format("parquet")
-            .option("path", path)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set(setting, usual)
+    query = (
+        stream.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
 
 
@@ -83,16 +61,23 @@ def each_batch_available(
     query.awaitTermination()
 
 
-def hourly_rollup(intervals: DataFrame, time: str = "interval_start", late: str = LATE) -> DataFrame:
+def hourly_rollup(
+    intervals: DataFrame, time: str = "interval_start", version: str = "published", late: str = LATE
+) -> DataFrame:
     """Hourly prices that still take in intervals republished up to ``late`` behind the newest.
 
-    An hour is appended once the watermark has passed its end. Watermarks need a zoned
-    timestamp; the conversion there and back keeps the instant.
+    An interval counts once, with the price of its highest ``version``, however often it is published. The state
+    holds one row for each interval of the open hours. An hour is appended once the watermark has passed its
+    end. Watermarks need a zoned timestamp; the conversion there and back keeps the instant.
     """
-    return (
+    newest = (
         intervals.withColumn("event_time", as_zoned(time))
         .withWatermark("event_time", late)
-        .groupBy("zone", F.window("event_time", "1 hour").alias("hour"))
+        .groupBy("zone", F.window("event_time", "1 hour").alias("hour"), time)
+        .agg(F.max_by("price_sek_kwh", version).alias("price_sek_kwh"))
+    )
+    return (
+        newest.groupBy("zone", F.window(F.window_time("hour"), "1 hour").alias("hour"))
         .agg(
             F.avg("price_sek_kwh").alias("price_sek_kwh"),
             F.min("price_sek_kwh").alias("min_interval_price"),
@@ -154,7 +139,9 @@ def keep_first(path: str, order: str, *key: str) -> Callable[[DataFrame], None]:
 def validate_batches(prices: str, status: str) -> Callable[[DataFrame], None]:
     """Batch writer for raw days (zone, day, source, payload): good rows and the day status.
 
-    Both tables are partitioned by zone and day, so a batch replaces exactly the days it holds.
+    Both tables are partitioned by zone and day, so a batch replaces the status of exactly the days it holds. A day
+    without a good row leaves its older price partition in place; ``current_prices`` is how prices are read,
+    and leaves those days out.
     """
 
     def write(batch: DataFrame) -> None:
@@ -169,3 +156,13 @@ def validate_batches(prices: str, status: str) -> Callable[[DataFrame], None]:
             checked.unpersist()
 
     return write
+
+
+def current_prices(prices: DataFrame, status: DataFrame) -> DataFrame:
+    """The prices of the days whose latest version is good."""
+    bad = status.where(F.col("reason").isNotNull()).select(
+        F.col("zone").alias("_zone"), F.col("day").alias("_day")
+    )
+    return prices.join(
+        bad, (F.col("zone") == F.col("_zone")) & (F.col("delivery_date") == F.col("_day")), "left_anti"
+    )
