@@ -9,8 +9,8 @@ from zonecast.session import materialise
 
 __all__ = ["WHITESPACE", "id_type", "keep_rows", "materialise", "read", "row_key", "small_batches", "word_array"]
 
-# Rows an Arrow batch may hold at most: whole texts of up to some 100 kB are then about 100 MB.
-BATCH_ROWS = 1000
+# Rows an Arrow batch may hold at most: whole texts of up to some 100 kB are then about 50 MB.
+BATCH_ROWS = 500
 
 # The byte set that separates words.
 WHITESPACE = r"[\x20\x09-\x0D]+"

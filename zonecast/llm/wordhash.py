@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = U(0x9E3779B97F4A7C15)
