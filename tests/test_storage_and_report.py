@@ -157,16 +157,19 @@ def test_stream_rollup_takes_late_intervals(spark, tmp_path):
 
     def run():
         jobs.append_available(
-            jobs.hourly_rollup(jobs.landing(spark, land, INTERVAL, 1)), out, str(tmp_path / "state")
+            jobs.hourly_rollup(jobs.landing(spark, land, f"{INTERVAL}, published int", 1)), out, str(tmp_path / "state")
         )
 
-    intervals(spark, [1]).limit(2).coalesce(1).write.mode("append").parquet(land)
-    run()
-    late = intervals(spark, [1]).where("price_sek_kwh > 20")
-    late.coalesce(1).write.mode("append").parquet(land)
-    run()
-    intervals(spark, [10]).coalesce(1).write.mode("append").parquet(land)
-    run()
+    def land_rows(rows, published):
+        rows.withColumn("published", F.lit(published)).coalesce(1).write.mode("append").parquet(land)
+        run()
+
+    land_rows(intervals(spark, [1]).limit(2), 1)
+    land_rows(intervals(spark, [1]).where("price_sek_kwh > 20"), 1)
+    # The same intervals again: at a higher version their price counts, at a lower one it doesn't.
+    land_rows(intervals(spark, [1]).where("price_sek_kwh > 20"), 2)
+    land_rows(intervals(spark, [1]).withColumn("price_sek_kwh", F.lit(99.0)), 0)
+    land_rows(intervals(spark, [10]), 1)
     rows = spark.read.parquet(out).collect()
     assert [(r["hour_start"], r["n_intervals"], r["price_sek_kwh"]) for r in rows] == [
         (datetime(2025, 1, 1, 10), 4, 23.5)
@@ -205,3 +208,7 @@ def test_stream_validation_splits_days(spark, tmp_path, repeat):
         write(batch)
     assert spark.read.parquet(str(tmp_path / "p")).count() == 24
     assert [r["day"] for r in quarantined(spark.read.parquet(str(tmp_path / "s"))).collect()] == [bad]
+    # The good day lands again without a record: its old prices no longer count.
+    write(batch.where("source = 'g'").withColumn("payload", F.filter("payload", lambda x: F.lit(False))))
+    prices, status = spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "s"))
+    assert jobs.current_prices(prices, status).count() == 0

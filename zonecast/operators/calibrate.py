@@ -23,10 +23,14 @@ def margin_rank(n: Column, coverage: float = TARGET_COVERAGE) -> Column:
 def margins(
     scores: DataFrame, *keys: str, coverage: float = TARGET_COVERAGE, min_points: int = MIN_POINTS
 ) -> DataFrame:
-    """(keys, n_scores, interval_margin) from rows of (keys, score); short groups are left out."""
+    """(keys, n_scores, interval_margin) from rows of (keys, score); short groups are left out.
+
+    A null score, of a forecast that couldn't be made, counts for nothing.
+    """
     group = Window.partitionBy(*keys)
     return (
-        scores.withColumn("n_scores", F.count("*").over(group))
+        scores.where(F.col("score").isNotNull())
+        .withColumn("n_scores", F.count("*").over(group))
         .withColumn("place", F.row_number().over(group.orderBy("score")) - 1)
         .where((F.col("n_scores") >= min_points) & (F.col("place") == margin_rank(F.col("n_scores"), coverage)))
         .select(*keys, "n_scores", F.col("score").alias("interval_margin"))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonecast.config import CALENDAR_INPUTS, PRICE_INPUTS, QCOLS, QUANTILES, WEATHER_INPUTS
@@ -133,15 +133,24 @@ class QuantileForest:
             maxBins=max(32, len(zone_codes)),
         )
         model = forest.fit(train)
-        leaves = (
+        counted = (
             model.transform(train)
             .select(
                 "target_price", F.posexplode(vector_to_array("leaf")).alias("tree", "leaf")
             )
-            .groupBy("tree", F.col("leaf").cast("int").alias("leaf"))
-            # Mergeable sketches: bounded memory per leaf, exact below the stated accuracy.
-            .agg(F.percentile_approx("target_price", list(self.quantiles), 10000).alias("q"))
+            .groupBy("tree", F.col("leaf").cast("int").alias("leaf"), "target_price")
+            .agg(F.count("*").alias("here"))
         )
+        # Exact whatever a leaf holds: its values are counted first, then ranked by running totals.
+        leaf = Window.partitionBy("tree", "leaf")
+        ranked = counted.withColumns(
+            {"through": F.sum("here").over(leaf.orderBy("target_price")), "total": F.sum("here").over(leaf)}
+        )
+        cuts = [
+            F.min(F.when(F.col("through") >= F.ceil(F.lit(q) * F.col("total")), F.col("target_price")))
+            for q in self.quantiles
+        ]
+        leaves = ranked.groupBy("tree", "leaf").agg(F.array(*cuts).alias("q"))
         table = {(r["tree"], r["leaf"]): r["q"] for r in leaves.collect()}
         return FittedForest(self, model, dict(zone_codes), inputs, table)
 

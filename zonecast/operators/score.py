@@ -16,7 +16,9 @@ def metric_columns() -> list[Column]:
     """n, MAE, RMSE, bias, mean pinball loss and inclusive 80 % coverage of a group."""
     y, error = F.col("target_price"), F.col("q50") - F.col("target_price")
     losses = [pinball(y, F.col(c), q) for c, q in zip(QCOLS, QUANTILES, strict=True)]
-    hit = F.coalesce(inside(y, F.col("q10"), F.col("q90")), F.lit(0.0))
+    # A forecast that couldn't be made is no miss; a bound that is missing beside a median is one.
+    made = F.col("q50").isNotNull()
+    hit = F.when(made, F.coalesce(inside(y, F.col("q10"), F.col("q90")), F.lit(0.0)))
     return [
         F.count("*").alias("n"),
         F.avg(F.abs(error)).alias("mae"),
@@ -39,7 +41,8 @@ def score(
     metrics = metric_columns()
     if raw_models:
         raw = inside(y, F.col("q10_raw"), F.col("q90_raw"))
-        metrics.append(F.avg(F.coalesce(raw, F.lit(0.0))).alias("raw_coverage"))
+        hit = F.when(F.col("q50").isNotNull(), F.coalesce(raw, F.lit(0.0)))
+        metrics.append(F.avg(hit).alias("raw_coverage"))
     keyed = predictions.withColumn("year", F.year("delivery_date"))
     grouped = keyed.groupingSets(
         [["model"], ["zone", "model"], ["year", "model"]], "model", "zone", "year"

@@ -6,8 +6,6 @@ forecasts with bounds 20 % away. It is a plain expression, so SQL can follow eve
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +19,6 @@ from zonecast.plans.sqltext import DAILY_PANEL, LOCAL, R6, with_ctes
 from zonecast.session import materialise
 from zonecast.sources.tables import driver_table
 
-START = date(1995, 3, 1)
 MIN_DAYS = 30
 
 
@@ -59,10 +56,11 @@ MODELS = {"naive_day": naive_day, "naive_week": naive_week, "band": band}
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled days that every model can predict, stored as a backtest stores them."""
-    rows = ft.labelled(order_rows(panels.stored_days(spark, sf_dir))).where(
-        (F.col("delivery_date") >= F.lit(START)) & band()[1].isNotNull()
-    )
+    """Every labelled day with every model, stored as a backtest stores them.
+
+    The first days have no earlier price, so a model has no median there; such a row drops out of its own errors only.
+    """
+    rows = ft.labelled(order_rows(panels.stored_days(spark, sf_dir)))
     return materialise(predict_long(rows, MODELS), "predictions")
 
 
@@ -89,15 +87,14 @@ preds as (
            case model when 'naive_day' then day_value when 'naive_week' then week_value
                       else (day_value + week_value) / 2 * 1.2 end as q90
     from inputs, (values ('naive_day'), ('naive_week'), ('band')) as m(model)
-    where target_price is not null and delivery_date >= date '{START}'
-      and day_value is not null and week_value is not null)"""
+    where target_price is not null)"""
 
 _MARGINS = f"""history as (
     select p.model, p.zone, f.fold, greatest(q10 - target_price, target_price - q90) as score
     from preds as p join (select distinct model, zone, fold from preds) as f
       on f.model = p.model and f.zone = p.zone
      and p.delivery_date < f.fold and p.delivery_date >= f.fold - 90
-    where p.model = 'band'),
+    where p.model = 'band' and p.q50 is not null),
 ranked as (
     select *, count(*) over (partition by model, zone, fold) as n,
            row_number() over (partition by model, zone, fold order by score) - 1 as place from history),
@@ -180,7 +177,8 @@ LIVE_MARGINS = with_ctes(
     _FORECASTS,
     f"""recent as (
         select zone, greatest(q10 - target_price, target_price - q90) as score from preds
-        where model = 'band' and delivery_date > (select max(delivery_date) - 90 from preds where model = 'band')),
+        where model = 'band' and q50 is not null
+          and delivery_date > (select max(delivery_date) - 90 from preds where model = 'band')),
     ranked as (
         select *, count(*) over (partition by zone) as n,
                row_number() over (partition by zone order by score) - 1 as place from recent)""",

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.config import WINDOW_DAYS
 from zonecast.functions.clock import day_start_utc
 from zonecast.operators import features as ft
 from zonecast.operators import score as sc
@@ -19,9 +20,6 @@ from zonecast.plans.shape import big, rounded, six
 from zonecast.session import materialise, scratch_path
 from zonecast.sources.tables import driver_table
 
-# The zones of the order panel.
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-CODES = {zone: code for code, zone in enumerate(PRIORITIES)}
 NEIGHBOURS = {
     "1-URGENT": "prev_urgent_mean",
     "3-MEDIUM": "prev_medium_mean",
@@ -31,8 +29,8 @@ PRICES = (
     "lag_1d", "lag_2d", "lag_7d", "prev_day_mean", "prev_week_mean", "prev_day_mean_change",
     *NEIGHBOURS.values(),
 )
-# First month predicted; every earlier day is training data.
-FIRST_FOLD = date(2001, 5, 1)
+# Months of training data before the first month that is predicted; every later one is.
+WARM_UP_MONTHS = 60
 MIN_DAYS = 30
 
 
@@ -84,8 +82,26 @@ INPUTS = {
 }
 
 
+def zone_codes(features: DataFrame) -> dict[str, int]:
+    """A code for each zone of the panel (its length is the number of zones, not of rows)."""
+    return {r["zone"]: i for i, r in enumerate(features.select("zone").distinct().orderBy("zone").collect())}
+
+
+def first_fold(features: DataFrame) -> date:
+    """The month after the warm-up."""
+    first = F.add_months(F.trunc(F.min("delivery_date"), "MM"), WARM_UP_MONTHS)
+    return ft.labelled(features).agg(first.alias("d")).first()["d"]
+
+
+def recent_fold(features: DataFrame, days: int = WINDOW_DAYS) -> date:
+    """The first month that the last ``days`` labelled days touch."""
+    first = F.trunc(F.date_sub(F.max("delivery_date"), days), "MM")
+    return ft.labelled(features).agg(first.alias("d")).first()["d"]
+
+
 def _backtest(spark: SparkSession, sf_dir: str, features: DataFrame) -> DataFrame:
-    return walkforward.backtest(features, CODES, FIRST_FOLD, inputs=INPUTS, min_points=MIN_DAYS)
+    codes = zone_codes(features)
+    return walkforward.backtest(features, codes, first_fold(features), inputs=INPUTS, min_points=MIN_DAYS)
 
 
 def quantile_forest_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,22 +121,25 @@ def quantile_forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares of the inputs in a forest trained on every labelled day."""
-    known = ft.labelled(order_features(spark, sf_dir))
-    fitted = QuantileForest().fit(known, CODES, INPUTS["forest"])
+    features = order_features(spark, sf_dir)
+    fitted = QuantileForest().fit(ft.labelled(features), zone_codes(features), INPUTS["forest"])
     return fitted.importance().select("input", rounded("importance").alias("importance"))
 
 
 def live_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coming day forecast by a forest, calibrated by recent errors, issued once."""
     features = order_features(spark, sf_dir)
+    codes = zone_codes(features)
     history = walkforward.run(
-        features, CODES, FIRST_FOLD, {"forest": QuantileForest()}, {"forest": INPUTS["forest"]}
+        features, codes, recent_fold(features), {"forest": QuantileForest()}, {"forest": INPUTS["forest"]}
     )
     margins = recent_margins(history, "forest", min_points=MIN_DAYS)
     path = scratch_path(spark, "issued")
-    when = datetime(2001, 8, 1, 8)
+    # Eight in the morning of the day before the one to come.
+    newest = features.where(F.col("target_price").isNull()).agg(F.max("issue_date").alias("d")).first()["d"]
+    when = datetime(newest.year, newest.month, newest.day, 8)
     for _ in range(2):  # the second run finds the day issued and leaves it alone
-        issue(features, path, margins, CODES, inputs=INPUTS["forest"], issued_at=when)
+        issue(features, path, margins, codes, inputs=INPUTS["forest"], issued_at=when)
     return spark.read.parquet(path).select(
         "zone", "delivery_date", *big("hour_local"), *six("q10", "q50", "q90", "interval_margin", "naive_day"),
         "issued_at", "model_version", "trained_through",
