@@ -41,7 +41,8 @@ def month_series(spark: SparkSession, first: date, last: date, name: str = "mont
 
 
 # Swedish public holidays. A day offset is counted from Easter Sunday; a weekday
-# rule is the Saturday in the seven days from the given month and day.
+# rule is the Saturday in the seven days from the given month and day. The years are the first and
+# last of a holiday that came or went.
 FIXED_HOLIDAYS = (
     (1, 1, "Nyårsdagen"),
     (1, 6, "Trettondedag jul"),
@@ -56,11 +57,13 @@ EASTER_HOLIDAYS = (
     (1, "Annandag påsk"),
     (39, "Kristi himmelsfärdsdag"),
     (49, "Pingstdagen"),
+    (50, "Annandag pingst"),
 )
 SATURDAY_HOLIDAYS = (
     (6, 20, "Midsommardagen"),
     (10, 31, "Alla helgons dag"),
 )
+HOLIDAY_YEARS = {"Nationaldagen": (2005, 9999), "Annandag pingst": (0, 2004)}
 SUNDAY_SUFFIX = "; Söndag"
 
 
@@ -92,7 +95,9 @@ def holidays_of(years: DataFrame) -> DataFrame:
     year, easter = F.col("year"), F.col("easter")
 
     def entry(day: Column, name: str) -> Column:
-        return F.struct(day.alias("holiday_date"), F.lit(name).alias("holiday_name"))
+        first, last = HOLIDAY_YEARS.get(name, (0, 9999))
+        held = F.when(year.between(first, last), day)
+        return F.struct(held.alias("holiday_date"), F.lit(name).alias("holiday_name"))
 
     entries = [entry(F.make_date(year, F.lit(m), F.lit(d)), n) for m, d, n in FIXED_HOLIDAYS]
     entries += [entry(F.date_add(easter, k), n) for k, n in EASTER_HOLIDAYS]
@@ -102,7 +107,7 @@ def holidays_of(years: DataFrame) -> DataFrame:
     ]
     named = _with_easter(years.select(F.col("year").cast("int"))).select(F.inline(F.array(*entries)))
     on_sunday = iso_dow("holiday_date") == 7
-    return named.select(
+    return named.where(F.col("holiday_date").isNotNull()).select(
         "holiday_date",
         F.when(on_sunday, F.concat("holiday_name", F.lit(SUNDAY_SUFFIX)))
         .otherwise(F.col("holiday_name"))
