@@ -152,16 +152,18 @@ def issue_timing(tz: str = MARKET_TZ, close_hour: int = AUCTION_CLOSE_HOUR) -> C
 
 
 def issue_log(issued: DataFrame, scored: DataFrame, tz: str = MARKET_TZ) -> DataFrame:
-    """One row per issued day: when, by which version, and its scores once prices are there.
+    """One row per issued day, newest first: when, by which version, and its scores once prices are there.
 
-    Order by delivery_date descending to show it newest first.
+    ``position`` counts from the newest day; there is one row a day, so numbering them is bounded by the calendar.
     """
+    place = F.row_number().over(Window.orderBy(F.desc("delivery_date"))).cast("bigint")
     first = F.min(F.struct("zone", "hour_start", "issued_at", "model_version"))
     days = issued.groupBy("delivery_date").agg(first.alias("first")).select(
         "delivery_date", "first.issued_at", "first.model_version"
     )
     means = day_means(track_record_days(scored))
     return days.join(means, "delivery_date", "left").select(
+        place.alias("position"),
         "delivery_date",
         "issued_at",
         "model_version",

@@ -369,7 +369,7 @@ TRACK_RECORD_SUMMARY = with_ctes(
 def issue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     issued, scored = _scored(spark, sf_dir)
     return sc.issue_log(issued, scored).select(
-        "delivery_date", "issued_at", "model_version", "timing", "status",
+        "position", "delivery_date", "issued_at", "model_version", "timing", "status",
         *six("mae_model", "mae_naive", "coverage"),
     )
 
@@ -379,7 +379,8 @@ ISSUE_LOG = with_ctes(
     _FORECASTS,
     _ISSUED,
     select=f"""
-    select i.delivery_date, issued_at, 'band-v1' as model_version,
+    select row_number() over (order by i.delivery_date desc) as position,
+           i.delivery_date, issued_at, 'band-v1' as model_version,
            case when {LOCAL('issued_at')} < cast(i.delivery_date - 1 as timestamp) + interval 12 hours
                 then 'before' else 'after' end as timing,
            case when mae_model is null then 'waiting' else 'scored' end as status,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.clock import day_start_utc
@@ -251,15 +251,17 @@ PIPELINE_HEALTH = f"""
 
 
 def model_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models of the order panel with their error as a share of the largest, in each view."""
+    """Models of the order panel, best first in each view, with their error as a share of the largest."""
     scores = sc.score(forecast_queries.predictions(spark, sf_dir))
+    place = F.rank().over(Window.partitionBy("scope", "part").orderBy(F.col("mae").asc_nulls_last()))
     return report.share_of_largest(scores, "mae", "scope", "part").select(
-        "scope", "part", "model", *six("mae", "share")
+        "scope", "part", "model", place.cast("bigint").alias("place"), *six("mae", "share")
     )
 
 
 MODEL_RANKING = f"""
-    select scope, part, model, mae, {R6('raw / max(raw) over (partition by scope, part)')} as share
+    select scope, part, model, rank() over (partition by scope, part order by raw) as place, mae,
+           {R6('raw / max(raw) over (partition by scope, part)')} as share
     from ({forecast_queries.SKILL_BY_GROUP.replace("s.model, ", "s.model, s.mae as raw, ")})"""
 
 FIRST_RUN = date(2024, 1, 20)
