@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import price_records, weather_points, write_json
+from conftest import day_document, point_document, put
 from pyspark.sql import functions as F
 from test_forecasting import CODES, NO_WEATHER, SMALL, features
 
@@ -42,12 +42,12 @@ def world(tmp_path_factory):
     for d in range(days):
         day = start + timedelta(days=d)
         for i, zone in enumerate(ZONES):
-            write_json(root / f"raw/prices/{zone}/{day:%Y}/{day}.json", price_records(day, seed=i))
+            put(root / f"raw/prices/{zone}/{day:%Y}/{day}.json", day_document(day, seed=i))
     last = start + timedelta(days=days - 1)
-    write_json(root / "raw/weather/archive/2024-03.json", weather_points(start - timedelta(days=1), last))
-    write_json(
+    put(root / "raw/weather/archive/2024-03.json", point_document(start - timedelta(days=1), last))
+    put(
         root / f"raw/weather/forecast/{last}.json",
-        {"fetched_at": f"{last}T08:00:00Z", "points": weather_points(last, last + timedelta(days=2))},
+        {"fetched_at": f"{last}T08:00:00Z", "points": point_document(last, last + timedelta(days=2))},
     )
     return root, last
 
@@ -67,7 +67,7 @@ def test_daily_run_issues_once_and_scores_later(spark, world):
     # The next day's prices arrive: it is scored, and the day after is issued.
     after = last + timedelta(days=1)
     for i, zone in enumerate(ZONES):
-        write_json(root / f"raw/prices/{zone}/{after:%Y}/{after}.json", price_records(after, seed=i))
+        put(root / f"raw/prices/{zone}/{after:%Y}/{after}.json", day_document(after, seed=i))
     assert pipeline.run_daily(spark, raw, out, SMALL, issued_at=at + timedelta(days=1))
     log = spark.read.json(f"{out}/report/issue_log").orderBy("delivery_date").collect()
     assert [r["status"] for r in log] == ["scored", "waiting"]

@@ -3,7 +3,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import price_records, weather_points, write_json
+from conftest import day_document, point_document, put
 from pyspark.sql import functions as F
 
 from zonecast.config import ZONES
@@ -24,13 +24,13 @@ def built(spark, tmp_path_factory):
     for d in range(DAYS):
         day = START + timedelta(days=d)
         for i, zone in enumerate(ZONES):
-            write_json(root / f"raw/prices/{zone}/{day:%Y}/{day}.json", price_records(day, seed=i))
-    write_json(root / "raw/weather/archive/2024-01.json", weather_points(START, LAST))
-    write_json(
+            put(root / f"raw/prices/{zone}/{day:%Y}/{day}.json", day_document(day, seed=i))
+    put(root / "raw/weather/archive/2024-01.json", point_document(START, LAST))
+    put(
         root / f"raw/weather/forecast/{LAST}.json",
-        {"fetched_at": f"{LAST}T10:00:00+01:00", "points": weather_points(LAST, LAST + timedelta(days=2))},
+        {"fetched_at": f"{LAST}T10:00:00+01:00", "points": point_document(LAST, LAST + timedelta(days=2))},
     )
-    write_json(root / "raw/weather/forecast/2024-01-15.json", {"points": []})
+    put(root / "raw/weather/forecast/2024-01-15.json", {"points": []})
     out = str(root / "out")
     stats, features = warehouse.build(spark, str(root / "raw"), out)
     return root, out, stats, features

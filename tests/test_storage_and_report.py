@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import price_records
+from conftest import day_document
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import json_ready, ordered, share
@@ -197,9 +197,9 @@ def test_stream_batches_are_safe_to_repeat(spark, tmp_path):
 @pytest.mark.parametrize("repeat", [1, 2])
 def test_stream_validation_splits_days(spark, tmp_path, repeat):
     good, bad = date(2025, 6, 1), date(2025, 6, 2)
-    broken = price_records(bad)
+    broken = day_document(bad)
     broken.pop(10)
-    rows = [("SE3", good, "g", json.dumps(price_records(good))), ("SE3", bad, "b", json.dumps(broken))]
+    rows = [("SE3", good, "g", json.dumps(day_document(good))), ("SE3", bad, "b", json.dumps(broken))]
     batch = spark.createDataFrame(rows, "zone string, day date, source string, value string").select(
         "zone", "day", "source", F.from_json("value", PRICE_PAYLOAD).alias("payload")
     )
