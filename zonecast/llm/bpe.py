@@ -28,7 +28,7 @@ from zonecast.llm.common import id_type, small_batches
 
 # The code points that the pattern's \s means (the White_Space property).
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-WORDS_CACHED, PIECES_CACHED, LONGEST_CACHED = 800_000, 500_000, 1000
+WORDS_CACHED, PIECES_CACHED, LONGEST_CACHED = 300_000, 200_000, 1000
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
