@@ -163,7 +163,8 @@ MEAN_OF_MEANS = with_ctes(
     WEATHER,
     select=f"""
     select valid_at, {R6('avg(wind_100m_ms)')} as north_wind_ms
-    from archive where zone in ('click', 'error') group by all""",
+    from (select zone, hour as valid_at, avg(wind_speed_100m) as wind_100m_ms from event_weather group by all)
+    where zone in ('click', 'error') group by all""",
 )
 
 
