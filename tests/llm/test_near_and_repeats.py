@@ -1,9 +1,11 @@
 """Near-duplicates and repeats against brute force, and on odd input."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from zonecast.llm import near_dedup, substring_dedup
@@ -71,6 +73,47 @@ def test_components_of_documents_and_near_copies(spark, documents):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def templated_pairs(pairs, seed=5):
+    """Documents from one template, each at a similarity of exactly 0.75 to its partner and of about 0.6 to all others."""
+    rng = random.Random(seed)
+    rows = []
+    for pair in range(pairs):
+        places = rng.sample(range(5, 210, 5), 8)
+        for side, own in enumerate((places[2:5], places[5:])):
+            changed = {**{p: f"pair{pair}at{p}" for p in places[:2]}, **{p: f"own{pair}side{side}at{p}" for p in own}}
+            rows.append((2 * pair + side, " ".join(changed.get(i, f"word{i}") for i in range(214))))
+    return rows
+
+
+def test_links_in_a_group_of_alike_documents(spark):
+    rows = templated_pairs(60)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = expected_components(rows)
+    assert sum(top != i for i, (_, top) in wanted.items()) >= 60
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == wanted
+
+
+@pytest.mark.parametrize("depth", [1, 7, 10])
+def test_trees_hold_pairs_of_least_similarity_at_every_depth(depth):
+    rng = np.random.default_rng(depth)
+    trees, shares = near_dedup.TREES[depth], []
+    for _ in range(200):
+        both = rng.integers(0, 2**63, 240).astype(np.uint64)  # 180 of 240 are shared: exactly 0.75
+        a, b = both[:210], np.concatenate([both[:180], both[210:]])
+        nodes = [np.concatenate([_below(k, depth, x) for k in range(1, depth + 1)]) for x in (a, b)]
+        shared = np.unique(np.intersect1d(*nodes) & near_dedup.TREE_BITS)
+        shares.append(len(shared) / trees)
+    assert min(shares) > 0
+    assert abs(np.mean(shares) - near_dedup._share(depth)) < 0.03
+
+
+def _below(start, depth, shingles):
+    nodes = near_dedup.entered(start, shingles)
+    for d in range(start + 1, depth + 1):
+        nodes = near_dedup.children(nodes, d, shingles)
+    return nodes
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     found = near_dedup.near_duplicates(odd_docs).collect()
     assert len(found) == 16

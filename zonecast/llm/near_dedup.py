@@ -5,19 +5,21 @@ the whole sequence is its one shingle; without words it is empty. Two documents
 sets' Jaccard similarity is at least 0.75, and a component is what links connect.
 
 1. Equal sets form a class, of which the smallest doc_id goes on.
-2. Every class has ``POSITIONS`` minwise tokens. In each of ``TREES`` independent trees a node chooses
-   one or two positions (4/3 on average, that is 1 / 0.75, as the method asks), and a document goes to the child named by
-   its token there. Similar documents follow the same path with high probability.
+2. In each of many independent trees a node chooses one or two minwise hashes (4/3 on average, that is 1 / 0.75, as the
+   method asks), and a document goes to the child named by its token there. Similar documents follow the same path with
+   high probability. A tree has minwise hashes of its own, ``SLOTS`` at each depth.
 3. A node is small while fewer than ``SMALL`` of its documents are outside its largest connected part (at first each
    document is a part of its own). What is outside is compared with the whole node exhaustively. In a larger node each document is compared
-   with the smallest id that it meets, and then the node branches on, ``STEPS`` times before nodes are counted again.
-4. Candidates whose tokens agree as rarely as a similarity of 0.75 all but never would (below ``AGREE`` of 64; it
-   happens to one such pair in 10^8) are dropped; all others are confirmed on their full sets.
+   with the smallest id that it meets, and then the node branches once. Nodes are counted at every depth.
+4. Candidates whose tokens at ``POSITIONS`` further hashes agree as rarely as a similarity of 0.75 all but never would (below
+   ``AGREE`` of 64; it happens to one such pair in 10^8) are dropped; all others are confirmed on their full sets.
 5. Links are joined to components. A node whose documents are all connected by then holds nothing more to
    find, so groups of copies of any size end there. The others branch until nothing is left.
+6. Where documents are left in large nodes they enter more trees, which start at the depth reached: ``TREES`` of them in all.
 
-A document with similarity of 0.75 to another shares a leaf with it in a tree with probability 0.5 to 0.8,
-depending on depth, so 20 trees miss about one such pair in 10^6 to 10^13; higher similarities less.
+Two documents with a similarity of 0.75 share a node in one tree with probability 0.81 at depth 1, 0.53 at 4, 0.33 at 10 and 0.13
+at 34 (``_share``). They are missed if at some depth none of the trees holds both; the number of trees at each depth keeps
+the sum over all depths below ``MISSED``, at any size of the group. Higher similarities are missed less.
 
 Defined cases: a null or empty text has an empty set, is linked with nothing and is kept. A row with a null
 doc_id takes no part: its component is null and it is kept. Rows that repeat a doc_id are one document
@@ -28,6 +30,7 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,17 +43,33 @@ from zonecast.llm.components import components
 from zonecast.llm.wordhash import U, Words, in_chunks, mix, runs
 
 SHINGLE = 5
-POSITIONS, TREES, AGREE = 64, 20, 28
+POSITIONS, AGREE = 64, 28
 # A node is small while fewer documents than this are outside its largest component.
 SMALL = 16
-# A large node branches so many times before its descendants are counted again.
-STEPS = 3
-# Nodes that are still large after so many rounds are compared exhaustively.
-ROUNDS = 12
+# Nodes that are still large at this depth are compared exhaustively.
+ROUNDS = 34
+# A pair of similarity 0.75 may be missed with this probability.
+MISSED = 1e-6
+# Minwise hashes of a tree at each depth, from which its nodes there choose.
+SLOTS = 16
+# The low bits of a node name its tree.
+TREE_BITS = U(0xFF)
+
+
+def _share(depth: int) -> float:
+    """The probability that a tree holds two documents of similarity 0.75 in one node at a depth."""
+    share = 1.0
+    for _ in range(depth):
+        share = (2 * (0.75 * share) + 1 - (1 - 0.75 * share) ** 2) / 3
+    return share
+
+
+# How many trees there are at each depth (none at depth 0).
+TREES = [0, *(math.ceil(math.log(MISSED / ROUNDS) / math.log(1 - _share(d))) for d in range(1, ROUNDS + 1))]
+ROOTS = (mix(np.arange(1, TREES[-1] + 1, dtype=np.uint64) * U(0xE7037ED1A0B428DB)) & ~TREE_BITS) | np.arange(TREES[-1], dtype=np.uint64)
 
 _RANDOM = mix(np.arange(1, 4 * POSITIONS + 1, dtype=np.uint64) * U(0xA0761D6478BD642F))
-_MULTIPLY = _RANDOM[:POSITIONS, None] | U(1)
-_ADD = _RANDOM[POSITIONS : 2 * POSITIONS, None]
+_MULTIPLY, _ADD = _RANDOM[:POSITIONS] | U(1), _RANDOM[POSITIONS : 2 * POSITIONS]
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -67,33 +86,36 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
-    """The least of each of ``POSITIONS`` 32-bit hashes over the set."""
-    out = np.full(POSITIONS, 0xFFFFFFFF, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        hashed = (shingles[None, at : at + 4096] * _MULTIPLY + _ADD) >> U(32)
-        np.minimum(out, hashed.min(axis=1), out=out)
+def minwise(shingles: np.ndarray, multiply: np.ndarray = _MULTIPLY, add: np.ndarray = _ADD) -> np.ndarray:
+    """The least of each 32-bit hash over the set; a hash is named by its factor and its summand."""
+    out = np.full(len(multiply), 0xFFFFFFFF, np.uint64)
+    for of in range(0, len(multiply), POSITIONS):
+        some = slice(of, of + POSITIONS)
+        for at in range(0, len(shingles), 4096):
+            hashed = (shingles[None, at : at + 4096] * multiply[some, None] + add[some, None]) >> U(32)
+            np.minimum(out[some], hashed.min(axis=1), out=out[some])
     return out
 
 
-def _chosen(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First position, second position, and whether the second is chosen, for each node."""
-    drawn = mix(nodes ^ U(0x5851F42D4C957F2D))
-    first = drawn % U(POSITIONS)
-    second = (first + U(1) + (drawn >> U(20)) % U(POSITIONS - 1)) % U(POSITIONS)
-    return first, second, (drawn >> U(40)) % U(3) == U(0)
-
-
-def _children(nodes: np.ndarray, tokens: np.ndarray) -> list[np.ndarray]:
-    """The children of each node for the document whose tokens stand beside it (one or two)."""
-    first, second, both = _chosen(nodes)
-    at = np.arange(len(nodes))
-    one = mix(mix(nodes + first + U(1)) ^ tokens[at, first.astype(np.int64)])
-    two = mix(mix(nodes + second + U(1)) ^ tokens[at, second.astype(np.int64)])
-    return [np.array([x, y] if b else [x], np.uint64) for x, y, b in zip(one, two, both, strict=True)]
+def children(nodes: np.ndarray, depth: int, shingles: np.ndarray) -> np.ndarray:
+    """The children at ``depth`` of nodes a depth above, for the document with these shingles (one or two of each node)."""
+    drawn, slots = mix(nodes ^ U(0x5851F42D4C957F2D)), U(SLOTS)
+    first, both = drawn % slots, (drawn >> U(40)) % U(3) == U(0)
+    second = (first + U(1) + (drawn >> U(20)) % (slots - U(1))) % slots
+    above, slot = np.concatenate([nodes, nodes[both]]), np.concatenate([first, second[both]])
+    tree = above & TREE_BITS
+    used, at = np.unique((tree * U(ROUNDS + 1) + U(depth)) * slots + slot, return_inverse=True)
+    seeds = mix((used + U(1)) * U(0x9FB21C651E98DF25))
+    tokens = minwise(shingles, mix(seeds ^ U(0xD6E8FEB86659FD93)) | U(1), mix(seeds + U(1)))
+    return (mix(mix(above + slot + U(1)) ^ tokens[at]) & ~TREE_BITS) | tree
 
 
-ROOTS = mix(np.arange(1, TREES + 1, dtype=np.uint64) * U(0xE7037ED1A0B428DB))
+def entered(depth: int, shingles: np.ndarray) -> np.ndarray:
+    """The nodes at ``depth`` of the trees that start there."""
+    nodes = ROOTS[TREES[depth - 1] : TREES[depth]]
+    for d in range(1, depth + 1):
+        nodes = children(nodes, d, shingles)
+    return nodes
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -105,10 +127,8 @@ def sketches(docs: DataFrame) -> DataFrame:
             for shingles in shingle_sets(batch.column("text").to_pylist()):
                 sizes.append(len(shingles))
                 keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                least = minwise(shingles)
-                tokens.append(least.astype("<u4").tobytes())
-                below = np.concatenate(_children(ROOTS, np.broadcast_to(least, (TREES, POSITIONS))))
-                nodes.append(below.view(np.int64) if len(shingles) else np.zeros(0, np.int64))
+                tokens.append(minwise(shingles).astype("<u4").tobytes())
+                nodes.append(entered(1, shingles).view(np.int64) if len(shingles) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -128,15 +148,16 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(``id``, ``shingles`` binary) of the documents in ``wanted`` (``id``), from their texts."""
+    """(``id``, ``n``, ``shingles`` binary) of the documents in ``wanted`` (``id``), from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [s.tobytes() for s in shingle_sets(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "shingles"])
+            n = pa.array([len(s) // 8 for s in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), n, pa.array(found, pa.binary())], names=["id", "n", "shingles"])
 
     rows = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    return small_batches(rows).mapInArrow(run, f"id {id_type(docs)}, shingles binary")
+    return small_batches(rows).mapInArrow(run, f"id {id_type(docs)}, n long, shingles binary")
 
 
 def _agree(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -175,39 +196,40 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return small_batches(both.select("a", "b", "set_a", "set_b")).mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _branch(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The descendants (``node``, ``id``, ``n``), ``STEPS`` branchings down, of rows (``node``, ``id``, ``n``)."""
+def _branch(rows: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
+    """The children (``node``, ``id``, ``n``) at ``depth`` of rows (``node``, ``id``, ``n``), and their nodes of the trees that start there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), "<u4").reshape(-1, POSITIONS)
-            nodes = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            own, row = own.astype(np.uint64), np.arange(len(nodes))
-            for _ in range(STEPS):
-                below = _children(nodes, own[row])
-                row = np.repeat(row, [len(x) for x in below])
-                nodes = np.concatenate([nodes[:0], *below])
-            below = [x.view(np.int64) for x in np.split(nodes, np.searchsorted(row, np.arange(1, len(own))))] if len(own) else []
+            below = []
+            for nodes, shingles in zip(batch.column("nodes"), batch.column("shingles"), strict=True):
+                nodes = nodes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                shingles = np.frombuffer(shingles.as_buffer(), np.uint64)
+                below.append(np.concatenate([children(nodes, depth, shingles), entered(depth, shingles)]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("n"), pa.array(below, pa.list_(pa.int64()))], names=["id", "n", "below"]
             )
 
-    joined = rows.join(tokens.select(F.col("id").alias("__of"), "n", "tokens"), (F.col("id") == F.col("__of")) & (rows["n"] == tokens["n"]))
-    below = joined.select("id", rows["n"], "node", "tokens").mapInArrow(
+    of_document = rows.groupBy("id", "n").agg(F.collect_set("node").alias("nodes"))
+    below = small_batches(of_document.join(sets, ["id", "n"])).select("id", "n", "nodes", "shingles").mapInArrow(
         run, f"id {id_type(rows, 'id')}, n long, below array<long>"
     )
     return below.select(F.explode("below").alias("node"), "id", "n")
 
 
+def _divided(rows: DataFrame) -> DataFrame:
+    """The rows (``node``, ``id``, ``n``, ``component``) of nodes that hold more than one component."""
+    nodes = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(nodes.where("low <> high").select("node"), "node", "left_semi")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(``id``, ``component``) of all ids that have a link; classes have ``id``, ``n``, ``tokens``, ``nodes``."""
     spark = docs.sparkSession
     low = F.col("tokens")
-    tokens = materialise(
-        classes.select("id", "n", "tokens", _low_bytes(low).alias("low")).dropDuplicates(["id", "n", "low"]), "tokens"
-    )
+    tokens = materialise(classes.select("id", "n", _low_bytes(low).alias("low")).distinct(), "tokens")
     rows = classes.select(F.explode("nodes").alias("node"), "id", "n").withColumn("component", F.col("id"))
-    links = found = sets = tried = None
+    links = found = sets = tried = paths = None
     for turn in range(ROUNDS):
         # Nodes that hold two components or more, with the largest of them; the rest has nothing left to find.
         inside = rows.groupBy("node", "component").agg(F.count("*").alias("here"), F.min("id").alias("least"))
@@ -256,9 +278,14 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 if not confirmed.isEmpty():
                     links = confirmed if links is None else links.unionByName(confirmed)
                     found = components(links)
-        if rows.where(~is_small).isEmpty():
+        rows = rows.where(~is_small).select("node", "id", "n").distinct()
+        rows = rows.withColumn("component", F.col("id")) if found is None else _placed(rows, found)
+        rows = materialise(_divided(rows), "divided")
+        if rows.isEmpty():
             break
-        rows = _branch(rows.where(~is_small).select("node", "id", "n").distinct(), tokens)
+        if paths is None:  # what is in large nodes later is in large nodes now
+            paths = materialise(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
+        rows = _branch(rows, paths, turn + 2)
         rows = rows.withColumn("component", F.col("id")) if found is None else _placed(rows, found)
         rows = materialise(rows, "branches")
     if found is None:
