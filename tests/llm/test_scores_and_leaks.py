@@ -37,6 +37,23 @@ def test_scores_of_odd_rows(spark, odd_docs, no_docs, operator):
     assert operator.score(no_docs, some, fold, *extra).count() == 0
 
 
+def test_toxicity_reads_long_words_whole_and_every_neighbouring_pair():
+    import numpy as np
+
+    def lean(*bad):
+        out = np.zeros(toxicity.BUCKETS)
+        out[[b for w in bad for b in toxicity.subwords(w)]] = 5
+        return toxicity.Model(out, 0.0)
+
+    model, run = lean("vilest"), "-".join(["word"] * 30)
+    assert model.score(f"{run}-vilest-{run}") > model.score(f"{run}-word-{run}")
+    long = "abcdefghij" * 9 + "klm"
+    blocks = toxicity.words(long)
+    assert {long[i : i + 5] for i in range(len(long) - 4)} == {b[i : i + 5] for b in blocks for i in range(len(b) - 4)}
+    model = lean("vile", "hound")
+    assert model.score("one two vile hound") == model.score("one vile hound two") == model.score("one vile hound")
+
+
 def test_pooling_is_monotone():
     import numpy as np
 

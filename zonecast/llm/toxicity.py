@@ -1,7 +1,8 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the bag of its character n-grams (3 to 5, with word ends) and itself, hashed to ``BUCKETS`` embeddings; misspellings share most of
-them. The embeddings of ``SEGMENT`` words in a row are averaged and go into a softmax over two classes. A document is as toxic as its most
+them. A longer word than ``BLOCK`` characters counts as blocks of so many, each of which overlaps the next by ``OVERLAP``, so no n-gram of it is lost.
+The embeddings of every two neighbouring words are averaged and go into a softmax over two classes. A document is as toxic as its most
 toxic segment: training starts from the mean over segments and moves to the greatest, so a few words in a long text count.
 
 Learnt from at most ``SAMPLE`` labelled documents a class, those with the smallest hash of their id; the share of toxic documents among all labelled
@@ -28,18 +29,23 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import id_type, small_batches
 
 BUCKETS, DIMENSIONS, SEGMENT, SAMPLE, STEPS = 1 << 17, 8, 2, 2500, 120
+BLOCK, OVERLAP = 40, 5
 RATE, DECAY, SHARP = 0.1, 5e-4, 30
 WORDS_CACHED = 300_000
 _words = re.compile(r"[^\s.,;:!?\"()]+").findall
 
 
 def words(text: str | None) -> list[str]:
-    return _words((text or "").lower())
+    """The words of a text in lower case, long ones as overlapping blocks."""
+    found = _words((text or "").lower())
+    if all(len(w) <= BLOCK for w in found):
+        return found
+    return [w[i : i + BLOCK] for w in found for i in range(0, max(1, len(w) - OVERLAP), BLOCK - OVERLAP)]
 
 
 def subwords(word: str) -> list[int]:
-    """Buckets of the word and of its character n-grams; at most the first 40 characters have n-grams."""
-    whole = f"<{word[:40]}>"
+    """Buckets of the word and of its character n-grams."""
+    whole = f"<{word}>"
     grams = [whole, *(whole[i : i + n] for n in (3, 4, 5) for i in range(len(whole) - n + 1))]
     return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
 
@@ -70,8 +76,8 @@ class Model:
 
 
 def _segment_means(values: np.ndarray) -> np.ndarray:
-    starts = np.arange(0, len(values), SEGMENT)
-    return np.add.reduceat(values, starts) / SEGMENT
+    """Of every two neighbouring words; a single word is half a segment."""
+    return (values[:-1] + values[1:] if len(values) > 1 else values) / SEGMENT
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
@@ -86,13 +92,15 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     stream = np.concatenate(tokens)
     starts, owner, at = [], [], 0
     for d, t in enumerate(tokens):
-        own = np.arange(0, len(t), SEGMENT) + at
+        own = np.arange(max(1, len(t) - 1)) + at
         starts.append(own)
         owner.append(np.full(len(own), d))
         at += len(t)
     starts, owner = np.concatenate(starts), np.concatenate(owner)
     first = np.flatnonzero(np.diff(owner, prepend=-1))
-    of_word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(stream))))
+    # The second word of each segment; a document of one word has none.
+    paired = (np.array([len(t) for t in tokens]) > 1)[owner]
+    left, right = stream[starts], stream[starts + paired]
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     rng = np.random.default_rng(seed)
     # Softmax weights of the two classes; only their difference acts.
@@ -103,7 +111,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         u = p["u"][:, 1] - p["u"][:, 0]
         lean = p["e"] @ u
         word_values = np.add.reduceat(lean[flat], bag_starts) / sizes
-        means = np.add.reduceat(word_values[stream], starts) / SEGMENT
+        means = (word_values[left] + paired * word_values[right]) / SEGMENT
         # From the mean over segments to the greatest.
         sharp = SHARP * max(0.0, (step - STEPS / 4) / (STEPS * 3 / 4)) ** 2
         top = np.maximum.reduceat(means, first)
@@ -111,8 +119,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         attention /= np.add.reduceat(attention, first)[owner]
         z = np.add.reduceat(attention * means, first) + p["b"][0]
         error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weight
-        on_words = (error[owner] * attention / SEGMENT)[of_word]
-        per_word = np.bincount(stream, on_words, len(index)) / sizes
+        on_segments = error[owner] * attention / SEGMENT
+        per_word = (np.bincount(left, on_segments, len(index)) + np.bincount(right, on_segments * paired, len(index))) / sizes
         per_bucket = np.bincount(flat, np.repeat(per_word, sizes), BUCKETS)
         du = p["e"].T @ per_bucket
         gradients = {"e": np.outer(per_bucket, u), "u": np.stack([-du, du], axis=1), "b": np.array([error.sum()])}
