@@ -29,8 +29,8 @@ PRICES = (
     "lag_1d", "lag_2d", "lag_7d", "prev_day_mean", "prev_week_mean", "prev_day_mean_change",
     *NEIGHBOURS.values(),
 )
-# Months of training data before the first month that is predicted; every later one is.
-WARM_UP_MONTHS = 60
+# Months of training data before the first month that is predicted, as in the reference; every later one is.
+WARM_UP_MONTHS = 14
 MIN_DAYS = 30
 
 
