@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import day_document, point_document, put
+from documents import day_document, point_document, put
 from pyspark.sql import functions as F
 from test_forecasting import CODES, NO_WEATHER, SMALL, features
 

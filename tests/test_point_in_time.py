@@ -3,7 +3,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import day_document, point_document, put
+from documents import day_document, point_document, put
 from pyspark.sql import functions as F
 
 from zonecast.config import ZONES

@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import day_document
+from documents import day_document
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import json_ready, ordered, share
