@@ -31,8 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
     Only a plain local session may leave it unset; it gets a temporary folder. On a cluster that would
-    be a folder of one machine, so an unset value is an error there. Nothing here is removed by the library:
-    whoever owns the folder sets its age limit.
+    be a folder of one machine, so an unset value is an error there. Operators remove their own intermediates (``Scratch``);
+    stored results stay, and whoever owns the folder sets their age limit.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -63,6 +63,48 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, through the file system that its URI names."""
+    root = scratch_root(spark)
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not under the scratch folder {root}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Stored intermediates of one operator, in a folder that is deleted when the block ends.
+
+    What leaves the block must be stored outside it first (``materialise``). Until then every table stays, so a
+    lost executor finds all it needs to go on.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root = spark, scratch_path(spark, name)
+        self._tables: dict[int, tuple[DataFrame, str]] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self._tables.clear()
+        remove(self.spark, self.root)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table to the folder and read it back."""
+        path = f"{self.root}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self._tables[id(stored)] = (stored, path)
+        return stored
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete tables of this folder that nothing reads any more."""
+        for table in tables:
+            if table is not None and id(table) in self._tables:
+                remove(self.spark, self._tables.pop(id(table))[1])
+
+
 def is_missing(error: AnalysisException) -> bool:
     """Whether a read failed only because nothing is there yet; any other failure must not pass for that."""
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
