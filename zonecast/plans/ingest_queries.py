@@ -12,7 +12,7 @@ from zonecast.operators import ingest, validate
 from zonecast.plans import panels
 from zonecast.plans.shape import big, six
 from zonecast.plans.sqltext import LOCAL, R6, UTC, with_ctes
-from zonecast.sources.raw import POINTS_PAYLOAD, PRICE_PAYLOAD, month_of
+from zonecast.sources.raw import POINTS_PAYLOAD, PRICE_PAYLOAD, month_of, price_patterns
 from zonecast.sources.tables import driver_table
 
 # Days of the all-types zone that are edited so that every rule has a day to reject.
@@ -377,10 +377,24 @@ STALE_GROUPS = """
       from orders group by all)
     where built_at is null or newest_file > built_at"""
 
+
+
+def stale_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stale groups as what a build would read: one path pattern a zone and year."""
+    patterns = price_patterns(stale_groups(spark, sf_dir))
+    return patterns.select("pattern", *big("groups"))
+
+
+STALE_PATTERNS = f"""
+    select zone || '/*/' || left(month, 4) || '-{{' || string_agg(right(month, 2), ',' order by month) || '}}-*.json' as pattern,
+           count(*) as groups
+    from ({STALE_GROUPS}) group by zone, left(month, 4)"""
+
 QUERIES = {
     "missing_worklist": (missing_worklist, MISSING_WORKLIST),
     "month_worklist": (month_worklist, MONTH_WORKLIST),
     "stale_groups": (stale_groups, STALE_GROUPS),
+    "stale_patterns": (stale_patterns, STALE_PATTERNS),
     "day_validation": (day_validation, DAY_VALIDATION),
     "quarantine_reasons": (quarantine_reasons, QUARANTINE_REASONS),
     "build_stats": (build_stats, BUILD_STATS),

@@ -14,6 +14,7 @@ from zonecast.operators.marts import interval_fact
 from zonecast.operators.models import QuantileForest
 from zonecast.operators.validate import quarantined
 from zonecast.plans import daily, walkforward, warehouse
+from zonecast.session import is_missing
 from zonecast.sources import sinks, tables
 
 CODES = {zone: code for code, zone in enumerate(ZONES)}
@@ -64,7 +65,9 @@ def margins_of(spark: SparkSession, out: str, min_points: int = MIN_POINTS) -> D
     """Live margins from the stored predictions; none before the first backtest."""
     try:
         preds = spark.read.parquet(f"{out}/predictions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return spark.createDataFrame([], "zone string, interval_margin double")
     return recent_margins(preds, MODEL, min_points=min_points)
 

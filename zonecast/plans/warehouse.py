@@ -6,6 +6,7 @@ inputs are computed once, and a lost executor costs tasks, not the build.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -18,7 +19,7 @@ from zonecast.operators import ingest, marts, quality, validate
 from zonecast.operators.features import feature_table
 from zonecast.sources import raw, sinks, tables
 from zonecast.sources.generators import calendar, days_between, point_registry, zone_table
-from zonecast.session import is_missing
+from zonecast.session import is_missing, materialise
 
 
 def built_months(spark: SparkSession, status_path: str) -> DataFrame:
@@ -34,44 +35,66 @@ def built_months(spark: SparkSession, status_path: str) -> DataFrame:
     )
 
 
-def build_prices(spark: SparkSession, raw_root: str, out: str) -> dict[str, int]:
-    """Validate the zone-months with new files; prices and day status per (zone, month).
+# More zone-years than this to rebuild at once are read by one pattern for all.
+MAX_PATTERNS = 2000
 
-    A month whose days all fail leaves its older price partition in place, as a failed rebuild
-    must not delete what was valid; its status rows say what is quarantined now.
+
+def stale_price_days(spark: SparkSession, raw_root: str, out: str) -> DataFrame | None:
+    """The documents of the zone-months to rebuild; None if there are none, or no raw folder yet.
+
+    What is stale follows from the listing alone: names and write times. The read is then given only the folders and months
+    that hold it, so an incremental build opens what has landed and nothing else. The semi-join on the groups stays, as the
+    patterns only narrow the read.
     """
-    status_path = f"{out}/price_status"
     try:
         files = raw.list_files(spark, raw_root)
     except AnalysisException as error:
         if not is_missing(error):
             raise
-        return {"months_built": 0, "days_ok": 0, "days_quarantined": 0}
-    stale = ingest.stale_groups(files, built_months(spark, status_path)).select("zone", "month")
-    days = (
-        raw.read_price_days(spark, raw_root)
-        .withColumn("month", raw.month_of("day"))
-        .join(stale, ["zone", "month"], "left_semi")
-        .drop("month")
+        return None
+    # At most a row a zone-month that changed.
+    stale = materialise(
+        ingest.stale_groups(files, built_months(spark, f"{out}/price_status")).select("zone", "month"), "stale-months"
     )
+    patterns = [r["pattern"] for r in raw.price_patterns(stale).limit(MAX_PATTERNS + 1).collect()]
+    if not patterns:
+        return None
+    days = raw.read_price_days(spark, raw_root, patterns if len(patterns) <= MAX_PATTERNS else None)
+    return days.withColumn("month", raw.month_of("day")).join(stale, ["zone", "month"], "left_semi").drop("month")
+
+
+def build_prices(spark: SparkSession, raw_root: str, out: str) -> dict[str, int]:
+    """Validate the zone-months with new files; prices and day status per (zone, month).
+
+    A month whose days all fail leaves its older price partition in place, as a failed rebuild
+    must not delete what was valid; its status rows say what is quarantined now.
+    """
+    days = stale_price_days(spark, raw_root, out)
+    if days is None:
+        return {"months_built": 0, "days_ok": 0, "days_quarantined": 0}
     checked = validate.check_price_days(days).persist()
     try:
         stats = validate.build_stats(checked).first().asDict()
         if stats["days_ok"] + stats["days_quarantined"]:
             prices = validate.valid_intervals(checked).withColumn("month", raw.month_of("delivery_date"))
             sinks.overwrite_partitions(prices, f"{out}/prices", "zone", "month")
-            sinks.overwrite_partitions(validate.day_status(checked), status_path, "zone", "month")
+            sinks.overwrite_partitions(validate.day_status(checked), f"{out}/price_status", "zone", "month")
     finally:
         checked.unpersist()
     return stats
 
 
-def _build_weather(
-    spark: SparkSession, documents: DataFrame, out: str, table: str, *extra: str
-) -> int:
-    """Validate new weather documents; rows and status are partitioned by document name."""
-    registry = point_registry(spark)
-    status_path = f"{out}/{table}_status"
+def stale_documents(spark: SparkSession, root: str, status_path: str) -> list[str]:
+    """Paths of the weather documents never built, or newer than their build; none if nothing has landed yet.
+
+    One document a month or issue day, so the calendar bounds the list.
+    """
+    try:
+        landed = raw.list_documents(spark, root)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return []
     try:
         built = (
             spark.read.schema("source string, reason string, name string")
@@ -83,11 +106,26 @@ def _build_weather(
         if not is_missing(error):
             raise
         built = spark.createDataFrame([], "name string, built_at timestamp")
-    stale = documents.join(built, "name", "left").where(
-        F.col("built_at").isNull() | (F.col("modified") > F.col("built_at"))
-    )
+    stale = landed.join(built, "name", "left").where(F.col("built_at").isNull() | (F.col("modified") > F.col("built_at")))
+    return [r["path"] for r in stale.select("path").collect()]
+
+
+def _build_weather(
+    spark: SparkSession,
+    read: Callable[[SparkSession, str, list[str]], DataFrame],
+    root: str,
+    out: str,
+    table: str,
+    *extra: str,
+) -> int:
+    """Validate new weather documents; rows and status are partitioned by document name. Only stale files are opened."""
+    registry = point_registry(spark)
+    status_path = f"{out}/{table}_status"
+    paths = stale_documents(spark, root, status_path)
+    if not paths:
+        return 0
     checked = validate.check_weather(
-        stale, registry, len(WEATHER_POINTS), "name", "source", *extra
+        read(spark, root, paths), registry, len(WEATHER_POINTS), "name", "source", *extra
     ).persist()
     try:
         rows = validate.flatten_weather(checked, registry, "name", *extra)
@@ -101,14 +139,12 @@ def _build_weather(
 
 
 def build_weather_archive(spark: SparkSession, raw_root: str, out: str) -> int:
-    documents = raw.read_weather_archive(spark, raw_root)
-    return _build_weather(spark, documents, out, "weather_archive")
+    return _build_weather(spark, raw.read_weather_archive, raw_root, out, "weather_archive")
 
 
 def build_weather_snapshots(spark: SparkSession, raw_root: str, out: str) -> int:
     """Snapshots keep their issue day and fetch time; a broken document is quarantined too."""
-    documents = raw.read_weather_snapshots(spark, raw_root)
-    return _build_weather(spark, documents, out, "weather_forecast", "issue_date", "fetched_at")
+    return _build_weather(spark, raw.read_weather_snapshots, raw_root, out, "weather_forecast", "issue_date", "fetched_at")
 
 
 def build_validated(spark: SparkSession, raw_root: str, out: str) -> dict[str, int]:

@@ -22,14 +22,36 @@ _DAY_PATH = r"([^/]+)/[^/]+/(\d{4}-\d{2}-\d{2})\.json$"
 _STEM = r"([^/]+)\.json$"
 
 
-def _files(spark: SparkSession, pattern: str) -> DataFrame:
-    return spark.read.text(pattern, wholetext=True).select(
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths, wholetext=True).select(
         "value",
-        F.col("_metadata.file_path").alias("source"),
+        # The metadata column spells a path as a URI; the listing does not. A plus sign stays one.
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("source"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
+def _listing(spark: SparkSession, pattern: str) -> DataFrame:
+    """Path and modification time of the matching files; no content is read."""
+    return spark.read.format("binaryFile").load(pattern).select("path", F.col("modificationTime").alias("modified"))
+
+
+def price_patterns(groups: DataFrame) -> DataFrame:
+    """Zone-months as path patterns under the price root: (``pattern``, ``groups``), one a zone and year.
+
+    A pattern names the zone's folder (any wildcard character in it taken literally) and the days of the
+    wanted months, so the read lists and opens no other file.
+    """
+    literal = F.regexp_replace("zone", r"([\[\]{}*?\\,])", r"\\$1")
+    months = F.array_join(F.sort_array(F.collect_set(F.substring("month", 6, 2))), ",")
+    return (
+        groups.where("zone is not null and month is not null")
+        .groupBy("zone", F.substring("month", 1, 4).alias("year"))
+        .agg(months.alias("months"), F.count_distinct("month").alias("groups"))
+        .select(F.concat(literal, F.lit("/*/"), "year", F.lit("-{"), "months", F.lit("}-*.json")).alias("pattern"), "groups")
+    )
+
+
 def price_documents(files: DataFrame) -> DataFrame:
     """(value, source) -> (zone, day, source, payload); null payload = not a JSON array."""
     return files.select(
@@ -40,14 +62,21 @@ def price_documents(files: DataFrame) -> DataFrame:
     )
 
 
-def read_price_days(spark: SparkSession, root: str) -> DataFrame:
-    """``root/<zone>/<year>/<day>.json``."""
-    return price_documents(_files(spark, f"{root}/*/*/*.json"))
+def read_price_days(spark: SparkSession, root: str, patterns: list[str] | None = None) -> DataFrame:
+    """``root/<zone>/<year>/<day>.json``: all of them, or those that ``price_patterns`` name."""
+    return price_documents(_files(spark, [f"{root}/{p}" for p in patterns or ["*/*/*.json"]]))
 
 
-def read_weather_archive(spark: SparkSession, root: str) -> DataFrame:
-    """``root/<month>.json`` -> (name, source, modified, payload)."""
-    return _files(spark, f"{root}/*.json").select(
+def list_documents(spark: SparkSession, root: str) -> DataFrame:
+    """(name, modified, path) of every ``root/<name>.json``; contents are not read."""
+    return _listing(spark, f"{root}/*.json").select(
+        F.regexp_extract("path", _STEM, 1).alias("name"), "modified", "path"
+    )
+
+
+def read_weather_archive(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """``root/<month>.json``, or the given files -> (name, source, modified, payload)."""
+    return _files(spark, paths or f"{root}/*.json").select(
         F.regexp_extract("source", _STEM, 1).alias("name"),
         "source",
         "modified",
@@ -55,11 +84,11 @@ def read_weather_archive(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_weather_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """``root/<issue day>.json`` -> (name, issue_date, fetched_at, source, modified, payload)."""
+def read_weather_snapshots(spark: SparkSession, root: str, paths: list[str] | None = None) -> DataFrame:
+    """``root/<issue day>.json``, or the given files -> (name, issue_date, fetched_at, source, modified, payload)."""
     doc = F.from_json("value", SNAPSHOT_PAYLOAD)
     return (
-        _files(spark, f"{root}/*.json")
+        _files(spark, paths or f"{root}/*.json")
         .withColumn("doc", doc)
         .select(
             F.regexp_extract("source", _STEM, 1).alias("name"),
@@ -74,15 +103,11 @@ def read_weather_snapshots(spark: SparkSession, root: str) -> DataFrame:
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Path and modification time of every landed price file; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .load(f"{root}/*/*/*.json")
-        .select(
-            F.regexp_extract("path", _DAY_PATH, 1).alias("zone"),
-            F.regexp_extract("path", _DAY_PATH, 2).try_cast("date").alias("day"),
-            F.col("modificationTime").alias("modified"),
-            F.col("path").alias("source"),
-        )
+    return _listing(spark, f"{root}/*/*/*.json").select(
+        F.regexp_extract("path", _DAY_PATH, 1).alias("zone"),
+        F.regexp_extract("path", _DAY_PATH, 2).try_cast("date").alias("day"),
+        "modified",
+        F.col("path").alias("source"),
     )
 
 

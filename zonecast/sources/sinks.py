@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from zonecast.config import REPUBLISH_DAYS
 from zonecast.functions.numeric import json_ready
-
 from zonecast.session import is_missing
+from zonecast.sources.tables import read_or_empty
 
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -35,12 +35,7 @@ def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 def existing_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or an empty one of the same shape before the first write."""
-    try:
-        return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException as error:
-        if not is_missing(error):
-            raise
-        return spark.createDataFrame([], like.schema)
+    return read_or_empty(spark, path, like.schema)
 
 
 def unissued(df: DataFrame, existing: DataFrame, *key: str) -> DataFrame:

@@ -7,8 +7,10 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from zonecast import schemas
+from zonecast.session import is_missing
 
 
 def scan_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -26,12 +28,22 @@ def scan_prices(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one where nothing was written yet; other failures are raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def scan_weather_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.WEATHER).parquet(path)
+    return read_or_empty(spark, path, schemas.WEATHER)
 
 
 def scan_weather_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.WEATHER_SNAPSHOT).parquet(path)
+    return read_or_empty(spark, path, schemas.WEATHER_SNAPSHOT)
 
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -59,11 +71,7 @@ def load_interval_prices(intervals: DataFrame, first: date, last: date) -> DataF
 
 def load_issued(spark: SparkSession, path: str) -> DataFrame:
     """Every issued forecast, oldest first; an empty frame of the right shape before the first."""
-    try:
-        df = spark.read.schema(schemas.ISSUED).parquet(path)
-    except AnalysisException:
-        df = spark.createDataFrame([], schemas.ISSUED)
-    return df.orderBy("delivery_date", "zone", "hour_start")
+    return read_or_empty(spark, path, schemas.ISSUED).orderBy("delivery_date", "zone", "hour_start")
 
 
 def driver_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
