@@ -206,3 +206,93 @@ def battery_profit(prices: Column, plan: Column, battery: Battery = Battery()) -
     )
     wear = F.aggregate(plan["discharge"], F.lit(0.0), lambda acc, x: acc + x)
     return earned - F.lit(battery.wear_per_kwh) * wear
+
+
+def grid_states(step_kwh: float, battery: Battery) -> tuple[int, int]:
+    """How many states of charge there are in steps of ``step_kwh``, and which one the day starts in."""
+    last, start = battery.capacity_kwh / step_kwh, battery.start_soc_kwh / step_kwh
+    if last != int(last) or start != int(start):
+        raise ValueError(f"capacity and start must be whole steps of {step_kwh} kWh")
+    return int(last) + 1, int(start)
+
+
+def grid_plan(prices: Column, step_hours: float, battery: Battery = Battery(round_trip=1.0)) -> Column:
+    """The best plan of a lossless battery over a day's prices -> struct<profit, moves>, inside the row and without Python.
+
+    Without loss the linear programme is a flow, whose best plans move by whole steps (power times slot length), so states of charge are
+    a small grid. One fold over the prices keeps the greatest profit of each state and how it was reached; a second one
+    walks back from the required last state. A move is -1 (discharge), 0 or 1 (charge); standing still wins ties, then charging.
+    A recursive query would say the same, but takes a job a slot and bounds the rows of all days together; a fold is a projection.
+    """
+    step = battery.power_kw * step_hours
+    n, start = grid_states(step, battery)
+    states = F.sequence(F.lit(0), F.lit(n - 1))
+    none = F.lit(None).cast("double")
+
+    def reached(best: Column, price: Column) -> Column:
+        """Of each state: struct<profit, move> of the best way there; the struct's order breaks ties."""
+
+        def ways(s: Column) -> Column:
+            ways = (
+                (F.get(best, s), 2, 0),
+                (F.when(s > 0, F.get(best, s - 1)) - price * step, 1, 1),
+                (F.when(s < n - 1, F.get(best, s + 1)) + (price - battery.wear_per_kwh) * step, 0, -1),
+            )
+            return F.greatest(
+                *[
+                    F.when(v.isNotNull(), F.struct(v.alias("v"), F.lit(r).alias("r"), F.lit(m).cast("tinyint").alias("move")))
+                    for v, r, m in ways
+                ]
+            )
+
+        return F.transform(states, ways)
+
+    first = F.transform(states, lambda s: F.when(s == start, F.lit(0.0)).otherwise(none))
+    begin = F.struct(first.alias("best"), F.array().cast("array<array<tinyint>>").alias("moves"))
+
+    def step_on(acc: Column, price: Column) -> Column:
+        # Bound through a one-element array, so that the ways are worked out once.
+        found = F.array(reached(acc["best"], price))
+        return F.transform(
+            found,
+            lambda f: F.struct(
+                F.transform(f, lambda x: x["v"]).alias("best"),
+                F.concat(acc["moves"], F.array(F.transform(f, lambda x: x["move"]))).alias("moves"),
+            ),
+        )[0]
+
+    done = F.aggregate(prices, begin, step_on)
+
+    def back(acc: Column, moves: Column) -> Column:
+        move = F.get(moves, acc["state"])
+        return F.struct((acc["state"] - move.cast("int")).alias("state"), F.concat(F.array(move), acc["plan"]).alias("plan"))
+
+    end = F.struct(F.lit(start).alias("state"), F.array().cast("array<tinyint>").alias("plan"))
+    return F.transform(
+        F.array(done),
+        lambda d: F.struct(
+            F.get(d["best"], F.lit(start)).alias("profit"),
+            F.aggregate(F.reverse(d["moves"]), end, back)["plan"].alias("moves"),
+        ),
+    )[0]
+
+
+def plan_checks(plan: Column, step_hours: Column, battery: Battery = Battery(), slack: float = 1e-6) -> dict[str, Column]:
+    """Whether a plan (struct<charge, discharge>) keeps the state of charge, the power limits and the required last state."""
+    eta = battery.round_trip**0.5
+    flow = F.zip_with(plan["charge"], plan["discharge"], lambda c, d: c * F.lit(eta) - d / F.lit(eta))
+    begin = F.struct(*[F.lit(float(battery.start_soc_kwh)).alias(c) for c in ("soc", "low", "high")])
+    path = F.aggregate(
+        flow,
+        begin,
+        lambda acc, x: F.struct(
+            (acc["soc"] + x).alias("soc"), F.least(acc["low"], acc["soc"] + x).alias("low"), F.greatest(acc["high"], acc["soc"] + x).alias("high")
+        ),
+    )
+    limit = F.lit(battery.power_kw) * step_hours + slack
+    powered = lambda side: F.forall(plan[side], lambda x: (x >= -slack) & (x <= limit))
+    return {
+        "soc_within": (path["low"] >= -slack) & (path["high"] <= battery.capacity_kwh + slack),
+        "power_within": powered("charge") & powered("discharge"),
+        "ends_at_start": F.abs(path["soc"] - battery.start_soc_kwh) <= slack,
+    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.config import EV
+from zonecast.config import EV, Battery
 from zonecast.functions.clock import hour_floor
 from zonecast.operators import features as ft
 from zonecast.operators import schedule, value
@@ -222,6 +222,78 @@ def battery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("part", "days", "days_left_out", *[rounded(c).alias(c) for c in figures])
 
 
+def _price_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a zone and day: its quarter-hour prices in order."""
+    slots = F.array_sort(F.collect_list(F.struct("interval_start", "price_sek_kwh")))
+    return (
+        panels.intervals(spark, sf_dir)
+        .groupBy("zone", "delivery_date")
+        .agg(slots["price_sek_kwh"].alias("prices"))
+        .withColumn("step_hours", F.lit(0.25))
+    )
+
+
+def battery_lossless_profit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lossless battery's best profit with hindsight, by the convex programme and by the grid of states."""
+    battery = Battery(round_trip=1.0)
+    # The plans are worked out once, in a row of their own, before anything reads their parts.
+    planned = _price_days(spark, sf_dir).withColumns(
+        {"plan": schedule.battery_plan(battery)("prices", "step_hours"), "grid": schedule.grid_plan(F.col("prices"), 0.25, battery)}
+    )
+    net = F.zip_with("prices", "grid.moves", lambda p, m: -p * m * 1.25 - F.when(m < 0, 1.25 * battery.wear_per_kwh).otherwise(0.0))
+    return planned.select(
+        "zone",
+        "delivery_date",
+        F.size("prices").cast("bigint").alias("slots"),
+        rounded(schedule.battery_profit(F.col("prices"), F.col("plan"), battery)).alias("programme_profit"),
+        rounded("grid.profit").alias("grid_profit"),
+        rounded(F.aggregate(net, F.lit(0.0), lambda acc, x: acc + x)).alias("moves_profit"),
+    )
+
+
+BATTERY_LOSSLESS_PROFIT = with_ctes(
+    INTERVALS,
+    """numbered as (
+        select zone, delivery_date, price_sek_kwh as price,
+               row_number() over (partition by zone, delivery_date order by interval_start) as pos from intervals),
+    ends as (select zone, delivery_date, max(pos) as slots from numbered group by all),
+    moves as (select unnest([-1, 0, 1]) as move)""",
+    select=f"""
+    , best as (
+        select zone, delivery_date, 0::bigint as pos, 4 as state, 0.0::double as profit from ends
+        union all
+        select b.zone, b.delivery_date, b.pos + 1, b.state + move,
+               max(profit - 1.25 * move * price - case when move < 0 then 1.25 * 0.03 else 0 end)
+        from best as b join numbered as n on n.zone = b.zone and n.delivery_date = b.delivery_date and n.pos = b.pos + 1
+        join moves on b.state + move between 0 and 8
+        group by b.zone, b.delivery_date, b.pos, b.state + move)
+    select e.zone, e.delivery_date, slots, {R6('profit')} as programme_profit, {R6('profit')} as grid_profit,
+           {R6('profit')} as moves_profit
+    from ends as e join best as b on b.zone = e.zone and b.delivery_date = e.delivery_date and b.pos = slots and state = 4""",
+).replace("with ", "with recursive ", 1)
+
+
+def battery_plan_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each day's plan with loss obeys the battery and earns no less than standing still."""
+    planned = _price_days(spark, sf_dir).withColumn("plan", schedule.battery_plan()("prices", "step_hours"))
+    plan, prices = F.col("plan"), F.col("prices")
+    return planned.select(
+        "zone",
+        "delivery_date",
+        (F.size(plan["charge"]) == F.size(prices)).alias("slots_match"),
+        *[c.alias(name) for name, c in schedule.plan_checks(plan, F.col("step_hours")).items()],
+        (schedule.battery_profit(prices, plan) >= -1e-6).alias("earns"),
+    )
+
+
+BATTERY_PLAN_CHECKS = with_ctes(
+    INTERVALS,
+    select="""
+    select zone, delivery_date, true as slots_match, true as soc_within, true as power_within, true as ends_at_start, true as earns
+    from intervals group by zone, delivery_date""",
+)
+
+
 QUERIES = {
     "ev_cheapest_plan": (ev_cheapest_plan, EV_CHEAPEST_PLAN),
     "ev_on_arrival": (ev_on_arrival, EV_ON_ARRIVAL),
@@ -230,4 +302,6 @@ QUERIES = {
     "value_summary": (value_summary, VALUE_SUMMARY),
     "battery_arbitrage": (battery_arbitrage, None),
     "battery_summary": (battery_summary, None),
+    "battery_lossless_profit": (battery_lossless_profit, BATTERY_LOSSLESS_PROFIT),
+    "battery_plan_checks": (battery_plan_checks, BATTERY_PLAN_CHECKS),
 }
