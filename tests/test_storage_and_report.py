@@ -8,8 +8,10 @@ from documents import day_document
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import json_ready, ordered, share
+from zonecast.functions.ordering import running_total, with_position
 from zonecast.operators import marts, quality, report
 from zonecast.operators.validate import quarantined
+from zonecast.session import Scratch
 from zonecast.sources import sinks, tables
 from zonecast.sources.raw import PRICE_PAYLOAD
 from zonecast.streaming import jobs
@@ -41,6 +43,56 @@ def test_write_once_never_rewrites(spark, tmp_path):
     assert {(r["day"].day, r["v"]) for r in spark.read.parquet(path).collect()} == {(1, 1), (2, 1), (3, 2)}
 
 
+def test_write_once_reads_the_buckets_of_its_keys_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    keys = lambda a, b: spark.range(a, b).select("id", F.lit(a).alias("run"))
+    sinks.write_once(keys(0, 200), path, "id", buckets=16)
+    sinks.write_once(keys(150, 300), path, "id", buckets=16)
+    log = spark.read.parquet(path)
+    assert log.groupBy("id").count().where("count > 1").count() == 0
+    assert {(r["run"], r["n"]) for r in log.groupBy("run").agg(F.count("*").alias("n")).collect()} == {(0, 200), (150, 100)}
+    touched = keys(7, 8).select(sinks.bucket_of(16, "id")).first()[0]
+    known = sinks.logged(spark, path, 16, [touched])
+    files = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket_of_16" in files or "PartitionFilters: [bucket_of_16" in files
+    assert known.count() == log.where(F.col("bucket_of_16") == touched).count() < 300
+    assert sinks.is_logged(spark, path, buckets=16, id=7) and not sinks.is_logged(spark, path, buckets=16, id=300)
+    assert not sinks.is_logged(spark, str(tmp_path / "none"), id=7)
+    with pytest.raises(ValueError, match="not a write-once log of 8 buckets"):
+        sinks.write_once(keys(0, 3), path, "id", buckets=8)
+
+
+def test_a_logged_day_is_found_by_its_bucket(spark, tmp_path):
+    path = str(tmp_path / "log")
+    days = [(date(2025, 1, d), 1) for d in range(1, 20)]
+    sinks.write_once(spark.createDataFrame(days, "day date, v int"), path, "day")
+    assert all(sinks.is_logged(spark, path, day=d) for d, _ in days[:3])
+    assert not sinks.is_logged(spark, path, day=date(2025, 2, 1))
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_positions_and_running_totals_in_a_global_order(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set(off, "false")
+        df = spark.range(3000, numPartitions=5).select(F.pmod(F.xxhash64("id"), F.lit(50)).alias("k"), "id", (F.col("id") % 7).alias("w"))
+        with Scratch(spark, "test") as work:
+            placed = with_position(df, work, "k", F.desc("id")).collect()
+            summed = running_total(df, work, "w", "k", "id").collect()
+        empty = tables.numbered(df.where("false"), "k").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(off, "true")
+    rows = sorted(placed, key=lambda r: (r["k"], -r["id"]))
+    assert [r["position"] for r in rows] == list(range(3000)) and empty == []
+    total = 0
+    for r in sorted(summed, key=lambda r: (r["k"], r["id"])):
+        total += r["w"]
+        assert r["through"] == total
+
+
 def test_overwrite_touches_only_its_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.overwrite_partitions(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), path, "k")

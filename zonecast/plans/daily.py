@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from zonecast.operators.calibrate import apply_margin
 from zonecast.operators.features import labelled, live
 from zonecast.operators.models import QuantileForest, naive_day
-from zonecast.sources.sinks import existing_rows, write_once
+from zonecast.sources.sinks import is_logged, write_once
 
 MODEL_VERSION = "quantile-forest-cqr-v1"
 
@@ -72,9 +72,7 @@ def issue(
     target = live(features).agg(F.max("delivery_date").alias("d")).first()["d"]
     if target is None:
         return False
-    like = features.select("delivery_date")
-    known = existing_rows(features.sparkSession, path, like)
-    if not known.where(F.col("delivery_date") == F.lit(target)).isEmpty():
+    if is_logged(features.sparkSession, path, delivery_date=target):
         return False
     forecast = forecast_live(features, margins, zone_codes, forest, inputs, issued_at)
     write_once(forecast, path, "delivery_date")

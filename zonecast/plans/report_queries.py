@@ -14,11 +14,11 @@ from zonecast.operators import score as sc
 from zonecast.operators.marts import daily_zone_stats, hourly_fact
 from zonecast.operators.models import predict_long
 from zonecast.plans import forecast_queries, ingest_queries, marts_queries, panels
-from zonecast.plans.shape import big, six
+from zonecast.plans.shape import big, rounded, six
 from zonecast.plans.sqltext import DAILY_PANEL, HOURLY, INTERVALS, LOCAL, R6, UTC, with_ctes
 from zonecast.session import materialise, scratch_path
 from zonecast.sources.sinks import merge_recent, write_once
-from zonecast.sources.tables import driver_table
+from zonecast.sources.tables import driver_table, numbered
 
 
 def lag_mean() -> tuple:
@@ -324,7 +324,24 @@ WRITE_ONCE_APPEND = f"""
     select delivery_date, case when finished is null then 'second' else 'first' end as run,
            {R6('coalesce(finished, everything)')} as price from days"""
 
+
+
+def ordered_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every quarter hour with its place in the order of zone and time."""
+    rows = panels.intervals(spark, sf_dir).select("zone", "interval_start", rounded("price_sek_kwh").alias("price_sek_kwh"))
+    return numbered(rows, "zone", "interval_start")
+
+
+ORDERED_READ = with_ctes(
+    INTERVALS,
+    select=f"""
+    select zone, interval_start, {R6('price_sek_kwh')} as price_sek_kwh,
+           row_number() over (order by zone, interval_start) - 1 as position
+    from intervals""",
+)
+
 QUERIES = {
+    "ordered_read": (ordered_read, ORDERED_READ),
     "tomorrow": (tomorrow, TOMORROW),
     "latest_actual": (latest_actual, LATEST_ACTUAL),
     "recent_days": (recent_days, RECENT_DAYS),

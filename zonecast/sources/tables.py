@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from zonecast import schemas
-from zonecast.session import is_missing
+from zonecast.functions.ordering import with_position
+from zonecast.session import Scratch, is_missing, materialise
 
 
 def scan_prices(spark: SparkSession, path: str) -> DataFrame:
@@ -69,9 +70,20 @@ def load_interval_prices(intervals: DataFrame, first: date, last: date) -> DataF
     )
 
 
+def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
+    """An ordered read whose order is in the rows: each has its position, so it survives any later shuffle, file or join.
+
+    Rows are dealt and sorted by range; no task sees all of them. ``order`` should tell all rows apart.
+    """
+    with Scratch(df.sparkSession, "numbered") as work:
+        return materialise(with_position(df, work, *order, name=name), "numbered")
+
+
 def load_issued(spark: SparkSession, path: str) -> DataFrame:
     """Every issued forecast, oldest first; an empty frame of the right shape before the first."""
-    return read_or_empty(spark, path, schemas.ISSUED).orderBy("delivery_date", "zone", "hour_start")
+    log = read_or_empty(spark, path, schemas.ISSUED)
+    # The log's own partition column stays behind.
+    return log.select(*StructType.fromDDL(schemas.ISSUED).names).orderBy("delivery_date", "zone", "hour_start")
 
 
 def driver_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
