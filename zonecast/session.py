@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -51,16 +53,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of each query that ends inside the block; the setting is put back after it.
+
+    For writes whose result is read from its files from then on. Without it, the files of every round of an iterative
+    job lie on the executors' disks until the driver happens to collect garbage.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a shared intermediate to the scratch folder and read it back.
 
     Used where several branches of a plan start from the same expensive rows: they are computed
     once, lineage is cut, and the files survive the loss of any executor.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, scratch_path(df.sparkSession, name))
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -93,8 +114,7 @@ class Scratch:
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table to the folder and read it back."""
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        stored = self.spark.read.schema(df.schema).parquet(path)
+        stored = _written(df, path)
         self._tables[id(stored)] = (stored, path)
         return stored
 
