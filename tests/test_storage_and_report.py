@@ -7,10 +7,12 @@ import pytest
 from documents import day_document
 from pyspark.sql import functions as F
 
+from zonecast import schemas
 from zonecast.functions.numeric import json_ready, ordered, share
 from zonecast.functions.ordering import running_total, with_position
 from zonecast.operators import marts, quality, report
 from zonecast.operators.validate import quarantined
+from zonecast.plans import warehouse
 from zonecast.session import Scratch
 from zonecast.sources import sinks, tables
 from zonecast.sources.raw import PRICE_PAYLOAD
@@ -117,12 +119,50 @@ def test_parameterised_query(spark):
     assert tables.query(spark, "select * from numbers where id >= :low", low=3).count() == 2
 
 
-def test_seed_csv(spark, tmp_path):
-    from zonecast import schemas
-
-    (tmp_path / "h.csv").write_text("holiday_date,holiday_name\n2025-01-01,Nyårsdagen\n", encoding="utf-8")
-    row = tables.read_seed(spark, str(tmp_path / "h.csv"), schemas.HOLIDAYS_SEED).first()
-    assert row["holiday_date"] == date(2025, 1, 1) and row["holiday_name"] == "Nyårsdagen"
+def test_seed_csv_and_what_does_not_fit(spark, tmp_path):
+    lines = ["holiday_date,holiday_name", "2025-01-01,Nyårsdagen", "soon,Våffeldagen", "2025-06-06", "2025-01-06,a,b", ",Ingen", "2025-01-01,Åter", '2025-12-25,"Jul, dagen"']
+    (tmp_path / "h.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    rows, rejects = tables.read_seed(spark, str(tmp_path / "h.csv"), schemas.HOLIDAYS_SEED, "holiday_date")
+    assert {tuple(r) for r in rows.collect()} == {(date(2025, 1, 1), "Nyårsdagen"), (date(2025, 12, 25), "Jul, dagen")}
+    assert {tuple(r) for r in rejects.collect()} == {
+        ("soon,Våffeldagen", "does not fit the declared columns"),
+        ("2025-06-06", "does not fit the declared columns"),
+        ("2025-01-06,a,b", "does not fit the declared columns"),
+        (",Ingen", "no holiday_date"),
+        ("2025-01-01,Åter", "repeats holiday_date"),
+    }
+    (tmp_path / "other.csv").write_text("day,name\n2025-01-01,x\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        tables.read_seed(spark, str(tmp_path / "other.csv"), schemas.HOLIDAYS_SEED)
+
+
+def test_zones_of_a_build_come_from_the_seed(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert {r["zone"] for r in warehouse.zones_of(spark, out).collect()} == {"SE1", "SE2", "SE3", "SE4"}
+    (tmp_path / "zones.csv").write_text("zone,zone_name,largest_city\nN1,North,Town\n,Lost,Town\nN2,South\n", encoding="utf-8")
+    assert warehouse.build_zones(spark, str(tmp_path / "zones.csv"), out) == {"zones": 1, "rejects": 2}
+    assert warehouse.zones_of(spark, out).first()["zone"] == "N1"
+
+
+def test_table_tests_find_each_kind_of_violation(spark):
+    day = date(2025, 1, 1)
+    rows = [("a", day, 0), ("a", day, 0), ("b", day, 1), (None, day, 2), ("c", None, 3)]
+    df = spark.createDataFrame([(*r, 60) for r in rows], "zone string, delivery_date date, slot int, resolution_minutes int")
+    zones = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "name string")
+    got = quality.table_tests(
+        df,
+        {"repeated": ("zone", "slot")},
+        {"no_zone": F.col("zone").isNull(), "late": F.col("slot") > 2, "unknown": F.lit(None).cast("boolean")},
+        {"parent": quality.Known(("zone",), zones, ("name",)), "share": quality.Known(("zone",), zones, ("name",), least=0.7)},
+        {"filled": ("zone", "delivery_date")},
+    )
+    assert {r["test"]: r["failures"] for r in got.collect()} == {
+        "repeated": 1, "no_zone": 1, "late": 1, "unknown": 0, "parent": 1, "share": 1, "filled": 3,
+    }
+    empty = quality.table_tests(df.where("false"), {"repeated": ("zone",)}, known={"share": quality.Known(("zone",), zones, ("name",), least=0.7)})
+    assert {r["failures"] for r in empty.collect()} == {0}
+    single = quality.table_tests(zones, {"repeated": ("name",)})
+    assert single.first()["failures"] == 1  # a null is no key
 
 
 def test_quality_operators(spark):

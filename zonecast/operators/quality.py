@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +85,121 @@ def row_checks(df: DataFrame, violations: dict[str, Column]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
+@dataclass(frozen=True)
+class Known:
+    """Rows whose ``columns`` are in ``parent`` (``fields``, of the same names where not given).
+
+    Without ``least`` each row that has the columns and is not there fails; with it the test fails once if less than that share of
+    all rows is there.
+    """
+
+    columns: tuple[str, ...]
+    parent: DataFrame
+    fields: tuple[str, ...] = ()
+    least: float | None = None
+
+
+def table_tests(
+    df: DataFrame,
+    key: dict[str, tuple[str, ...]],
+    rules: dict[str, Column] | None = None,
+    known: dict[str, Known] | None = None,
+    filled: dict[str, tuple[str, ...]] | None = None,
+    tz: str = MARKET_TZ,
+) -> DataFrame:
+    """(test, failures) of all tests of a table, in one scan of it.
+
+    ``key`` names a test that no combination of columns is repeated (a single null column does not count), ``rules`` tests of single rows,
+    ``known`` tests against a parent, and ``filled`` a test that the intervals of each (zone, day) fill the local day. Rows are marked with
+    what holds for each of them, counted by key, and day if need be, before they are sent, and summed up.
+    """
+    rules, known, filled = rules or {}, known or {}, filled or {}
+    marked, marks = df, dict(rules)
+    for i, (test, k) in enumerate(known.items()):
+        parent = k.parent.select(*[F.col(f).alias(f"_{i}_{c}") for c, f in zip(k.columns, k.fields or k.columns, strict=True)])
+        parent = parent.distinct().withColumn(f"_{i}_found", F.lit(True))
+        marked = marked.join(parent, reduce(and_, [F.col(c) == F.col(f"_{i}_{c}") for c in k.columns]), "left")
+        absent = F.col(f"_{i}_found").isNull()
+        has_all = reduce(and_, [F.col(c).isNotNull() for c in k.columns])
+        marks[test] = absent if k.least is not None else absent & has_all
+    (unique_test, columns), *_ = key.items()
+    (filled_test, day), *_ = [*filled.items(), ("", ())]
+    marked = marked.withColumns({f"_mark_{i}": F.coalesce(m, F.lit(False)).cast("long") for i, m in enumerate(marks.values())})
+    sums = [F.sum(f"_mark_{i}").alias(f"_mark_{i}") for i in range(len(marks))]
+    if day:
+        groups = marked.groupingSets([list(columns), list(day)], *dict.fromkeys((*columns, *day)))
+        by_key = F.grouping(next(c for c in day if c not in columns)) == 1
+        length = day_minutes(day[-1], tz)
+        short = F.count_if(~F.col("_by_key") & (F.col("_n") * F.col("_resolution") != length))
+        extra = [F.min("resolution_minutes").alias("_resolution")]
+    else:
+        groups, by_key, short, extra = marked.groupBy(*columns), F.lit(True), F.lit(0), []
+    counted = groups.agg(F.count("*").alias("_n"), by_key.alias("_by_key"), *sums, *extra)
+    repeated = F.col("_n") > 1
+    if len(columns) == 1:
+        repeated &= F.col(columns[0]).isNotNull()
+    one = counted.agg(
+        F.count_if(F.col("_by_key") & repeated).alias("_repeated"),
+        short.alias("_short"),
+        F.coalesce(F.sum(F.when(F.col("_by_key"), F.col("_n"))), F.lit(0)).alias("_rows"),
+        *[F.coalesce(F.sum(F.when(F.col("_by_key"), F.col(f"_mark_{i}"))), F.lit(0)).alias(f"_mark_{i}") for i in range(len(marks))],
+    )
+    found = {unique_test: F.col("_repeated"), **({filled_test: F.col("_short")} if day else {})}
+    for i, test in enumerate(marks):
+        least = known[test].least if test in known else None
+        failed = F.col("_rows") - F.col(f"_mark_{i}") < F.lit(least) * F.col("_rows") if least is not None else None
+        found[test] = F.col(f"_mark_{i}") if failed is None else failed.cast("long")
+    return one.select(F.inline(F.array(*[F.struct(F.lit(t).alias("test"), c.cast("long").alias("failures")) for t, c in found.items()])))
+
+
+def warehouse_tests(
+    zones: DataFrame, days: DataFrame, intervals: DataFrame, hourly: DataFrame, weather: DataFrame, stats: DataFrame, features: DataFrame
+) -> DataFrame:
+    """The 22 data tests of a build: (test, failures), one scan a table.
+
+    ``zones`` and ``days`` are what the facts are held against, so they must come from elsewhere.
+    """
+    null = lambda c: F.col(c).isNull()
+    no_lag = lambda c: null(c) & (F.col("hour_local") != 2)
+    return suite(
+        table_tests(zones, {"unique_dim_zone_zone": ("zone",)}, {"not_null_dim_zone_zone": null("zone")}),
+        table_tests(days, {"unique_dim_date_date_day": ("date_day",)}, {"not_null_dim_date_date_day": null("date_day")}),
+        table_tests(
+            intervals,
+            {"unique_fct_price_interval": ("zone", "interval_start")},
+            {
+                "not_null_fct_price_interval_zone": null("zone"),
+                "not_null_fct_price_interval_delivery_date": null("delivery_date"),
+                "not_null_fct_price_interval_price_sek_kwh": null("price_sek_kwh"),
+                "accepted_fct_price_interval_resolution": ~F.col("resolution_minutes").isin(15, 60),
+            },
+            {
+                "relationships_fct_price_interval_zone": Known(("zone",), zones),
+                "relationships_fct_price_interval_delivery_date": Known(("delivery_date",), days, ("date_day",)),
+            },
+            {"complete_delivery_days": ("zone", "delivery_date")},
+        ),
+        table_tests(
+            hourly,
+            {"unique_fct_price_hourly": ("zone", "hour_start")},
+            {"accepted_fct_price_hourly_n_intervals": ~F.col("n_intervals").isin(1, 4)},
+            {"weather_covers_prices": Known(("zone", "hour_start"), weather, ("zone", "valid_at"), least=0.99)},
+        ),
+        table_tests(weather, {"unique_fct_weather_hourly": ("zone", "valid_at")}),
+        table_tests(stats, {"unique_mart_daily_zone_stats": ("zone", "delivery_date")}),
+        table_tests(
+            features,
+            {"unique_feat_price_hourly": ("zone", "hour_start")},
+            {
+                "not_null_feat_lag_1d": no_lag("lag_1d"),
+                "not_null_feat_lag_7d": no_lag("lag_7d"),
+                "not_null_feat_prev_day_mean": null("prev_day_mean"),
+                "not_null_feat_issue_date": null("issue_date"),
+            },
+        ),
+    )
+
+
 def failures(name: str, violating: DataFrame) -> DataFrame:
     return violating.agg(F.count("*").alias("failures")).select(F.lit(name).alias("test"), "failures")
 

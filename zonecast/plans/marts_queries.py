@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.functions.clock import day_minutes, expected_intervals
+from zonecast.functions.clock import day_minutes, expected_intervals, hour_floor, local_date, minutes_floor, plus_minutes
+from zonecast.operators import features as ft
 from zonecast.operators import quality
-from zonecast.operators.marts import daily_zone_stats, hourly_fact
+from zonecast.operators.marts import daily_zone_stats, hourly_fact, interval_fact
 from zonecast.plans import panels
 from zonecast.plans.shape import big, six
 from zonecast.plans.sqltext import HOLIDAYS, INTERVALS, LOCAL, R6, UTC, with_ctes
-from zonecast.session import materialise
-from zonecast.sources.tables import driver_table
+from zonecast.session import materialise, scratch_path
+from zonecast.sources.generators import calendar, date_series
+from zonecast.sources.tables import driver_table, read_seed
 
 
 def hourly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,10 +197,8 @@ COVERAGE_CHECK = f"""
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours without the same hour of yesterday, a missing value by construction of the data."""
-    from zonecast.operators.features import seasonal_lags
-
     hours = panels.stored_hourly(spark, sf_dir)
-    lagged = hours.join(seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
+    lagged = hours.join(ft.seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
     return quality.not_null(lagged, "lag_1d", F.col("hour_local") != 2).select(
         "zone", "delivery_date", "hour_start", *big("hour_local")
     )
@@ -229,19 +231,15 @@ DQ_UNIQUE = """
 
 
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event users that are no customer outside one segment, with how often they occur."""
+    """Customers with orders that were never seen in the events, with how many orders they have."""
     return quality.relationships(
-        driver_table(spark, sf_dir, "events"),
-        "user_id",
-        driver_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY"),
-        "c_custkey",
+        driver_table(spark, sf_dir, "orders"), "o_custkey", driver_table(spark, sf_dir, "events"), "user_id"
     )
 
 
 DQ_RELATIONSHIPS = """
-    select user_id, count(*) as n from events
-    where user_id is not null and user_id not in
-      (select c_custkey from customer where c_mktsegment <> 'MACHINERY') group by all"""
+    select o_custkey, count(*) as n from orders
+    where o_custkey is not null and o_custkey not in (select user_id from events where user_id is not null) group by all"""
 
 
 def dq_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,79 +256,156 @@ DQ_ACCEPTED = with_ctes(
 )
 
 
+SEED_SCHEMA = "n_nationkey bigint, zone string, n_regionkey bigint"
+
+
+def _nation_seed(spark: SparkSession, sf_dir: str) -> str:
+    """The nations as a CSV seed: some keys are no numbers, some lines are cut short, one nation is there twice."""
+    key = F.col("n_nationkey")
+    fields = [F.when(key % 5 == 2, F.lit("n/a")).otherwise(key.cast("string")), F.col("n_name"), F.col("n_regionkey").cast("string")]
+    line = F.when(key % 7 == 3, F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
+    lines = F.array(F.struct(F.lit(1).alias("place"), line.alias("value")))
+    twice = F.when(key == 4, F.concat(lines, lines)).otherwise(lines)
+    # 25 rows at any size of the other tables, and one file, as its first line is the header.
+    rows = driver_table(spark, sf_dir, "nation").select(F.inline(twice), "n_nationkey")
+    header = spark.range(1).select(F.lit(0).alias("place"), F.lit("n_nationkey,zone,n_regionkey").alias("value"), F.lit(-1).alias("n_nationkey"))
+    path = scratch_path(spark, "seed")
+    header.unionByName(rows).coalesce(1).sortWithinPartitions("place", "n_nationkey").select("value").write.text(path)
+    return path
+
+
+def seed_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared CSV read back: its rows, and the lines that do not fit with the reason."""
+    rows, rejects = read_seed(spark, _nation_seed(spark, sf_dir), SEED_SCHEMA, "zone")
+    return rows.unionByName(rejects, allowMissingColumns=True)
+
+
+_SEED = """seed as (
+    select n_nationkey, n_name as zone, n_regionkey, n_nationkey % 5 = 2 as lettered, n_nationkey % 7 = 3 as short from nation
+    union all select n_nationkey, n_name, n_regionkey, false, false from nation where n_nationkey = 4),
+zones as (select distinct zone from seed where not lettered and not short)"""
+SEED_WITH_REJECTS = with_ctes(
+    _SEED,
+    select="""
+    select distinct cast(n_nationkey as bigint) as n_nationkey, zone, cast(n_regionkey as bigint) as n_regionkey,
+           cast(null as varchar) as line, cast(null as varchar) as reason
+    from seed where not lettered and not short
+    union all
+    select null, null, null,
+           case when lettered then 'n/a' else cast(n_nationkey as varchar) end || ',' || zone
+             || case when short then '' else ',' || n_regionkey end, 'does not fit the declared columns'
+    from seed where lettered or short
+    union all
+    select null, null, null, '4,' || n_name || ',' || n_regionkey, 'repeats zone' from nation where n_nationkey = 4""",
+)
+
+# The days that the suite's calendar declares, whatever the panel holds.
+FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 29)
+
+
+def _nation_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as market intervals of their user's nation; counted by user first, so that a busy one is a row a quarter hour."""
+    users = (
+        driver_table(spark, sf_dir, "events")
+        .groupBy(F.col("user_id").alias("c_custkey"), minutes_floor("ts", 15).alias("interval_start"))
+        .agg(F.sum(F.rint(F.col("value") * 100).cast("bigint")).alias("hundredths"), F.count("*").alias("n"))
+    )
+    nations = driver_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("zone"))
+    customers = driver_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    price = F.sum("hundredths").cast("double") / 100.0 / F.sum("n") - panels.PRICE_SHIFT
+    rows = users.join(customers, "c_custkey").join(nations, "c_nationkey").groupBy("zone", "interval_start").agg(price.alias("price_sek_kwh"))
+    return interval_fact(
+        rows.select(
+            "zone",
+            local_date("interval_start").alias("delivery_date"),
+            "interval_start",
+            plus_minutes("interval_start", 15).alias("interval_end"),
+            F.lit(15).alias("resolution_minutes"),
+            "price_sek_kwh",
+            (F.col("price_sek_kwh") / panels.EUR_RATE).alias("price_eur_kwh"),
+            F.lit(panels.EUR_RATE).alias("eur_sek_rate"),
+        )
+    )
+
+
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The warehouse test suite over the panel: (test, failures)."""
-    intervals = panels.stored_intervals(spark, sf_dir)
-    hours = hourly_fact(intervals)
-    days = panels.calendar_of(intervals)
-    zones = panels.zones_of(intervals)
-    weather = materialise(panels.weather_hourly(spark, sf_dir), "weather")
-    missing = lambda c: F.col(c).isNull()
-    return quality.suite(
-        quality.row_checks(
-            intervals,
-            {
-                "interval_zone_not_null": missing("zone"),
-                "interval_day_not_null": missing("delivery_date"),
-                "interval_price_not_null": missing("price_sek_kwh"),
-                "interval_resolution_accepted": ~F.col("resolution_minutes").isin(15, 60),
-            },
-        ),
-        quality.row_checks(hours, {"hourly_intervals_accepted": ~F.col("n_intervals").isin(1, 4)}),
-        quality.row_checks(days, {"calendar_day_not_null": missing("date_day")}),
-        quality.row_checks(zones, {"zone_not_null": missing("zone")}),
-        quality.failures("zone_unique", quality.unique(zones, "zone")),
-        quality.failures("calendar_day_unique", quality.unique(days, "date_day")),
-        quality.failures("interval_unique", quality.unique_combination(intervals, "zone", "interval_start")),
-        quality.failures("hourly_unique", quality.unique_combination(hours, "zone", "hour_start")),
-        quality.failures("weather_unique", quality.unique_combination(weather, "zone", "valid_at")),
-        quality.failures(
-            "interval_zone_known", quality.relationships(intervals, "zone", zones, "zone")
-        ),
-        quality.failures(
-            "interval_day_known",
-            quality.relationships(intervals, "delivery_date", days, "date_day"),
-        ),
-        quality.failures("complete_days", quality.incomplete_days(intervals)),
-        quality.failures(
-            "weather_coverage",
-            quality.low_coverage(
-                hours, weather.withColumnRenamed("valid_at", "hour_start"), "zone", "hour_start"
-            ),
-        ),
+    """The 22 tests of a build over the panel of nations: (test, failures).
+
+    Zones come from the seed, which lacks the nations whose lines are rejected, and the calendar from its declared days; the weather covers the hours
+    in which someone bought or clicked.
+    """
+    intervals = materialise(_nation_intervals(spark, sf_dir), "nation-intervals")
+    hours = materialise(hourly_fact(intervals), "nation-hours")
+    zones, _ = read_seed(spark, _nation_seed(spark, sf_dir), SEED_SCHEMA, "zone")
+    days = calendar(date_series(spark, FIRST_DAY, LAST_DAY))
+    seen = driver_table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "click"))
+    weather = (
+        seen.select(F.col("user_id").alias("c_custkey"), hour_floor("ts").alias("valid_at"))
+        .distinct()
+        .join(driver_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey")), "c_custkey")
+        .join(driver_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("zone")), "n_nationkey")
+        .select("zone", "valid_at")
+        .distinct()
     )
+    profile = ft.daily_profile(hours).select(
+        "zone", F.date_add("delivery_date", 1).alias("delivery_date"), F.col("day_mean").alias("prev_day_mean")
+    )
+    features = (
+        hours.join(ft.seasonal_lags(hours), ["zone", "delivery_date", "hour_local"], "left")
+        .join(profile, ["zone", "delivery_date"], "left")
+        .withColumn("issue_date", F.date_sub("delivery_date", 1))
+    )
+    stats = daily_zone_stats(intervals, panels.calendar_of(intervals))
+    return quality.warehouse_tests(zones, days, intervals, hours, weather, stats, features)
 
 
+_NATION = INTERVALS.replace("event_type as zone", "n_name as zone").replace(
+    "from events group by all", "from events join customer on c_custkey = user_id join nation on n_nationkey = c_nationkey group by all"
+)
+_LAG = """select 1 from hours as t where hour_local <> 2 and not exists (
+    select 1 from hours as s where s.zone = t.zone and s.delivery_date = t.delivery_date - {days} and s.hour_local = t.hour_local)"""
 _VIOLATIONS = {
-    "interval_zone_not_null": "select 1 from intervals where zone is null",
-    "interval_day_not_null": "select 1 from intervals where delivery_date is null",
-    "interval_price_not_null": "select 1 from intervals where price_sek_kwh is null",
-    "interval_resolution_accepted": "select 1 from intervals where resolution_minutes not in (15, 60)",
-    "hourly_intervals_accepted": "select 1 from hours where n not in (1, 4)",
-    "calendar_day_not_null": "select 1 from days where date_day is null",
-    "zone_not_null": "select 1 from zones where zone is null",
-    "zone_unique": "select 1 from zones group by zone having count(*) > 1",
-    "calendar_day_unique": "select 1 from days group by date_day having count(*) > 1",
-    "interval_unique": "select 1 from intervals group by zone, interval_start having count(*) > 1",
-    "hourly_unique": "select 1 from hours group by zone, hour_start having count(*) > 1",
-    "weather_unique": "select 1 from weather group by zone, valid_at having count(*) > 1",
-    "interval_zone_known": "select 1 from intervals where zone not in (select zone from zones)",
-    "interval_day_known": "select 1 from intervals where delivery_date not in (select date_day from days)",
-    "complete_days": f"""select 1 from (
+    "unique_dim_zone_zone": "select 1 from zones group by zone having count(*) > 1",
+    "not_null_dim_zone_zone": "select 1 from zones where zone is null",
+    "unique_dim_date_date_day": "select 1 from days group by date_day having count(*) > 1",
+    "not_null_dim_date_date_day": "select 1 from days where date_day is null",
+    "unique_fct_price_interval": "select 1 from intervals group by zone, interval_start having count(*) > 1",
+    "not_null_fct_price_interval_zone": "select 1 from intervals where zone is null",
+    "not_null_fct_price_interval_delivery_date": "select 1 from intervals where delivery_date is null",
+    "not_null_fct_price_interval_price_sek_kwh": "select 1 from intervals where price_sek_kwh is null",
+    "accepted_fct_price_interval_resolution": "select 1 from intervals where resolution_minutes not in (15, 60)",
+    "relationships_fct_price_interval_zone": "select 1 from intervals where zone not in (select zone from zones)",
+    "relationships_fct_price_interval_delivery_date":
+        "select 1 from intervals where delivery_date not in (select date_day from days)",
+    "unique_fct_price_hourly": "select 1 from hours group by zone, hour_start having count(*) > 1",
+    "accepted_fct_price_hourly_n_intervals": "select 1 from hours where n not in (1, 4)",
+    "unique_fct_weather_hourly": "select 1 from weather group by zone, valid_at having count(*) > 1",
+    "unique_mart_daily_zone_stats": """select 1 from (select zone, delivery_date from intervals group by all)
+        group by zone, delivery_date having count(*) > 1""",
+    "unique_feat_price_hourly": "select 1 from hours group by zone, hour_start having count(*) > 1",
+    "not_null_feat_lag_1d": _LAG.format(days=1),
+    "not_null_feat_lag_7d": _LAG.format(days=7),
+    "not_null_feat_prev_day_mean": """select 1 from hours as t where not exists (
+        select 1 from hours as s where s.zone = t.zone and s.delivery_date = t.delivery_date - 1)""",
+    "not_null_feat_issue_date": "select 1 from hours where delivery_date is null",
+    "complete_delivery_days": f"""select 1 from (
         select zone, delivery_date as date_day, count(*) * 15 as filled from intervals group by all)
         where filled <> {_DAY_MINUTES}""",
-    "weather_coverage": """select 1 from (
+    "weather_covers_prices": """select 1 from (
         select count(*) as n, count(w.zone) as found from hours as h
         left join weather as w on w.zone = h.zone and w.valid_at = h.hour_start) where found < 0.99 * n""",
 }
 DQ_RESULTS = with_ctes(
-    INTERVALS,
-    "hours as (select zone, date_trunc('hour', interval_start) as hour_start, count(*) as n from intervals group by all)",
-    "zones as (select distinct event_type as zone from events)",
-    "weather as (select event_type as zone, date_trunc('hour', ts) as valid_at from events group by all)",
-    """days as (
-        select cast(unnest(generate_series(cast(min(delivery_date) as timestamp),
-                 cast(max(delivery_date) + 7 as timestamp), interval 1 day)) as date) as date_day from intervals)""",
+    _NATION,
+    f"""hours as (
+        select zone, delivery_date, date_trunc('hour', interval_start) as hour_start,
+               hour({LOCAL("date_trunc('hour', interval_start)")}) as hour_local, count(*) as n from intervals group by all)""",
+    _SEED,
+    """weather as (
+        select n_name as zone, date_trunc('hour', ts) as valid_at from events join customer on c_custkey = user_id
+        join nation on n_nationkey = c_nationkey where event_type in ('purchase', 'click') group by all)""",
+    f"""days as (
+        select cast(unnest(generate_series(timestamp '{FIRST_DAY}', timestamp '{LAST_DAY}', interval 1 day)) as date) as date_day)""",
     select=" union all ".join(
         f"select '{name}' as test, count(*) as failures from ({rows})" for name, rows in _VIOLATIONS.items()
     ),
@@ -356,5 +431,6 @@ QUERIES = {
     "dq_relationships": (dq_relationships, DQ_RELATIONSHIPS),
     "dq_accepted": (dq_accepted, DQ_ACCEPTED),
     "dq_results": (dq_results, DQ_RESULTS),
+    "seed_with_rejects": (seed_with_rejects, SEED_WITH_REJECTS),
     "dq_summary": (dq_summary, DQ_SUMMARY),
 }

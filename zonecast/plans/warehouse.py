@@ -179,6 +179,24 @@ def build_marts(spark: SparkSession, out: str, full_refresh: bool = False) -> No
     stats.write.mode("overwrite").parquet(f"{out}/mart_daily_zone_stats")
 
 
+def build_zones(spark: SparkSession, seed: str, out: str) -> dict[str, int]:
+    """The zone dimension from its declared CSV; lines that do not fit are kept aside with the reason."""
+    rows, rejects = tables.read_seed(spark, seed, schemas.ZONES_SEED, "zone")
+    rows.write.mode("overwrite").parquet(f"{out}/dim_zone")
+    rejects.write.mode("overwrite").parquet(f"{out}/dim_zone_rejects")
+    return {"zones": spark.read.parquet(f"{out}/dim_zone").count(), "rejects": spark.read.parquet(f"{out}/dim_zone_rejects").count()}
+
+
+def zones_of(spark: SparkSession, out: str) -> DataFrame:
+    """The built zone dimension, or the declared zones where no seed was given."""
+    try:
+        return spark.read.schema(schemas.ZONES_SEED).parquet(f"{out}/dim_zone")
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return zone_table(spark)
+
+
 def build_features(
     spark: SparkSession,
     out: str,
@@ -187,7 +205,7 @@ def build_features(
 ) -> DataFrame:
     table = feature_table(
         spark.read.parquet(f"{out}/fct_price_hourly"),
-        zone_table(spark),
+        zones_of(spark, out),
         spark.read.parquet(f"{out}/dim_date"),
         spark.read.parquet(f"{out}/fct_weather_hourly"),
         tables.scan_weather_snapshots(spark, f"{out}/weather_forecast"),
@@ -206,69 +224,23 @@ def build_features(
 
 def run_tests(spark: SparkSession, out: str) -> DataFrame:
     """The 22 data tests of a build: (test, failures)."""
-    intervals = marts.interval_fact(tables.scan_prices(spark, f"{out}/prices"))
-    hourly = spark.read.parquet(f"{out}/fct_price_hourly")
-    weather = spark.read.parquet(f"{out}/fct_weather_hourly")
-    days = spark.read.parquet(f"{out}/dim_date")
-    stats = spark.read.parquet(f"{out}/mart_daily_zone_stats")
-    features = spark.read.parquet(f"{out}/feat_price_hourly")
-    zones = zone_table(spark)
-    null = lambda c: F.col(c).isNull()
-    no_lag = lambda c: null(c) & (F.col("hour_local") != 2)
-    keys = quality.unique_combination
-    return quality.suite(
-        quality.failures("unique_dim_zone_zone", quality.unique(zones, "zone")),
-        quality.row_checks(zones, {"not_null_dim_zone_zone": null("zone")}),
-        quality.failures("unique_dim_date_date_day", quality.unique(days, "date_day")),
-        quality.row_checks(days, {"not_null_dim_date_date_day": null("date_day")}),
-        quality.failures("unique_fct_price_interval", keys(intervals, "zone", "interval_start")),
-        quality.row_checks(
-            intervals,
-            {
-                "not_null_fct_price_interval_zone": null("zone"),
-                "not_null_fct_price_interval_delivery_date": null("delivery_date"),
-                "not_null_fct_price_interval_price_sek_kwh": null("price_sek_kwh"),
-                "accepted_fct_price_interval_resolution": ~F.col("resolution_minutes").isin(15, 60),
-            },
-        ),
-        quality.failures(
-            "relationships_fct_price_interval_zone",
-            quality.relationships(intervals, "zone", zones, "zone"),
-        ),
-        quality.failures(
-            "relationships_fct_price_interval_delivery_date",
-            quality.relationships(intervals, "delivery_date", days, "date_day"),
-        ),
-        quality.failures("unique_fct_price_hourly", keys(hourly, "zone", "hour_start")),
-        quality.row_checks(
-            hourly, {"accepted_fct_price_hourly_n_intervals": ~F.col("n_intervals").isin(1, 4)}
-        ),
-        quality.failures("unique_fct_weather_hourly", keys(weather, "zone", "valid_at")),
-        quality.failures("unique_mart_daily_zone_stats", keys(stats, "zone", "delivery_date")),
-        quality.failures("unique_feat_price_hourly", keys(features, "zone", "hour_start")),
-        quality.row_checks(
-            features,
-            {
-                "not_null_feat_lag_1d": no_lag("lag_1d"),
-                "not_null_feat_lag_7d": no_lag("lag_7d"),
-                "not_null_feat_prev_day_mean": null("prev_day_mean"),
-                "not_null_feat_issue_date": null("issue_date"),
-            },
-        ),
-        quality.failures("complete_delivery_days", quality.incomplete_days(intervals)),
-        quality.failures(
-            "weather_covers_prices",
-            quality.low_coverage(
-                hourly, weather.withColumnRenamed("valid_at", "hour_start"), "zone", "hour_start"
-            ),
-        ),
+    return quality.warehouse_tests(
+        zones=zones_of(spark, out),
+        days=spark.read.parquet(f"{out}/dim_date"),
+        intervals=marts.interval_fact(tables.scan_prices(spark, f"{out}/prices")),
+        hourly=spark.read.parquet(f"{out}/fct_price_hourly"),
+        weather=spark.read.parquet(f"{out}/fct_weather_hourly"),
+        stats=spark.read.parquet(f"{out}/mart_daily_zone_stats"),
+        features=spark.read.parquet(f"{out}/feat_price_hourly"),
     )
 
 
 def build(
-    spark: SparkSession, raw_root: str, out: str, full_refresh: bool = False
+    spark: SparkSession, raw_root: str, out: str, full_refresh: bool = False, zone_seed: str | None = None
 ) -> tuple[dict[str, int], DataFrame]:
     """Everything from raw files to features; returns the build stats and the feature table."""
+    if zone_seed:
+        build_zones(spark, zone_seed, out)
     stats = build_validated(spark, raw_root, out)
     build_marts(spark, out, full_refresh)
     return stats, build_features(spark, out)
@@ -291,7 +263,7 @@ def register_views(spark: SparkSession, out: str) -> None:
     prices = tables.scan_prices(spark, f"{out}/prices")
     prices.createOrReplaceTempView("stg_prices")
     marts.interval_fact(prices).createOrReplaceTempView("fct_price_interval")
-    zone_table(spark).createOrReplaceTempView("dim_zone")
+    zones_of(spark, out).createOrReplaceTempView("dim_zone")
     tables.scan_weather_archive(spark, f"{out}/weather_archive").createOrReplaceTempView(
         "stg_weather_archive"
     )

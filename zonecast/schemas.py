@@ -16,5 +16,5 @@ ISSUED = (
     "weather_source string, q10 double, q50 double, q90 double, interval_margin double, "
     "naive_day double, issued_at timestamp_ntz, model_version string, trained_through date"
 )
-ZONES_SEED = "zone string, zone_name string, largest_city string, description string"
+ZONES_SEED = "zone string, zone_name string, largest_city string"
 HOLIDAYS_SEED = "holiday_date date, holiday_name string"

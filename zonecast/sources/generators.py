@@ -136,7 +136,7 @@ def calendar(days: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
 
 
 def zone_table(spark: SparkSession, rows: tuple = ZONE_ROWS) -> DataFrame:
-    """Zone dimension: zone, its name, largest city and description."""
+    """Zone dimension: zone, its name and largest city."""
     return spark.createDataFrame(list(rows), schemas.ZONES_SEED)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,9 +47,30 @@ def scan_weather_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, schemas.WEATHER_SNAPSHOT)
 
 
-def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A small CSV seed with a header and declared types."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_seed(spark: SparkSession, path: str, schema: str, *required: str) -> tuple[DataFrame, DataFrame]:
+    """A CSV seed with a header and declared types -> (rows, rejects).
+
+    The header must name the declared columns. A line that does not fit them (a value of another type, too few or too many fields) is
+    rejected with its text, and so is one without a ``required`` column or with a key of them that an earlier one has: rejects
+    are (``line``, ``reason``). The seed is read once and stored, as both sides come from the same lines.
+    """
+    columns = StructType.fromDDL(schema).names
+    read = (
+        spark.read.schema(f"{schema}, _broken string")
+        .options(header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
+        .csv(path)
+    )
+    lines = materialise(read, "seed")
+    reason = F.when(F.col("_broken").isNotNull(), "does not fit the declared columns")
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), f"no {c}")
+    if required:
+        place = F.row_number().over(Window.partitionBy(*required, F.col("_broken")).orderBy(*columns))
+        lines = lines.withColumn("_place", place)
+        reason = reason.when(F.col("_place") > 1, f"repeats {', '.join(required)}")
+    judged = lines.withColumn("reason", reason)
+    text = F.coalesce("_broken", F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+    return judged.where("reason is null").select(*columns), judged.where("reason is not null").select(text.alias("line"), "reason")
 
 
 def query(spark: SparkSession, sql: str, **params: object) -> DataFrame:
