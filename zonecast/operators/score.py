@@ -98,13 +98,20 @@ def with_actuals(issued: DataFrame, hourly: DataFrame) -> DataFrame:
 
 
 def track_record_days(scored: DataFrame) -> DataFrame:
-    """Per day and zone: error of the forecast and of the baseline, and the hit share."""
+    """Per day and zone: error of the forecast and of the baseline, and the hit share.
+
+    ``hours`` counts the priced hours, and the other counts those that have the figure; an hour without one is left out of that figure alone.
+    """
     actual = F.col("actual")
+    figures = {
+        "mae_model": F.abs(F.col("q50") - actual),
+        "mae_naive": F.abs(F.col("naive_day") - actual),
+        "coverage": inside(actual, F.col("q10"), F.col("q90")),
+    }
     return scored.groupBy("delivery_date", "zone").agg(
-        F.avg(F.abs(F.col("q50") - actual)).alias("mae_model"),
-        F.avg(F.abs(F.col("naive_day") - actual)).alias("mae_naive"),
-        F.avg(inside(actual, F.col("q10"), F.col("q90"))).alias("coverage"),
+        *[F.avg(x).alias(name) for name, x in figures.items()],
         F.count("*").alias("hours"),
+        *[F.count(x).alias(f"{name}_hours") for name, x in figures.items()],
     )
 
 
@@ -114,6 +121,7 @@ def day_means(days: DataFrame) -> DataFrame:
         F.avg("mae_model").alias("mae_model"),
         F.avg("mae_naive").alias("mae_naive"),
         F.avg("coverage").alias("coverage"),
+        F.sum("hours").alias("hours"),
     )
 
 
@@ -122,22 +130,19 @@ def track_record_summary(scored: DataFrame) -> DataFrame:
 
     Row-weighted figures come from the (day, zone) sums, so the joined rows are read once.
     """
-    days = track_record_days(scored)
-    weight = F.col("hours")
-    by_day = days.groupBy("delivery_date").agg(
+    figures = ("mae_model", "mae_naive", "coverage")
+    by_day = track_record_days(scored).groupBy("delivery_date").agg(
         (F.avg("mae_model") < F.avg("mae_naive")).cast("int").alias("better"),
-        F.sum(F.col("mae_model") * weight).alias("model"),
-        F.sum(F.col("mae_naive") * weight).alias("naive"),
-        F.sum(F.col("coverage") * weight).alias("hits"),
-        F.sum(weight).alias("hours"),
+        *[F.sum(F.col(f) * F.col(f"{f}_hours")).alias(f) for f in figures],
+        *[F.sum(f"{f}_hours").alias(f"{f}_hours") for f in figures],
     )
-    per_hour = lambda c: F.sum(c) / F.sum("hours")
+    per_hour = lambda f: F.try_divide(F.sum(f), F.sum(f"{f}_hours"))
     return by_day.agg(
         F.count("*").alias("days"),
-        per_hour("model").alias("mae_model"),
-        per_hour("naive").alias("mae_naive"),
+        per_hour("mae_model").alias("mae_model"),
+        per_hour("mae_naive").alias("mae_naive"),
         F.sum("better").alias("days_beating_naive"),
-        per_hour("hits").alias("coverage_80"),
+        per_hour("coverage").alias("coverage_80"),
     )
 
 
@@ -168,7 +173,7 @@ def issue_log(issued: DataFrame, scored: DataFrame, tz: str = MARKET_TZ) -> Data
         "issued_at",
         "model_version",
         issue_timing(tz).alias("timing"),
-        F.when(F.col("mae_model").isNull(), F.lit("waiting")).otherwise(F.lit("scored")).alias("status"),
+        F.when(F.col("hours").isNull(), F.lit("waiting")).otherwise(F.lit("scored")).alias("status"),
         "mae_model",
         "mae_naive",
         "coverage",

@@ -286,9 +286,9 @@ def issued_forecasts(spark: SparkSession, sf_dir: str, panel: DataFrame) -> Data
     """The band forecast of every day, the coming one included, as an issued log.
 
     A day's forecast is issued the day before, at 08:00 UTC and half an hour later for every
-    order that came in on the day before.
+    order that came in on the day before. A day without lags is issued too, with empty quantiles.
     """
-    rows = order_rows(panel).where(band()[1].isNotNull())
+    rows = order_rows(panel)
     arrivals = (
         driver_table(spark, sf_dir, "orders")
         .groupBy(F.date_add(F.col("o_orderdate").cast("date"), 1).alias("delivery_date"))
@@ -314,8 +314,7 @@ issued as (
     select zone, i.delivery_date, (day_value + week_value) / 2 * 0.8 as q10, (day_value + week_value) / 2 as q50,
            (day_value + week_value) / 2 * 1.2 as q90, day_value as naive_day, target_price as actual,
            cast(i.delivery_date - 1 as timestamp) + to_minutes(480 + 30 * coalesce(orders, 0)) as issued_at
-    from inputs as i left join arrivals as a on a.delivery_date = i.delivery_date
-    where day_value is not null and week_value is not null),
+    from inputs as i left join arrivals as a on a.delivery_date = i.delivery_date),
 record as (
     select delivery_date, zone, avg(abs(q50 - actual)) as mae_model, avg(abs(naive_day - actual)) as mae_naive,
            avg(cast(actual between q10 and q90 as int)) as coverage, count(*) as hours
@@ -383,11 +382,11 @@ ISSUE_LOG = with_ctes(
            i.delivery_date, issued_at, 'band-v1' as model_version,
            case when {LOCAL('issued_at')} < cast(i.delivery_date - 1 as timestamp) + interval 12 hours
                 then 'before' else 'after' end as timing,
-           case when mae_model is null then 'waiting' else 'scored' end as status,
+           case when hours is null then 'waiting' else 'scored' end as status,
            {R6('mae_model')} as mae_model, {R6('mae_naive')} as mae_naive, {R6('coverage')} as coverage
     from (select delivery_date, min(issued_at) as issued_at from issued group by all) as i
     left join (select delivery_date, avg(mae_model) as mae_model, avg(mae_naive) as mae_naive,
-                      avg(coverage) as coverage from record group by all) as r using (delivery_date)""",
+                      avg(coverage) as coverage, sum(hours) as hours from record group by all) as r using (delivery_date)""",
 )
 
 QUERIES = {
