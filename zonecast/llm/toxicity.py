@@ -9,7 +9,7 @@ Learnt from at most ``SAMPLE`` labelled documents a class, those with the smalle
 ones sets the offset. The fit runs on the driver, over that bounded sample; all documents are scored where they lie.
 
 Defined cases: a null or empty text is scored by the share of toxic documents alone. A row with a null id is scored but never learnt from. Rows that
-repeat an id are scored alike; conflicting labels of an id count as toxic from one half. Null labels are ignored. Without labels of both classes the
+repeat an id are scored each by its text, and learnt from as one, by their least text; conflicting labels of an id count as toxic from one half. Null labels are ignored. Without labels of both classes the
 score is their share, or 0.5 without any. An empty table gives an empty result. Other columns of the input are ignored.
 """
 
@@ -132,33 +132,49 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     return Model(p["e"] @ (p["u"][:, 1] - p["u"][:, 0]), float(p["b"][0]))
 
 
-def fit(rows: DataFrame) -> Model:
-    """A model from rows (``doc_id``, ``text``, ``label`` 0..1)."""
-    shares = rows.groupBy((F.col("label") >= 0.5).alias("toxic")).count().collect()
-    counts = {r["toxic"]: r["count"] for r in shares}
+def _sample(ids: DataFrame, n: int) -> list:
+    """Of ``n`` ids, the ``SAMPLE`` with the smallest hash.
+
+    A bound on the hash lets about twice as many through, so what the driver gets does not grow with the number of tasks.
+    """
+    order = F.xxhash64("doc_id")
+    bound = F.lit(-(1 << 63) + (2 * SAMPLE << 64) // n) if n > 4 * SAMPLE else None
+    for part in ([] if bound is None else [ids.where(order < bound)]) + [ids]:
+        found = [r["doc_id"] for r in part.orderBy(order, "doc_id").limit(SAMPLE).collect()]
+        if len(found) == min(SAMPLE, n):
+            break
+    return found
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from ``docs`` and labels (``doc_id``, ``label`` 0..1, one row an id).
+
+    Ids are counted and chosen without their texts, which are read for the chosen ones alone.
+    """
+    known = docs.select("doc_id").distinct().join(labels.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
+    known = known.select("doc_id", (F.col("label") >= 0.5).alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     toxic, clean = counts.get(True, 0), counts.get(False, 0)
     prior = math.log((toxic + 0.5) / (clean + 0.5)) if toxic + clean else 0.0
     if not toxic or not clean:
         return Model(np.zeros(BUCKETS), prior)
-    sample = [
-        rows.where(side).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE).collect()
-        for side in (F.col("label") >= 0.5, F.col("label") < 0.5)
-    ]
-    texts = [r["text"] or "" for side in sample for r in side]
+    chosen = [(i, side) for side, n in ((True, toxic), (False, clean)) for i in _sample(known.where(F.col("toxic") == side), n)]
+    wanted = docs.sparkSession.createDataFrame(chosen, f"__id {id_type(docs)}, toxic boolean")
+    # 2 * SAMPLE rows: their size is known, so they are sent to the texts and not the other way round.
+    rows = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("__id"))
+    sample = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("toxic", "doc_id").collect()
+    texts = [r["text"] or "" for r in sample]
     if not any(words(t) for t in texts):
         return Model(np.zeros(BUCKETS), prior)
-    model = train(texts, np.repeat([1, 0], [len(side) for side in sample]))
+    model = train(texts, np.array([int(r["toxic"]) for r in sample]))
     # The classes weighed alike in training; all labelled rows say how common they are.
     return Model(model.lean, model.bias + prior)
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.3) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``: learnt from labels (``doc_id``, ``label``) of rows not held out."""
-    known = labels.where("label is not null and doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.avg("label").alias("label")
-    )
-    rows = docs.select("doc_id", "text").where(~held_out).join(known, F.col("doc_id") == F.col("__id"))
-    model = fit(rows.select("doc_id", "text", "label"))
+    known = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("label").alias("label"))
+    model = fit(docs.select("doc_id", "text").where(~held_out), known)
     shared = docs.sparkSession.sparkContext.broadcast((model.lean, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
