@@ -2,45 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import materialise
+from zonecast.session import Scratch, materialise
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(``id``, ``component``): the smallest id that each linked id reaches.
+def components(links: DataFrame, rounds: int = 60, store: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
+    """(``id``, ``component``): the smallest id that each linked id reaches, as a stored table.
 
     ``links`` has columns ``a`` and ``b``. Rounds alternate between hanging every larger neighbour of
     an id on its smallest neighbour and hanging smaller ones so, until every id hangs on one other that hangs on none: its component. Each round is two aggregations, which combine before they shuffle, and two
     joins against one row per id, so a hub's links are spread by splitting the skewed side. A round's
-    links are a stored table.
+    links are a stored table, deleted when the next one is.
     """
-    links = materialise(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "links",
-    )
-    for _ in range(rounds):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        links = _hang(both, F.col("b") > F.col("a"))
-        links = _hang(links, F.lit(True))
-        if _settled(links):
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    found = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return materialise(found.unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct(), "components")
-
-
-def _hang(links: DataFrame, moved: object) -> DataFrame:
+    with Scratch(links.sparkSession, "components") as work:
+        links = work.store(
+            links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+            "links",
+        )
+        for _ in range(rounds):
+            both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            half = _hang(both, F.col("b") > F.col("a"), work)
+            work.drop(links)
+            links = _hang(half, F.lit(True), work)
+            work.drop(half)
+            if _settled(links):
+                break
+        else:
+            raise RuntimeError(f"components did not settle in {rounds} rounds")
+        found = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        found = found.unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
+        return store(found, "components")
+
+
+def _hang(links: DataFrame, moved: object, work: Scratch) -> DataFrame:
     """Links each neighbour ``b`` of ``a`` where ``moved`` holds, and ``a`` itself, to the least of all."""
-    least = materialise(
+    least = work.store(
         links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")).withColumnRenamed("a", "of"), "least"
     )
     joined = links.join(least, links["a"] == least["of"])
     neighbours = joined.where(moved).select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select(F.col("of").alias("a"), F.col("least").alias("b"))
-    return materialise(neighbours.unionByName(own).where("a <> b").distinct(), "links")
+    hung = work.store(neighbours.unionByName(own).where("a <> b").distinct(), "links")
+    work.drop(least)
+    return hung
 
 
 def _settled(links: DataFrame) -> bool:

@@ -35,17 +35,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import id_type, keep_rows, materialise, small_batches
+from zonecast.llm.common import id_type, keep_rows, small_batches
 from zonecast.llm.components import components
 from zonecast.llm.wordhash import U, Words, in_chunks, mix, runs
+from zonecast.session import Scratch, materialise
 
 SHINGLE = 5
 POSITIONS, AGREE = 64, 28
-# A node is small while fewer documents than this are outside its largest component.
-SMALL = 16
+# A node is small while fewer documents than this, with fewer shingles in all, are outside its largest component.
+SMALL, VOLUME = 1024, 1 << 20
+# Token bytes that are compared at once.
+COMPARED = 1 << 23
 # Nodes that are still large at this depth are compared exhaustively.
 ROUNDS = 34
 # A pair of similarity 0.75 may be missed with this probability.
@@ -223,75 +226,224 @@ def _divided(rows: DataFrame) -> DataFrame:
     return rows.join(nodes.where("low <> high").select("node"), "node", "left_semi")
 
 
-def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(``id``, ``component``) of all ids that have a link; classes have ``id``, ``n``, ``tokens``, ``nodes``."""
-    spark = docs.sparkSession
+def _counted(rows: DataFrame, work: Scratch) -> DataFrame:
+    """Rows (``node``, ``id``, ``n``, ``component``) of nodes that hold two components or more, with what the node holds, stored.
+
+    ``least`` is its smallest id, ``main`` its largest component; ``size`` and ``volume`` count its documents and their shingles, ``others`` and
+    ``other_volume`` those outside ``main``.
+    """
+    inside = rows.groupBy("node", "component").agg(
+        F.count("*").alias("here"), F.sum("n").alias("shingles"), F.min("id").alias("least")
+    )
+    counted = inside.groupBy("node").agg(
+        F.count("*").alias("parts"),
+        F.min("least").alias("least"),
+        F.max(F.struct("here", "component", "shingles")).alias("top"),
+        F.sum("here").alias("size"),
+        F.sum("shingles").alias("volume"),
+    )
+    shared = counted.where("parts > 1").select(
+        "node",
+        "least",
+        F.col("top.component").alias("main"),
+        "size",
+        "volume",
+        (F.col("size") - F.col("top.here")).alias("others"),
+        (F.col("volume") - F.col("top.shingles")).alias("other_volume"),
+    )
+    shared = work.store(shared, "nodes")
+    held = work.store(rows.join(shared, "node"), "node-rows")
+    work.drop(shared)
+    return held
+
+
+def _is_small() -> Column:
+    return (F.col("others") < SMALL) & (F.col("other_volume") < VOLUME)
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows of nodes dealt into cells (``node``, ``cell``) of bounded size, so that each outsider meets each document of its node in one of them.
+
+    Documents are dealt into as many parts as their number or volume asks for, outsiders once more into parts of their own: one, in a small
+    node. A cell has one part of the outsiders and one of all documents (``member``).
+    """
+    parts = lambda many, shingles: F.greatest(F.lit(1), F.ceil(many / SMALL), F.ceil(shingles / VOLUME)).cast("int")
+    all_parts, out_parts = parts(F.col("size"), F.col("volume")), parts(F.col("others"), F.col("other_volume"))
+    own, own_out = F.pmod(F.xxhash64("id"), F.col("parts")), F.pmod(F.xxhash64("id", F.lit(1)), F.col("out_parts"))
+    placed = rows.withColumns({"parts": all_parts, "out_parts": out_parts, "apart": F.col("component") != F.col("main")})
+    is_out = lambda cell: F.col("apart") & (F.floor(cell / F.col("parts")) == own_out)
+    is_member = lambda cell: cell % F.col("parts") == own
+    cells = F.filter(F.sequence(F.lit(0), F.col("parts") * F.col("out_parts") - 1), lambda c: is_out(c) | is_member(c))
+    dealt = placed.withColumn("cell", F.explode(cells))
+    cell = F.col("cell")
+    return dealt.select("node", "cell", "id", "n", "component", is_out(cell).alias("outside"), is_member(cell).alias("member"))
+
+
+def _by_cell(rows: DataFrame) -> DataFrame:
+    return small_batches(rows.repartition("node", "cell").sortWithinPartitions("node", "cell"))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of one cell after the other, of batches sorted by cell."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        node, cell = (batch.column(c).to_numpy() for c in ("node", "cell"))
+        cuts = np.flatnonzero((np.diff(node) != 0) | (np.diff(cell) != 0)) + 1
+        starts = [0, *cuts.tolist()]
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield batch.slice(a, b - a)
+        held = batch.slice(starts[-1])
+    if held is not None:
+        yield held
+
+
+def _flags(cell: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of a cell's outsiders and members, and the components as numbers."""
+    outside, member = (cell.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("outside", "member"))
+    _, component = np.unique(cell.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
+    return np.flatnonzero(outside), np.flatnonzero(member), component
+
+
+def _alike(cells: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rows of the cells that may link: with another component's document in the cell, tokens agree and sizes allow 0.75.
+
+    All outsiders of a cell are compared with all its members; what leaves is documents, never pairs.
+    """
+    rows = cells.join(tokens.select("id", "low"), "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _groups(batches):
+            outs, members, component = _flags(cell)
+            low = np.frombuffer(b"".join(cell.column("low").to_pylist()), np.uint8).reshape(-1, POSITIONS)
+            n = cell.column("n").to_numpy()
+            found = np.zeros(len(cell), bool)
+            step = max(1, COMPARED // (max(1, len(members)) * POSITIONS))
+            for at in range(0, len(outs), step):
+                some = outs[at : at + step]
+                near = (low[some][:, None, :] == low[members][None]).sum(axis=2, dtype=np.uint8) >= AGREE
+                near &= component[some][:, None] != component[members][None]
+                x, y = n[some][:, None], n[members][None]
+                near &= 4 * np.minimum(x, y) >= 3 * np.maximum(x, y)
+                found[some] |= near.any(axis=1)
+                found[members] |= near.any(axis=0)
+            if found.any():
+                yield cell.filter(pa.array(found)).drop_columns(["low"])
+
+    kind = id_type(cells, "id")
+    columns = ["node", "cell", "id", "n", "component", "outside", "member"]
+    return _by_cell(rows.select(*columns, "low")).mapInArrow(
+        run, f"node long, cell int, id {kind}, n long, component {kind}, outside boolean, member boolean"
+    )
+
+
+def _compared(alike: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (``a``, ``b``) between components that the full sets of a cell's documents confirm, as many as join what belongs together."""
+    rows = alike.join(sets.select("id", "shingles"), "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _groups(batches):
+            outs, members, component = _flags(cell)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("shingles")]
+            n = np.array([len(x) for x in sets])
+            codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            starts = np.cumsum(n) - n
+            inside = np.concatenate([codes[starts[m] : starts[m] + n[m]] for m in members])
+            firsts = np.cumsum(n[members]) - n[members]
+            held = np.zeros(codes.max() + 1, np.int32)
+            a, b = [], []
+            for o in outs.tolist():
+                own = codes[starts[o] : starts[o] + n[o]]
+                held[own] = 1
+                shared = np.add.reduceat(held[inside], firsts)
+                held[own] = 0
+                linked = members[100 * shared >= 75 * (n[o] + n[members] - shared)]
+                joined, at = np.unique(component[linked], return_index=True)
+                for part, m in zip(joined.tolist(), linked[at].tolist(), strict=True):
+                    if part != component[o]:
+                        a.append(o)
+                        b.append(m)
+                        component[component == part] = component[o]
+            if a:
+                ids = cell.column("id")
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
+
+    kind = id_type(alike, "id")
+    columns = ["node", "cell", "id", "component", "outside", "member", "shingles"]
+    return _by_cell(rows.select(*columns)).mapInArrow(run, f"a {kind}, b {kind}")
+
+
+class _Links:
+    """The links confirmed so far and the components they make, with the full sets read for them."""
+
+    def __init__(self, docs: DataFrame, work: Scratch) -> None:
+        self.docs, self.work = docs, work
+        self.links = self.found = self.sets = None
+
+    def with_sets(self, ids: DataFrame) -> DataFrame:
+        """The sets of these ids (``id``) and of all earlier ones."""
+        ids = ids.distinct() if self.sets is None else ids.distinct().join(self.sets.select("id"), "id", "left_anti")
+        ids = self.work.store(ids, "ends")
+        new = self.work.store(_sets(self.docs, ids), "sets")
+        self.work.drop(ids)
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+        return self.sets
+
+    def add(self, confirmed: DataFrame) -> None:
+        confirmed = self.work.store(confirmed, "confirmed")
+        if confirmed.isEmpty():
+            return
+        # What is joined already is told by one link an id; the new links go on top.
+        known = None if self.found is None else self.found.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        links = confirmed if known is None else confirmed.unionByName(known)
+        before, self.found = self.found, components(links, store=self.work.store)
+        self.work.drop(before, confirmed)
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows (``node``, ``id``, ``n``) with the component of each id so far."""
+        rows = rows.select("node", "id", "n")
+        return rows.withColumn("component", F.col("id")) if self.found is None else _placed(rows, self.found)
+
+
+def link_classes(docs: DataFrame, classes: DataFrame, work: Scratch) -> DataFrame | None:
+    """(``id``, ``component``) of all ids that have a link, stored in ``work``, or None; classes have ``id``, ``n``, ``tokens``, ``nodes``.
+
+    A turn's tables are deleted when the next turn's are stored; what lasts is the components and the sets read.
+    """
     low = F.col("tokens")
-    tokens = materialise(classes.select("id", "n", _low_bytes(low).alias("low")).distinct(), "tokens")
-    rows = classes.select(F.explode("nodes").alias("node"), "id", "n").withColumn("component", F.col("id"))
-    links = found = sets = tried = paths = None
-    for turn in range(ROUNDS):
-        # Nodes that hold two components or more, with the largest of them; the rest has nothing left to find.
-        inside = rows.groupBy("node", "component").agg(F.count("*").alias("here"), F.min("id").alias("least"))
-        counted = inside.groupBy("node").agg(
-            F.count("*").alias("parts"),
-            F.min("least").alias("least"),
-            F.max(F.struct("here", "component")).alias("main"),
-            F.sum("here").alias("size"),
-        )
-        shared = counted.where("parts > 1").select(
-            "node", "least", F.col("main.component").alias("main"), (F.col("size") - F.col("main.here")).alias("others")
-        )
-        rows = materialise(rows.join(materialise(shared, "nodes"), "node"), "node-rows")
+    tokens = work.store(classes.select("id", "n", _low_bytes(low).alias("low")).distinct(), "tokens")
+    links, paths = _Links(docs, work), None
+    rows = classes.select(F.explode("nodes").alias("node"), "id", "n").distinct()
+    for depth in range(1, ROUNDS + 1):
+        before, rows = rows, _counted(links.placed(rows), work)
+        work.drop(before)
         if rows.isEmpty():
             break
-        is_small = F.lit(True) if turn == ROUNDS - 1 else F.col("others") < SMALL
-        small = rows.where(is_small)
-        x, y = small.where("component <> main").alias("x"), small.alias("y")
-        pairs = x.join(
-            y,
-            (F.col("x.node") == F.col("y.node"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n")),
-        ).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        # In large nodes each document is compared with the least id that it meets.
-        stars = rows.where(~is_small).groupBy(F.col("id").alias("b")).agg(F.min("least").alias("a")).where("a <> b")
-        pairs = pairs.unionByName(stars.select("a", "b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        candidates = materialise(_agree(pairs, tokens), "candidates")
-        if not candidates.isEmpty():
-            known = candidates.select("a", "b")
-            tried = known if tried is None else tried.unionByName(known)
-            ends = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id")))
-            ends = ends.distinct()
-            if sets is not None:
-                ends = ends.join(sets.select("id"), "id", "left_anti")
-            new = materialise(_sets(docs, materialise(ends, "ends")), "sets")
-            sets = new if sets is None else sets.unionByName(new)
-            # One likely link of each document first; the others only where they join what is apart.
-            best = candidates.groupBy("b").agg(F.max_by("a", "agree").alias("a")).select("a", "b")
-            for pairs in (best, candidates) if turn == 0 else (candidates,):
-                if found is not None:
-                    pairs = _apart(pairs, found)
-                confirmed = materialise(_confirm(pairs, sets), "confirmed")
-                if not confirmed.isEmpty():
-                    links = confirmed if links is None else links.unionByName(confirmed)
-                    found = components(links)
-        rows = rows.where(~is_small).select("node", "id", "n").distinct()
-        rows = rows.withColumn("component", F.col("id")) if found is None else _placed(rows, found)
-        rows = materialise(_divided(rows), "divided")
+        # Each document with the least id that it meets, at one node and at another: what joins groups of copies of any size.
+        ends = rows.groupBy(F.col("id").alias("b")).agg(F.min("least").alias("x"), F.max("least").alias("y"))
+        stars = ends.select(F.explode(F.array("x", "y")).alias("a"), "b").where("a <> b").distinct()
+        stars = work.store(_agree(stars if links.found is None else _apart(stars, links.found), tokens), "stars")
+        if not stars.isEmpty():
+            sets = links.with_sets(stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))))
+            links.add(_confirm(stars, sets))
+        before, rows = rows, _counted(links.placed(rows), work)
+        work.drop(before, stars)
+        small = _is_small() if depth < ROUNDS else F.lit(True)
+        alike = work.store(_alike(_cells(rows.where(small)), tokens), "alike")
+        if not alike.isEmpty():
+            links.add(_compared(alike, links.with_sets(alike.select("id"))))
+        before, rows = rows, work.store(_divided(links.placed(rows.where(~small))), "divided")
+        work.drop(before, alike)
         if rows.isEmpty():
             break
         if paths is None:  # what is in large nodes later is in large nodes now
-            paths = materialise(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
-        rows = _branch(rows, paths, turn + 2)
-        rows = rows.withColumn("component", F.col("id")) if found is None else _placed(rows, found)
-        rows = materialise(rows, "branches")
-    if found is None:
-        kind = id_type(classes, "id")
-        return spark.createDataFrame([], f"id {kind}, component {kind}")
-    return found
+            paths = work.store(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
+        before, rows = rows, work.store(_branch(rows, paths, depth + 1), "branches")
+        work.drop(before)
+    return links.found
 
 
 def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -320,21 +472,27 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each row: ``doc_id``, the hash of its text, ``n_shingles``, ``component_id``, ``kept``."""
-    own = materialise(sketches(docs), "sketches")
+    with Scratch(docs.sparkSession, "near-dedup") as work:
+        return materialise(_judged(docs, work), "near-duplicates")
+
+
+def _judged(docs: DataFrame, work: Scratch) -> DataFrame:
+    own = work.store(sketches(docs), "sketches")
     real = own.where("n > 0 and doc_id is not null")
     # The class's smallest doc_id stands for it.
-    heads = materialise(real.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
+    heads = work.store(real.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
     several = heads.withColumnRenamed("key", "__key")
     classes = (
         real.join(several, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("__key")))
         .select("id", "n", "tokens", "nodes")
         .dropDuplicates(["id", "n", "tokens"])
     )
-    found = link_classes(docs, materialise(classes, "class-rows"))
+    found = link_classes(docs, work.store(classes, "class-rows"), work)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], f"id {id_type(docs)}, component {id_type(docs)}")
     placed = heads.join(found, "id", "left").select(
         F.col("key").alias("__key"), F.coalesce("component", "id").alias("component")
     )
-    placed = materialise(placed, "placed")
     rows = own.select("doc_id", "__text", "n", "key").join(placed, F.col("key") == F.col("__key"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), "doc_id"))
     return rows.select(
