@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from zonecast.llm import near_dedup, substring_dedup
@@ -93,6 +94,49 @@ def test_links_in_a_group_of_alike_documents(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == wanted
 
 
+def linked_pairs(texts, chunk=200):
+    """Every pair of texts with a similarity of 0.75 or more, by the shingles that both hold."""
+    index = {}
+    sets = [sorted({index.setdefault(x, len(index)) for x in shingles(t)}) for t in texts]
+    held = np.zeros((len(texts), len(index)), np.float32)
+    for row, own in zip(held, sets, strict=True):
+        row[own] = 1
+    n = held.sum(axis=1)
+    for a in range(0, len(texts), chunk):
+        shared = held[a : a + chunk] @ held.T
+        x, y = np.nonzero(100 * shared >= 75 * (n[a : a + chunk, None] + n[None] - shared))
+        yield from ((int(i) + a, int(j)) for i, j in zip(x, y, strict=True) if i + a < j)
+
+
+def test_recall_in_a_large_templated_group(spark):
+    """2,000 alike documents, 1,000 links of exactly 0.75 among two million pairs: more than a node is compared at, so it branches."""
+    rows = templated_pairs(1000)
+    wanted = set(linked_pairs([t for _, t in rows]))
+    assert wanted >= {(2 * k, 2 * k + 1) for k in range(1000)}
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    component = {r.doc_id: r.component_id for r in found}
+    missed = [p for p in wanted if component[p[0]] != component[p[1]]]
+    assert len(missed) <= len(wanted) // 1000
+    joined = {(component[a], component[b]) for a, b in wanted}
+    assert sum(len({i for i in pair}) == 1 for pair in joined) and len(set(component.values())) >= len(rows) - len(wanted)
+
+
+def test_cells_hold_every_pair_once_or_more(spark, monkeypatch):
+    """Nodes dealt into many cells, outsiders in parts of their own: each outsider meets every other document of its node."""
+    monkeypatch.setattr(near_dedup, "SMALL", 7)
+    rows = [(node, i, 10, 0 if i % 5 else i, 0) for node, size in ((1, 40), (2, 3), (3, 1)) for i in range(size)]
+    table = spark.createDataFrame(rows, "node long, id long, n long, component long, main long").selectExpr(
+        "*", "count(*) over (partition by node) size", "sum(n) over (partition by node) volume",
+        "count_if(component <> main) over (partition by node) others", "sum(if(component <> main, n, 0)) over (partition by node) other_volume",
+    )
+    met, sizes = set(), Counter()
+    for _, cell in pd.DataFrame([r.asDict() for r in near_dedup._cells(table).collect()]).groupby(["node", "cell"]):
+        sizes[len(cell) // 10] += 1
+        met |= {(r.node, r.id, m) for r in cell[cell.outside].itertuples() for m in cell[cell.member].id}
+    assert met == {(node, i, m) for node, i, _, c, main in rows if c != main for n, m, *_ in rows if n == node}
+    assert max(sizes) <= 2
+
+
 @pytest.mark.parametrize("depth", [1, 7, 10])
 def test_trees_hold_pairs_of_least_similarity_at_every_depth(depth):
     rng = np.random.default_rng(depth)
@@ -129,10 +173,66 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
-def test_repeats_equal_brute_force(documents):
+@pytest.mark.parametrize("group", [0, 40, substring_dedup.GROUP])
+def test_repeats_equal_brute_force(documents, group):
+    """By trees alone, by lengthened prefixes alone, and by both."""
     rows = [(r.doc_id, r.text) for r in documents.collect()]
-    found = substring_dedup.digests(substring_dedup.remove_repeats(documents)).collect()
+    found = substring_dedup.digests(substring_dedup.remove_repeats(documents, group)).collect()
+    assert Counter(map(tuple, found)) == expected_kept(rows)
+
+
+def test_texts_that_share_an_id_lose_what_they_repeat_themselves(spark):
+    p, q, r = (" ".join(f"{x}{i}" for i in range(80)) for x in "pqr")
+    rows = [(1, p), (2, p), (2, q), (2, f"{q} {r}"), (3, r), (3, f"x {p} y"), (3, f"x {p} y"), (4, p.replace(" ", "  ")), (4, f"{r[:100]} z")]
+    found = substring_dedup.digests(substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
     assert Counter(map(tuple, found)) == expected_kept(rows)
+    assert sum(r.n_removed == 0 for r in found if r.doc_id == 2) == 2
+
+
+def longest_repeats(rows):
+    """(id, first word, words) of each run of starts whose windows start in a smaller id too."""
+    first = {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        w = words(t)
+        for j in range(len(w) - 49):
+            first.setdefault(tuple(w[j : j + 50]), i)
+    out = []
+    for i, t in rows:
+        w, run = words(t), []
+        hits = [j for j in range(len(w) - 49) if first[tuple(w[j : j + 50])] < i]
+        for j in hits:
+            if run and j == run[-1] + 1:
+                run[-1] = j
+            else:
+                run += [j, j]
+        out += [(i, a, b - a + 50) for a, b in zip(run[::2], run[1::2], strict=True)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group", [0, 40, substring_dedup.GROUP])
+def test_maximal_repeats(documents, group):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    found = substring_dedup.maximal_repeats(documents, group).collect()
+    assert sorted((r.doc_id, r.start, r.length) for r in found) == longest_repeats(rows)
+
+
+def test_subtree_orders_suffixes_and_tells_what_they_share():
+    rng = np.random.default_rng(2)
+    stretches = [rng.integers(0, 2, 50 + k).astype(np.uint64) for k in (0, 3, 9)] + [np.zeros(54, np.uint64)]
+    stretches.append(stretches[2][4:58].copy())
+    tree = substring_dedup.Subtree(stretches)
+    suffixes = [stretches[s][o : o + 50].tobytes() for s, o in zip(tree.stretch, tree.offset, strict=True)]
+    assert len(suffixes) == 1 + 4 + 10 + 5 + 5
+    placed = [suffixes[k] for k in tree.order]
+    assert placed == sorted(suffixes)
+    for a, b, shared in zip(placed, placed[1:], tree.shared.tolist(), strict=False):
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        assert shared == (50 if a == b else int((x != y).argmax()))
+    owner = np.array([3, 1, 0, 2, 4])
+    least = {}
+    for k, x in enumerate(suffixes):
+        least[x] = min(least.get(x, 9), owner[tree.stretch[k]])
+    assert tree.repeated(owner).tolist() == [bool(owner[tree.stretch[k]] > least[x]) for k, x in enumerate(suffixes)]
 
 
 def test_repeats_of_odd_rows(odd_docs, no_docs):

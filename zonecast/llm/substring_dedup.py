@@ -1,24 +1,22 @@
-"""Substring deduplication with prefix-partitioned, truncated suffix trees over words.
+"""Substring deduplication with prefix-partitioned suffix trees over words.
 
-Each word position starts a suffix. The trees are cut at depth ``WINDOW`` (50 words), as deeper nodes change
-nothing, and edges are fingerprints of word runs:
+Each word position starts a suffix. The trees are cut at depth ``WINDOW`` (50 words), as deeper nodes change nothing; a word is its 64-bit hash.
 
 1. Documents with equal word sequences are one; the smallest doc_id stands for them, and the others are
    repeats throughout.
-2. A window of 50 words belongs to the group of its prefix run of ``PREFIX`` (20) words: of its 31 such runs the one
-   with the smallest fingerprint, so that equal windows meet in the same group and neighbours share theirs. About
-   one run in sixteen is ever chosen.
-3. A group with one document has no internal node and ends there: nothing of it is sent further. Only the
-   other groups' prefixes are lengthened to 50 words, which are the nodes at depth 50.
-4. A node with suffixes of two documents or more is internal. Its smallest doc_id keeps its words; in the other
-   documents every word below it goes. Adjacent nodes join to maximal repeats.
-
-Groups are (prefix, window) aggregates that combine before the shuffle and keep two ids, so neither a prefix
-nor a window that a third of the corpus shares is ever gathered in one place.
+2. A suffix belongs to the group of a run of ``PREFIX`` (20) words among its first 50: of the 31 such runs the one
+   with the smallest fingerprint, so that equal suffixes meet in the same group and neighbours share theirs. About
+   one run in sixteen is ever chosen. Groups are counted first; one of a single document has no internal node and ends there.
+3. Prefixes have two lengths. A group of at most ``GROUP`` suffixes fits in a task: its suffixes are sent as stretches of words, and its tree is built there (the
+   suffixes in order, with the words that each shares with the next). A larger group's prefix is lengthened to the full 50 words: its suffixes are then equal as
+   far as the tree goes, so each such group is one node, of which only the smallest doc_id is wanted, an aggregate that combines before the shuffle. Neither a
+   prefix nor a window that a third of the corpus shares is ever gathered in one place.
+4. A node of full depth with suffixes of two documents or more is a repeat. Its smallest doc_id keeps its words; in the other
+   documents every word below it goes. Neighbouring ones join to maximal repeats (``maximal_repeats``).
 
 Defined cases: a null or empty text has no words and keeps nothing (the empty string). A row with a null
 doc_id takes no part and keeps all its words. Rows that repeat a doc_id are one document: none of them is removed
-on account of the other. An empty table gives an empty result. Other columns of the input are ignored.
+on account of the other, and each loses what it repeats itself. An empty table gives an empty result. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import id_type, materialise, small_batches
+from zonecast.llm.common import id_type, small_batches
 from zonecast.llm.wordhash import Words, in_chunks, runs
+from zonecast.session import Scratch, materialise
 
 WINDOW, PREFIX = 50, 20
+# Suffixes that a group may have for its tree to be built in one task: some 400 bytes each.
+GROUP = 4096
 
 
 def _least_of(values: np.ndarray, size: int) -> np.ndarray:
@@ -63,117 +64,231 @@ class _Windows:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """Of each row: id, number of words, a key of the word sequence, and the group prefixes of its windows."""
+    """Of each row: id, text hash, number of words, a key of the word sequence, and its group prefixes with the windows of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, prefixes = [], [], []
+            sizes, keys, prefixes, counts = [], [], [], []
             for _, texts in in_chunks(batch.column("text").to_pylist()):
                 found = _Windows(texts)
                 for first, last, windows in found:
                     sizes.append(last - first)
                     keys.append(hashlib.blake2b(found.words.hashes[first:last].tobytes(), digest_size=16).digest())
-                    prefixes.append(np.unique(found.prefixes[windows]).view(np.int64))
+                    own, many = np.unique(found.prefixes[windows], return_counts=True)
+                    prefixes.append(own.view(np.int64))
+                    counts.append(many)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("__text"),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(counts, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_words", "key", "prefixes"],
+                names=["doc_id", "__text", "n_words", "key", "prefixes", "counts"],
             )
 
-    return small_batches(docs.select("doc_id", "text")).mapInArrow(
-        run, f"doc_id {id_type(docs)}, n_words long, key binary, prefixes array<long>"
+    return small_batches(docs.select("doc_id", F.xxhash64("text").alias("__text"), "text")).mapInArrow(
+        run, f"doc_id {id_type(docs)}, __text long, n_words long, key binary, prefixes array<long>, counts array<long>"
     )
 
 
-def _lengthen(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """(``doc_id``, ``start``, ``prefix``, ``window``) of the windows whose group is in ``groups`` (``id``, ``shared``)."""
+def _lengthen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The suffixes of the documents in ``wanted`` (``id``, ``of``, ``narrow``, ``wide``) whose group is in one of the two lists.
+
+    Of a narrow group: a row a stretch of suffixes that follow each other, with its ``words`` (a hash each) from the first suffix's first to the
+    last one's fiftieth. Of a wide group: a row a suffix, with the fingerprint of its first fifty words as ``window``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, shared = batch.column("text").to_pylist(), batch.column("shared")
+            texts, narrow, wide = batch.column("text").to_pylist(), batch.column("narrow"), batch.column("wide")
             for at, part in in_chunks(texts):
                 found = _Windows(part)
-                rows, starts = [], []
+                rows, starts, prefixes, fingerprints, words = [], [], [], [], []
                 for k, (first, _, windows) in enumerate(found):
-                    wanted = np.asarray(shared[at + k].values).view(np.uint64)
-                    hit = np.flatnonzero(np.isin(found.prefixes[windows], wanted)) + first
-                    rows.append(np.full(len(hit), at + k))
-                    starts.append(hit)
-                row, start = np.concatenate(rows), np.concatenate(starts)
-                first = np.repeat(found.words.bounds[:-1], [len(x) for x in rows])
+                    own = found.prefixes[windows]
+                    hit = np.flatnonzero(np.isin(own, np.asarray(narrow[at + k].values).view(np.uint64)))
+                    if len(hit):
+                        cuts = np.flatnonzero((np.diff(hit) > 1) | (own[hit[1:]] != own[hit[:-1]])) + 1
+                        for a, b in zip(hit[np.append(0, cuts)].tolist(), hit[np.append(cuts - 1, len(hit) - 1)].tolist(), strict=True):
+                            rows.append(at + k)
+                            starts.append(a)
+                            prefixes.append(own[a])
+                            fingerprints.append(None)
+                            words.append(found.words.hashes[first + a : first + b + WINDOW].tobytes())
+                    hit = np.flatnonzero(np.isin(own, np.asarray(wide[at + k].values).view(np.uint64)))
+                    rows += [at + k] * len(hit)
+                    starts += hit.tolist()
+                    prefixes += own[hit].tolist()
+                    fingerprints += found.windows[windows][hit].view(np.int64).tolist()
+                    words += [None] * len(hit)
+                taken = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id").take(pa.array(row)),
-                        pa.array((start - first).astype(np.int32)),
-                        pa.array(found.prefixes[start].view(np.int64)),
-                        pa.array(found.windows[start].view(np.int64)),
+                        batch.column("id").take(taken),
+                        batch.column("of").take(taken),
+                        pa.array(starts, pa.int32()),
+                        pa.array(np.array(prefixes, np.uint64).view(np.int64)),
+                        pa.array(fingerprints, pa.int64()),
+                        pa.array(words, pa.binary()),
                     ],
-                    names=["doc_id", "start", "prefix", "window"],
+                    names=["doc_id", "__text", "start", "prefix", "window", "words"],
                 )
 
-    rows = docs.select("doc_id", "text").join(groups, docs["doc_id"] == F.col("id"))
-    return small_batches(rows.select("id", "text", "shared")).mapInArrow(
-        run, f"doc_id {id_type(docs)}, start int, prefix long, window long"
+    rows = docs.select("doc_id", F.xxhash64("text").alias("__hash"), "text")
+    rows = rows.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("__hash") == F.col("of")))
+    return small_batches(rows.select("id", "of", "text", "narrow", "wide")).mapInArrow(
+        run, f"doc_id {id_type(docs)}, __text long, start int, prefix long, window long, words binary"
     )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(``id``, ``whole``, ``starts``) of each document with repeats.
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of one group after the other, of batches sorted by prefix."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        starts = [0, *(np.flatnonzero(np.diff(batch.column("prefix").to_numpy())) + 1).tolist()]
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield batch.slice(a, b - a)
+        held = batch.slice(starts[-1])
+    if held is not None:
+        yield held
+
+
+class Subtree:
+    """The suffix tree of one group, cut at ``WINDOW`` words: its suffixes in order, and how many words each shares with the one before.
+
+    Suffixes below an internal node are a run of the order; a node is as deep as the least that is shared inside its run.
+    """
+
+    def __init__(self, stretches: list[np.ndarray]) -> None:
+        sizes = np.array([len(x) for x in stretches])
+        ends = np.cumsum(sizes)
+        many = sizes - WINDOW + 1
+        self.stretch = np.repeat(np.arange(len(sizes)), many)
+        self.offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        every = np.lib.stride_tricks.sliding_window_view(np.concatenate(stretches), WINDOW)
+        suffixes = np.ascontiguousarray(every[np.repeat(ends - sizes, many) + self.offset])
+        self.order = np.argsort(suffixes.view(f"V{8 * WINDOW}").ravel(), kind="stable")
+        placed = suffixes[self.order]
+        differs = placed[1:] != placed[:-1]
+        self.shared = np.where(differs.any(axis=1), differs.argmax(axis=1), WINDOW)
+
+    def repeated(self, owner: np.ndarray) -> np.ndarray:
+        """Whether each suffix is below a node of full depth that a stretch of a smaller ``owner`` is below too."""
+        starts = np.append(0, np.flatnonzero(self.shared < WINDOW) + 1)
+        of = owner[self.stretch[self.order]]
+        least = np.repeat(np.minimum.reduceat(of, starts), np.diff(np.append(starts, len(of))))
+        out = np.empty(len(of), bool)
+        out[self.order] = of > least
+        return out
+
+
+def _spans_of_trees(narrow: DataFrame) -> DataFrame:
+    """(``doc_id``, ``__text``, ``start``, ``length``) of the runs of words that each group's tree finds repeated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            _, owner = np.unique(group.column("doc_id").to_numpy(zero_copy_only=False), return_inverse=True)
+            if owner.max() == 0:
+                continue
+            tree = Subtree([np.frombuffer(w.as_buffer(), np.uint64) for w in group.column("words")])
+            hit = np.flatnonzero(tree.repeated(owner))
+            if not len(hit):
+                continue
+            cuts = np.flatnonzero((np.diff(hit) > 1) | (tree.stretch[hit[1:]] != tree.stretch[hit[:-1]])) + 1
+            firsts, lasts = hit[np.append(0, cuts)], hit[np.append(cuts - 1, len(hit) - 1)]
+            taken = tree.stretch[firsts]
+            found = pa.RecordBatch.from_arrays(
+                [
+                    group.column("doc_id").take(pa.array(taken)),
+                    group.column("__text").take(pa.array(taken)),
+                    pa.array((group.column("start").to_numpy()[taken] + tree.offset[firsts]).astype(np.int32)),
+                    pa.array((lasts - firsts + WINDOW).astype(np.int32)),
+                ],
+                names=["doc_id", "__text", "start", "length"],
+            )
+            yield found
+
+    kind = id_type(narrow)
+    dealt = narrow.select("doc_id", "__text", "start", "prefix", "words").repartition("prefix").sortWithinPartitions("prefix")
+    return small_batches(dealt).mapInArrow(run, f"doc_id {kind}, __text long, start int, length int")
 
-    ``whole`` says that it repeats a smaller document throughout; else ``starts`` has the sorted first words of
-    its repeated windows, which are a part of the document and so no larger than it.
+
+def repeats(docs: DataFrame, work: Scratch, group: int = GROUP) -> DataFrame:
+    """(``id``, ``of``, ``spans``) of each document with repeats: ids, text hashes and the sorted (start, length) of what is repeated.
+
+    Spans of neighbouring groups may overlap; together they are the document's maximal repeats. They are a part of the document and so no larger than it.
     """
-    own = materialise(survey(docs), "survey").where("doc_id is not null")
+    own = work.store(survey(docs), "survey").where("doc_id is not null")
     long = own.where(F.col("n_words") >= WINDOW)
-    heads = materialise(long.groupBy(F.col("key").alias("__key")).agg(F.min("doc_id").alias("head")), "word-classes")
+    heads = work.store(long.groupBy(F.col("key").alias("__key")).agg(F.min("doc_id").alias("head")), "word-classes")
     placed = long.join(heads, F.col("key") == F.col("__key"))
-    groups = placed.where("doc_id = head").select("doc_id", F.explode("prefixes").alias("prefix"))
+    groups = placed.where("doc_id = head").select(
+        "doc_id", "__text", F.explode(F.arrays_zip("prefixes", "counts")).alias("g")
+    ).select("doc_id", "__text", F.col("g.prefixes").alias("prefix"), F.col("g.counts").alias("n"))
     # A prefix of one document's windows has nothing below it that could repeat another.
-    shared = groups.groupBy("prefix").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    shared = materialise(shared.select(F.col("prefix").alias("__prefix")), "prefixes")
-    wanted = groups.join(shared, F.col("prefix") == F.col("__prefix")).groupBy(F.col("doc_id").alias("id")).agg(
-        F.collect_set("prefix").alias("shared")
+    sizes = groups.groupBy("prefix").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.sum("n").alias("suffixes")).where("a < b")
+    shared = work.store(sizes.select(F.col("prefix").alias("__prefix"), (F.col("suffixes") > group).alias("is_wide")), "prefixes")
+    wanted = groups.join(shared, F.col("prefix") == F.col("__prefix")).groupBy(F.col("doc_id").alias("id"), F.col("__text").alias("of")).agg(
+        F.collect_set(F.when(~F.col("is_wide"), F.col("prefix"))).alias("narrow"),
+        F.collect_set(F.when(F.col("is_wide"), F.col("prefix"))).alias("wide"),
     )
-    windows = materialise(_lengthen(docs, wanted), "windows")
+    suffixes = work.store(_lengthen(docs, wanted), "suffixes")
+    windows = suffixes.where("window is not null").select("doc_id", "__text", "start", "prefix", "window")
     nodes = windows.groupBy("prefix", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    nodes = materialise(nodes.where("least < most").select("prefix", "window", "least"), "deep-nodes")
+    nodes = work.store(nodes.where("least < most").select("prefix", "window", "least"), "deep-nodes")
     below = windows.join(nodes, ["prefix", "window"]).where("doc_id > least")
-    starts = below.groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_set("start")).alias("starts"))
-    whole = placed.where("doc_id > head").select(F.col("doc_id").alias("id")).distinct()
-    found = whole.select("id", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")).unionByName(
-        starts.select("id", F.lit(False).alias("whole"), "starts")
+    spans = _spans_of_trees(suffixes.where("words is not null")).unionByName(
+        below.select("doc_id", "__text", "start", F.lit(WINDOW).alias("length"))
+    )
+    whole = placed.where("doc_id > head").select("doc_id", "__text", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"))
+    return spans.unionByName(whole).groupBy(F.col("doc_id").alias("id"), F.col("__text").alias("of")).agg(
+        F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans")
     )
-    # One row an id, also where rows of different texts share one.
-    return found.groupBy("id").agg(F.max("whole").alias("whole"), F.max_by("starts", F.size("starts")).alias("starts"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def maximal_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """(``doc_id``, ``__text``, ``start``, ``length``): the stretches of words whose every window of 50 starts in a smaller document too, as long as they get."""
+    with Scratch(docs.sparkSession, "repeats") as work:
+        each = repeats(docs, work, group).select(F.col("id").alias("doc_id"), F.col("of").alias("__text"), F.explode("spans").alias("s"))
+        here = Window.partitionBy("doc_id", "__text").orderBy("s")
+        # Windows that start within 50 words of each other but not one after the other are stretches of their own.
+        reach = F.max(F.col("s.start") + F.col("s.length") - WINDOW).over(here.rowsBetween(Window.unboundedPreceding, -1))
+        first = F.when(F.col("s.start") <= reach + 1, 0).otherwise(1)
+        numbered = each.withColumn("first", first).withColumn("run", F.sum("first").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+        joined = numbered.groupBy("doc_id", "__text", "run").agg(
+            F.min("s.start").alias("start"), (F.max(F.col("s.start") + F.col("s.length")) - F.min("s.start")).alias("length")
+        )
+        return materialise(joined.drop("run"), "maximal-repeats")
+
+
+def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``doc_id``, a hash of the row's text, ``n_words``, ``n_removed``, and ``kept``: the words left, joined by one space."""
-    found = repeats(docs)
+    with Scratch(docs.sparkSession, "substring-dedup") as work:
+        found = materialise(repeats(docs, work, group), "repeats")
     rows = docs.select("doc_id", F.xxhash64("text").alias("__text"), "text")
-    rows = rows.join(found, rows["doc_id"] == found["id"], "left")
+    rows = rows.join(found, (rows["doc_id"] == found["id"]) & (F.col("__text") == found["of"]), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, kept = [], [], []
-            whole, starts = batch.column("whole").to_pylist(), batch.column("starts")
+            starts, lengths = batch.column("starts"), batch.column("lengths")
             for at, texts in in_chunks(batch.column("text").to_pylist()):
                 words = Words(texts)
                 for k, (first, last) in enumerate(words):
                     n = last - first
                     keep = np.ones(n, bool)
-                    if whole[at + k]:
-                        keep[:] = n < WINDOW
-                    elif starts[at + k].is_valid:
+                    if starts[at + k].is_valid:
                         begun = np.asarray(starts[at + k].values)
-                        begun = begun[begun <= n - WINDOW]
                         steps = np.zeros(n + 1, np.int64)
                         np.add.at(steps, begun, 1)
-                        np.add.at(steps, begun + WINDOW, -1)
+                        np.add.at(steps, begun + np.asarray(lengths[at + k].values), -1)
                         keep = np.cumsum(steps[:n]) == 0
                     stay = np.flatnonzero(keep) + first
                     spans = zip(words.starts[stay].tolist(), words.ends[stay].tolist(), strict=True)
@@ -191,7 +306,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "__text", "n_words", "n_removed", "kept"],
             )
 
-    return small_batches(rows.select("doc_id", "__text", "text", "whole", "starts")).mapInArrow(
+    spans = [F.col("spans.start").alias("starts"), F.col("spans.length").alias("lengths")]
+    return small_batches(rows.select("doc_id", "__text", "text", *spans)).mapInArrow(
         run, f"doc_id {id_type(docs)}, __text long, n_words long, n_removed long, kept string"
     )
 
