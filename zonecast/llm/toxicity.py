@@ -32,6 +32,7 @@ BUCKETS, DIMENSIONS, SEGMENT, SAMPLE, STEPS = 1 << 17, 8, 2, 2500, 120
 BLOCK, OVERLAP = 40, 5
 RATE, DECAY, SHARP = 0.1, 5e-4, 30
 WORDS_CACHED = 300_000
+BLOCK_SEGMENTS = 1 << 17
 _words = re.compile(r"[^\s.,;:!?\"()]+").findall
 
 
@@ -83,24 +84,21 @@ def _segment_means(values: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     """Embeddings and softmax weights, jointly by Adam over the whole sample; labels are 0 or 1, both present."""
     index: dict[str, int] = {}
-    tokens = [np.array([index.setdefault(w, len(index)) for w in words(t)], np.int64) for t in texts]
+    tokens = [np.array([index.setdefault(w, len(index)) for w in words(t)], np.int32) for t in texts]
     keep = np.array([len(t) > 0 for t in tokens])
     tokens, labels = [t for t in tokens if len(t)], labels[keep].astype(float)
     bags = [np.array(subwords(w), np.int32) for w in index]
     sizes = np.array([len(b) for b in bags])
     flat, bag_starts = np.concatenate(bags), np.cumsum(sizes) - sizes
-    stream = np.concatenate(tokens)
-    starts, owner, at = [], [], 0
-    for d, t in enumerate(tokens):
-        own = np.arange(max(1, len(t) - 1)) + at
-        starts.append(own)
-        owner.append(np.full(len(own), d))
-        at += len(t)
-    starts, owner = np.concatenate(starts), np.concatenate(owner)
-    first = np.flatnonzero(np.diff(owner, prepend=-1))
-    # The second word of each segment; a document of one word has none.
-    paired = (np.array([len(t) for t in tokens]) > 1)[owner]
-    left, right = stream[starts], stream[starts + paired]
+    # The words of each segment; a document of one word has one segment without a second word.
+    many = np.array([max(1, len(t) - 1) for t in tokens])
+    left = np.concatenate([t[: max(1, len(t) - 1)] for t in tokens])
+    right = np.concatenate([t[1:] if len(t) > 1 else t for t in tokens])
+    alone = np.array([len(t) == 1 for t in tokens])
+    first = np.cumsum(many) - many
+    # Whole documents of some ``BLOCK_SEGMENTS`` segments are worked on at once.
+    ends = [*np.flatnonzero(np.diff(first // BLOCK_SEGMENTS)) + 1, len(many)]
+    blocks = [(a, b) for a, b in zip([0, *ends], ends, strict=False) if a < b]
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     rng = np.random.default_rng(seed)
     # Softmax weights of the two classes; only their difference acts.
@@ -111,19 +109,24 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         u = p["u"][:, 1] - p["u"][:, 0]
         lean = p["e"] @ u
         word_values = np.add.reduceat(lean[flat], bag_starts) / sizes
-        means = (word_values[left] + paired * word_values[right]) / SEGMENT
         # From the mean over segments to the greatest.
         sharp = SHARP * max(0.0, (step - STEPS / 4) / (STEPS * 3 / 4)) ** 2
-        top = np.maximum.reduceat(means, first)
-        attention = np.exp(np.minimum(0, sharp * (means - top[owner])))
-        attention /= np.add.reduceat(attention, first)[owner]
-        z = np.add.reduceat(attention * means, first) + p["b"][0]
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weight
-        on_segments = error[owner] * attention / SEGMENT
-        per_word = (np.bincount(left, on_segments, len(index)) + np.bincount(right, on_segments * paired, len(index))) / sizes
+        per_word, bias_error = np.zeros(len(index)), 0.0
+        for a, b in blocks:
+            part, begins = slice(first[a], first[b - 1] + many[b - 1]), first[a:b] - first[a]
+            paired = np.repeat(~alone[a:b], many[a:b])
+            means = (word_values[left[part]] + paired * word_values[right[part]]) / SEGMENT
+            attention = np.exp(np.minimum(0, sharp * (means - np.repeat(np.maximum.reduceat(means, begins), many[a:b]))))
+            attention /= np.repeat(np.add.reduceat(attention, begins), many[a:b])
+            z = np.add.reduceat(attention * means, begins) + p["b"][0]
+            error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[a:b]) * weight[a:b]
+            attention *= np.repeat(error, many[a:b]) / SEGMENT
+            per_word += np.bincount(left[part], attention, len(index)) + np.bincount(right[part], attention * paired, len(index))
+            bias_error += error.sum()
+        per_word /= sizes
         per_bucket = np.bincount(flat, np.repeat(per_word, sizes), BUCKETS)
         du = p["e"].T @ per_bucket
-        gradients = {"e": np.outer(per_bucket, u), "u": np.stack([-du, du], axis=1), "b": np.array([error.sum()])}
+        gradients = {"e": np.outer(per_bucket, u), "u": np.stack([-du, du], axis=1), "b": np.array([bias_error])}
         gradients["e"] += DECAY * p["e"]
         for k, g in gradients.items():
             m[k] = 0.9 * m[k] + 0.1 * g
