@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -93,6 +93,16 @@ def design_matrix(
     return VectorAssembler(inputCols=names, outputCol="x").transform(wide).select(*keep, "x")
 
 
+def sliced(matrix: DataFrame, inputs: Sequence[str], wanted: Sequence[str]) -> DataFrame:
+    """A matrix over ``inputs`` with ``x`` cut down to what a matrix over ``wanted``, some of them, would hold."""
+    names = [f"x_{c}" for c in ("zone", *inputs)] + [f"m_{c}" for c in inputs if c not in CALENDAR_INPUTS]
+    kept = [f"x_{c}" for c in ("zone", *wanted)] + [f"m_{c}" for c in wanted if c not in CALENDAR_INPUTS]
+    if names == kept:
+        return matrix
+    slicer = VectorSlicer(inputCol="x", outputCol="_x", indices=[names.index(c) for c in kept])
+    return slicer.transform(matrix).drop("x").withColumnRenamed("_x", "x")
+
+
 def matrix_names(inputs: Sequence[str]) -> list[str]:
     """The input behind each element of ``x``; a missing flag stands for its input."""
     return ["zone", *inputs, *[c for c in inputs if c not in CALENDAR_INPUTS]]
@@ -119,7 +129,10 @@ class QuantileForest:
         self, rows: DataFrame, zone_codes: dict[str, int], inputs: Sequence[str] | None = None
     ) -> FittedForest:
         inputs = list(inputs or input_columns(self.weather))
-        train = design_matrix(rows, zone_codes, inputs, "target_price")
+        return self.fit_matrix(design_matrix(rows, zone_codes, inputs, "target_price"), zone_codes, inputs)
+
+    def fit_matrix(self, train: DataFrame, zone_codes: dict[str, int], inputs: Sequence[str]) -> FittedForest:
+        """``fit`` on a design matrix that is there already (``x``, ``target_price``)."""
         forest = RandomForestRegressor(
             featuresCol="x",
             labelCol="target_price",
@@ -152,7 +165,7 @@ class QuantileForest:
         ]
         leaves = ranked.groupBy("tree", "leaf").agg(F.array(*cuts).alias("q"))
         table = {(r["tree"], r["leaf"]): r["q"] for r in leaves.collect()}
-        return FittedForest(self, model, dict(zone_codes), inputs, table)
+        return FittedForest(self, model, dict(zone_codes), list(inputs), table)
 
 
 @dataclass(frozen=True)
@@ -165,9 +178,11 @@ class FittedForest:
 
     def transform(self, rows: DataFrame, *keep: str) -> DataFrame:
         """``keep`` columns plus q10, q50 and q90."""
-        scored = self.model.transform(
-            design_matrix(rows, self.zone_codes, self.inputs, *keep)
-        ).select(*keep, vector_to_array("leaf").alias("leaf"))
+        return self.transform_matrix(design_matrix(rows, self.zone_codes, self.inputs, *keep), *keep)
+
+    def transform_matrix(self, matrix: DataFrame, *keep: str) -> DataFrame:
+        """``transform`` of a design matrix that is there already."""
+        scored = self.model.transform(matrix).select(*keep, vector_to_array("leaf").alias("leaf"))
         sizes = [
             1 + max((leaf for t, leaf in self.table if t == tree), default=0)
             for tree in range(self.model.getNumTrees)

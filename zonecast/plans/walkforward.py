@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from zonecast.config import BACKTEST_START, MIN_POINTS
 from zonecast.operators.calibrate import calibrate
@@ -14,11 +16,14 @@ from zonecast.operators.features import labelled
 from zonecast.operators.models import (
     KEY_COLUMNS,
     QuantileForest,
+    design_matrix,
+    input_columns,
     naive_day,
     naive_week,
     predict_long,
+    sliced,
 )
-from zonecast.session import scratch_path
+from zonecast.session import Scratch, scratch_path
 
 FORESTS = {
     "forest_no_weather": QuantileForest(weather=False),
@@ -34,6 +39,33 @@ def month_starts(first: date, last: date) -> list[date]:
     return [date(n // 12, n % 12 + 1, 1) for n in numbers]
 
 
+class FoldStore:
+    """The design matrix of all labelled rows, worked out once and stored by month.
+
+    A fold's training rows are all months before its own, so it reads a prefix of the partitions, and its test rows are one of
+    them. Forests with fewer inputs slice the same vectors.
+    """
+
+    def __init__(self, known: DataFrame, zone_codes: dict[str, int], inputs: Sequence[str], work: Scratch) -> None:
+        self.inputs = list(inputs)
+        matrix = design_matrix(known, zone_codes, self.inputs, *KEY_COLUMNS)
+        month = F.trunc("delivery_date", "month")
+        path = f"{work.root}/folds"
+        matrix.withColumn("month", month).hint("rebalance", "month").write.partitionBy("month").parquet(path)
+        # The schema is given, as the vector's column says which of its elements are categories.
+        schema = StructType([*matrix.schema.fields, StructField("month", DateType())])
+        self.rows = known.sparkSession.read.schema(schema).parquet(path)
+
+    def months(self) -> set[date]:
+        return {r["month"] for r in self.rows.select("month").distinct().collect()}
+
+    def before(self, month: date, inputs: Sequence[str]) -> DataFrame:
+        return sliced(self.rows.where(F.col("month") < F.lit(month)).select("delivery_date", "target_price", "x"), self.inputs, inputs)
+
+    def of(self, month: date, inputs: Sequence[str]) -> DataFrame:
+        return sliced(self.rows.where(F.col("month") == F.lit(month)).drop("month"), self.inputs, inputs)
+
+
 def run(
     features: DataFrame,
     zone_codes: dict[str, int],
@@ -44,8 +76,7 @@ def run(
 ) -> DataFrame:
     """Raw predictions of every model for every month from ``start``.
 
-    ``features`` should be a stored table: each fold reads its own slice of it. A fold is
-    trained on all rows before its month, never on the month itself. Folds are independent Spark
+    ``features`` should be a stored table. A fold is trained on all rows before its month, never on the month itself. Folds are independent Spark
     jobs, so a few run at the same time and fill each other's tails. Each writes its predictions
     before the next starts, which keeps every plan one fold long.
     """
@@ -56,24 +87,24 @@ def run(
     naive = predict_long(known.where(F.col("delivery_date") >= F.lit(start)), NAIVE)
     if not forests:
         return naive
+    wanted = {name: list((inputs or {}).get(name) or input_columns(forest.weather)) for name, forest in forests.items()}
+    every = list(dict.fromkeys(c for columns in wanted.values() for c in columns))
     out = scratch_path(spark, "fold-predictions")
+    with Scratch(spark, "fold-store") as work:
+        store = FoldStore(known, zone_codes, every, work)
+        held = store.months()
+
+        def fold(job: tuple[date, str]) -> None:
+            month, name = job
+            fitted = forests[name].fit_matrix(store.before(month, wanted[name]), zone_codes, wanted[name])
+            rows = fitted.transform_matrix(store.of(month, wanted[name]), *KEY_COLUMNS).withColumns(
+                {"model": F.lit(name), "fold": F.lit(month)}
+            )
+            rows.select(*naive.columns).write.mode("overwrite").parquet(f"{out}/{name}/{month}")
 
-    def fold(job: tuple[date, str]) -> None:
-        month, name = job
-        day = F.col("delivery_date")
-        test = known.where((day >= F.lit(month)) & (day < F.add_months(F.lit(month), 1)))
-        if test.isEmpty():
-            return
-        train = known.where(day < F.lit(month))
-        fitted = forests[name].fit(train, zone_codes, (inputs or {}).get(name))
-        rows = fitted.transform(test, *KEY_COLUMNS).withColumns(
-            {"model": F.lit(name), "fold": F.lit(month)}
-        )
-        rows.select(*naive.columns).write.mode("overwrite").parquet(f"{out}/{name}/{month}")
-
-    jobs = [(m, name) for m in month_starts(start, last) for name in forests]
-    with ThreadPoolExecutor(max_workers=parallel_folds) as pool:
-        list(pool.map(fold, jobs))
+        jobs = [(m, name) for m in month_starts(start, last) if m in held for name in forests]
+        with ThreadPoolExecutor(max_workers=parallel_folds) as pool:
+            list(pool.map(fold, jobs))
     written = spark.read.schema(naive.schema).parquet(f"{out}/*/*")
     return naive.unionByName(written)
 
