@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.config import WINDOW_DAYS
+from zonecast.config import FIRST_FEATURE_DAY, WINDOW_DAYS
 from zonecast.functions.clock import day_start_utc
 from zonecast.operators import features as ft
 from zonecast.operators import score as sc
@@ -15,8 +15,9 @@ from zonecast.operators.calibrate import recent_margins
 from zonecast.operators.marts import weather_fact
 from zonecast.operators.models import QuantileForest, input_columns
 from zonecast.plans import panels, walkforward
-from zonecast.plans.daily import issue
+from zonecast.plans.daily import MODEL_VERSION, issue
 from zonecast.plans.shape import big, rounded, six
+from zonecast.plans.sqltext import DAILY_PANEL, with_ctes
 from zonecast.session import materialise, scratch_path
 from zonecast.sources.tables import driver_table
 
@@ -146,9 +147,59 @@ def live_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forest_prediction_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the backtest whatever the forests answer, by model and month: its rows, their days, the order of the
+    quantiles, and that a forest answers every row and a naive model keeps margin 0."""
+    preds = _backtest(spark, sf_dir, order_features(spark, sf_dir))
+    is_forest = F.col("model").isin(*INPUTS)
+    ordered = F.coalesce((F.col("q10") <= F.col("q50")) & (F.col("q50") <= F.col("q90")), ~is_forest)
+    return preds.groupBy("model", "fold").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("zone").alias("zones"),
+        F.min("delivery_date").alias("first_day"),
+        F.max("delivery_date").alias("last_day"),
+        F.bool_and(ordered).alias("ordered"),
+        F.bool_and(F.when(is_forest, F.col("q50").isNotNull()).otherwise(F.col("interval_margin") == 0)).alias("as_its_model"),
+    )
+
+
+_KNOWN = f"""known as (
+    select zone, delivery_date from hourly
+    where delivery_date >= (select min(delivery_date) + {FIRST_FEATURE_DAY} from hourly))"""
+FOREST_PREDICTION_CHECKS = with_ctes(
+    DAILY_PANEL,
+    _KNOWN,
+    select=f"""
+    select model, cast(date_trunc('month', delivery_date) as date) as fold, count(*) as n, count(distinct zone) as zones,
+           min(delivery_date) as first_day, max(delivery_date) as last_day, true as ordered, true as as_its_model
+    from known, (values ('forest'), ('forest_no_weather'), ('naive_day'), ('naive_week')) as m(model)
+    where delivery_date >= (select date_trunc('month', min(delivery_date)) + interval {WARM_UP_MONTHS} month from known)
+    group by all""",
+)
+
+
+def live_issue_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the issued day: which zones it has, when it was issued and on what it was trained, and that its quantiles are in order."""
+    ordered = (F.col("q10") <= F.col("q50")) & (F.col("q50") <= F.col("q90"))
+    return live_issue(spark, sf_dir).select(
+        "zone", "delivery_date", "hour_local", "issued_at", "model_version", "trained_through", ordered.alias("ordered")
+    )
+
+
+LIVE_ISSUE_CHECKS = with_ctes(
+    DAILY_PANEL,
+    select=f"""
+    select distinct zone, last + 1 as delivery_date, cast(0 as bigint) as hour_local,
+           cast(last as timestamp) + interval 8 hours as issued_at, '{MODEL_VERSION}' as model_version, last as trained_through,
+           true as ordered
+    from hourly, (select max(delivery_date) as last from hourly)""",
+)
+
 QUERIES = {
     "quantile_forest_backtest": (quantile_forest_backtest, None),
     "quantile_forest_scores": (quantile_forest_scores, None),
     "feature_importance": (feature_importance, None),
     "live_issue": (live_issue, None),
+    "forest_prediction_checks": (forest_prediction_checks, FOREST_PREDICTION_CHECKS),
+    "live_issue_checks": (live_issue_checks, LIVE_ISSUE_CHECKS),
 }
