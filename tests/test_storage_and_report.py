@@ -304,3 +304,18 @@ def test_stream_validation_splits_days(spark, tmp_path, repeat):
     write(batch.where("source = 'g'").withColumn("payload", F.filter("payload", lambda x: F.lit(False))))
     prices, status = spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "s"))
     assert jobs.current_prices(prices, status).count() == 0
+
+
+def test_merged_hours_keep_the_highest_version_and_survive_a_repeated_batch(spark, tmp_path):
+    write = jobs.merge_hours(str(tmp_path / "intervals"), str(tmp_path / "hours"))
+
+    def batch(*rows):
+        at = lambda day, minute: datetime(2025, 3, day, 10, minute)
+        write(spark.createDataFrame([("Z", at(d, m), p, v) for d, m, p, v in rows], "zone string, interval_start timestamp_ntz, price_sek_kwh double, published int"))
+        return {(r["delivery_date"].day, r["price_sek_kwh"], r["n_intervals"]) for r in spark.read.parquet(str(tmp_path / "hours")).collect()}
+
+    assert batch((1, 0, 1.0, 1), (1, 15, 3.0, 1), (2, 0, 5.0, 1)) == {(1, 2.0, 2), (2, 5.0, 1)}
+    correction = ((1, 0, 7.0, 2),)
+    for _ in range(2):
+        assert batch(*correction) == {(1, 5.0, 2), (2, 5.0, 1)}
+    assert batch((1, 0, 100.0, 1), (2, 0, 6.0, 1)) == {(1, 5.0, 2), (2, 6.0, 1)}
