@@ -1,5 +1,7 @@
 """Held-out accuracy of the classifiers, planted benchmark passages, and odd input."""
 
+import random
+import time
 import zlib
 
 import pytest
@@ -112,3 +114,64 @@ def test_licenses(spark, no_docs):
     assert {k: r.family for k, r in found.items()} == {(1, 1): "mit", (2, 0): "gpl", (None, 0): "cc-by-nc", (6, 0): "apache-2.0"}
     assert all(r.confirmed for r in found.values())
     assert licenses.scan(spark, no_docs).count() == 0
+
+
+def tiled_plainly(item, parts, least=5):
+    """Every pair of positions compared word by word, the longest match marked, and all over again."""
+    other = [w for part in parts for w in [*part, None]]
+    free_a, free_b, tiles = [True] * len(item), [True] * len(other), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(other)):
+                k = 0
+                while i + k < len(item) and j + k < len(other) and item[i + k] == other[j + k] and free_a[i + k] and free_b[j + k]:
+                    k += 1
+                best = max(best, (k, -i, -j))
+        k, i, j = best[0], -best[1], -best[2]
+        if k < least:
+            return tiles
+        free_a[i : i + k] = free_b[j : j + k] = [False] * k
+        tiles.append((i, j, k))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_tiles_equal_brute_force(seed):
+    rng = random.Random(seed)
+    words = "abcdefgh"[: rng.randint(1, 8)]
+    item = [rng.choice(words) for _ in range(rng.randint(1, 30))]
+    parts = []
+    for _ in range(rng.randint(1, 4)):
+        at = rng.randrange(len(item))
+        parts.append([rng.choice(words) for _ in range(rng.randint(0, 6))] + item[at : at + rng.randint(1, 20)])
+    assert decontaminate.tile(item, parts) == tiled_plainly(item, parts)
+
+
+def test_one_word_repeated_is_tiled_in_no_time():
+    started = time.monotonic()
+    assert decontaminate.tile(["no"] * 200, [["no"] * 100_000]) == [(0, 0, 200)]
+    assert time.monotonic() - started < 20
+
+
+def test_coverage_equals_brute_force_over_all_pairs(spark):
+    """Few words and many repeats, so that pairs just below and just above the threshold abound; some ids repeat."""
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(3, 24)))) for i in range(12)]
+    docs = []
+    for d in range(60):
+        own = rng.choice(items)[1].split()
+        at = rng.randrange(len(own))
+        docs.append((d % 55, " ".join([rng.choice("abcdefgh") for _ in range(8)] + own[at : at + rng.randint(3, 20)] + [f"own{d}"])))
+    docs.append((None, items[0][1]))
+    tables = [spark.createDataFrame(rows, f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    expected, dirty = {}, set()
+    for d, text in docs:
+        for i, item in items:
+            covered = sum(k for *_, k in tiled_plainly(item.split(), [text.split()])) if d is not None else 0
+            if covered and covered >= 0.5 * len(item.split()):
+                expected[d, i] = max(expected.get((d, i), 0), covered / len(item.split()))
+                dirty.add((d, text))
+    found = decontaminate.contaminated(*tables).collect()
+    assert {(r.doc_id, r.item_id): r.coverage for r in found} == pytest.approx(expected) and len(found) == len(expected)
+    left = decontaminate.clean(*tables).collect()
+    assert sorted(map(tuple, left), key=str) == sorted((r for r in docs if r not in dirty), key=str)
