@@ -40,15 +40,12 @@ def components(links: DataFrame, rounds: int = 60, store: Callable[[DataFrame, s
 
 def _hang(links: DataFrame, moved: object, work: Scratch) -> DataFrame:
     """Links each neighbour ``b`` of ``a`` where ``moved`` holds, and ``a`` itself, to the least of all."""
-    least = work.store(
-        links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")).withColumnRenamed("a", "of"), "least"
-    )
+    # One aggregate, read by the join and by the rows of its own; it is not stored, as Spark reuses its exchange.
+    least = links.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")).withColumnRenamed("a", "of")
     joined = links.join(least, links["a"] == least["of"])
     neighbours = joined.where(moved).select(F.col("b").alias("a"), F.col("least").alias("b"))
     own = least.select(F.col("of").alias("a"), F.col("least").alias("b"))
-    hung = work.store(neighbours.unionByName(own).where("a <> b").distinct(), "links")
-    work.drop(least)
-    return hung
+    return work.store(neighbours.unionByName(own).where("a <> b").distinct(), "links")
 
 
 def _settled(links: DataFrame) -> bool:
