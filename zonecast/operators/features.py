@@ -6,7 +6,7 @@ newest snapshot not younger than the last priced day for the rows still to be fo
 
 Shuffle keys: hour-grain inputs join first, while the target side is narrow, then the two
 day-grain inputs share one exchange on (zone, delivery_date). Tables with one row per day or per
-hour of the calendar are broadcast: their size does not grow with the zones. ``hourly`` and
+hour of the calendar are joined without a hint, so Spark sends them round only while they are small. ``hourly`` and
 ``archive`` are read by several branches and should be stored tables, as plans.warehouse does.
 """
 
@@ -210,8 +210,8 @@ def feature_table(
         .join(weather_hour, ["zone", "delivery_date", "hour_start"], "left")
         .join(previous_day, ["zone", "delivery_date"], "left")
         .join(weather_day(weather, tz), ["zone", "delivery_date"], "left")
-        .join(F.broadcast(day_context), "delivery_date")
-        .join(F.broadcast(north), "hour_start", "left")
+        .join(day_context, "delivery_date")
+        .join(north, "hour_start", "left")
         .select(
             "zone",
             "delivery_date",
