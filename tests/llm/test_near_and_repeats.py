@@ -257,6 +257,20 @@ def test_components(spark, links):
     assert {r.id: r.component for r in found} == parent
 
 
+def test_a_window_of_many_documents_is_dealt_once_a_part(spark):
+    """A passage that 600 documents share: as many rows as its windows and the edges ask for, not a row a document and window."""
+    passage = " ".join(f"shared{i}" for i in range(120))
+    rows = [(i, f"own{i} {passage} end{i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    wide = docs.select("doc_id").distinct().count()
+    prefixes = substring_dedup.survey(docs).selectExpr("doc_id id", "__text of", "cast(array() as array<long>) narrow", "prefixes wide")
+    dealt = substring_dedup._lengthen(docs, prefixes).collect()
+    assert sum(len(r.places) for r in dealt) == wide * (122 - 49)
+    assert len(dealt) < 600 * 3 + 71 * 20
+    found = substring_dedup.digests(substring_dedup.remove_repeats(docs, 40)).collect()
+    assert Counter(map(tuple, found)) == expected_kept(rows)
+
+
 def test_word_hashes_tell_words_apart():
     import numpy as np
 

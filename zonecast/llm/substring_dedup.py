@@ -9,8 +9,9 @@ Each word position starts a suffix. The trees are cut at depth ``WINDOW`` (50 wo
    one run in sixteen is ever chosen. Groups are counted first; one of a single document has no internal node and ends there.
 3. Prefixes have two lengths. A group of at most ``GROUP`` suffixes fits in a task: its suffixes are sent as stretches of words, and its tree is built there (the
    suffixes in order, with the words that each shares with the next). A larger group's prefix is lengthened to the full 50 words: its suffixes are then equal as
-   far as the tree goes, so each such group is one node, of which only the smallest doc_id is wanted, an aggregate that combines before the shuffle. Neither a
-   prefix nor a window that a third of the corpus shares is ever gathered in one place.
+   far as the tree goes, so each such group is one node, of which only the smallest doc_id is wanted, an aggregate that combines before the shuffle. What is
+   dealt is a row for each window of a part (the texts that a task reads at once), with all places where the part has it; the window's smallest doc_id
+   goes back to the parts, which join their places to runs. Neither a prefix nor a window that a third of the corpus shares is ever gathered in one place.
 4. A node of full depth with suffixes of two documents or more is a repeat. Its smallest doc_id keeps its words; in the other
    documents every word below it goes. Neighbouring ones join to maximal repeats (``maximal_repeats``).
 
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,15 +100,20 @@ def _lengthen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The suffixes of the documents in ``wanted`` (``id``, ``of``, ``narrow``, ``wide``) whose group is in one of the two lists.
 
     Of a narrow group: a row a stretch of suffixes that follow each other, with its ``words`` (a hash each) from the first suffix's first to the
-    last one's fiftieth. Of a wide group: a row a suffix, with the fingerprint of its first fifty words as ``window``.
+    last one's fiftieth. Of a wide group: a row for each fingerprint of a suffix's first fifty words (``window``) in a ``part``, that is the texts read at
+    once, with all its ``places`` there.
     """
+    kind = id_type(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts, narrow, wide = batch.column("text").to_pylist(), batch.column("narrow"), batch.column("wide")
-            for at, part in in_chunks(texts):
-                found = _Windows(part)
-                rows, starts, prefixes, fingerprints, words = [], [], [], [], []
+            ids, of = batch.column("id"), batch.column("of")
+            for at, some in in_chunks(texts):
+                found = _Windows(some)
+                rows, starts, prefixes, words = [], [], [], []
+                places = [np.zeros((0, 4), np.int64)]
                 for k, (first, _, windows) in enumerate(found):
                     own = found.prefixes[windows]
                     hit = np.flatnonzero(np.isin(own, np.asarray(narrow[at + k].values).view(np.uint64)))
@@ -116,43 +123,51 @@ def _lengthen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                             rows.append(at + k)
                             starts.append(a)
                             prefixes.append(own[a])
-                            fingerprints.append(None)
                             words.append(found.words.hashes[first + a : first + b + WINDOW].tobytes())
                     hit = np.flatnonzero(np.isin(own, np.asarray(wide[at + k].values).view(np.uint64)))
-                    rows += [at + k] * len(hit)
-                    starts += hit.tolist()
-                    prefixes += own[hit].tolist()
-                    fingerprints += found.windows[windows][hit].view(np.int64).tolist()
-                    words += [None] * len(hit)
-                taken = pa.array(rows, pa.int64())
+                    columns = own[hit].view(np.int64), found.windows[windows][hit].view(np.int64), np.full(len(hit), at + k), hit
+                    places.append(np.stack(columns, axis=1))
+                placed = np.concatenate(places)
+                placed = placed[np.lexsort((placed[:, 1], placed[:, 0]))]
+                cuts = np.flatnonzero((placed[1:, :2] != placed[:-1, :2]).any(axis=1)) + 1
+                firsts = np.append(0, cuts) if len(placed) else cuts
+                taken, here = pa.array(rows, pa.int64()), pa.array(placed[:, 2])
+                each = pa.StructArray.from_arrays([ids.take(here), of.take(here), pa.array(placed[:, 3].astype(np.int32))], ["id", "of", "start"])
+                trees, deep = len(rows), len(firsts)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(firsts, len(placed)).astype(np.int32)), each)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id").take(taken),
-                        batch.column("of").take(taken),
-                        pa.array(starts, pa.int32()),
-                        pa.array(np.array(prefixes, np.uint64).view(np.int64)),
-                        pa.array(fingerprints, pa.int64()),
-                        pa.array(words, pa.binary()),
+                        pa.concat_arrays([ids.take(taken), pa.nulls(deep, ids.type)]),
+                        pa.concat_arrays([of.take(taken), pa.nulls(deep, of.type)]),
+                        pa.concat_arrays([pa.array(starts, pa.int32()), pa.nulls(deep, pa.int32())]),
+                        pa.array(np.append(np.array(prefixes, np.uint64).view(np.int64), placed[firsts, 0])),
+                        pa.concat_arrays([pa.array(words, pa.binary()), pa.nulls(deep, pa.binary())]),
+                        pa.array(np.full(trees + deep, part)),
+                        pa.concat_arrays([pa.nulls(trees, pa.int64()), pa.array(placed[firsts, 1])]),
+                        pa.concat_arrays([pa.nulls(trees, lists.type), lists]),
                     ],
-                    names=["doc_id", "__text", "start", "prefix", "window", "words"],
+                    names=["doc_id", "__text", "start", "prefix", "words", "part", "window", "places"],
                 )
+                part += 1
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("__hash"), "text")
     rows = rows.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("__hash") == F.col("of")))
     return small_batches(rows.select("id", "of", "text", "narrow", "wide")).mapInArrow(
-        run, f"doc_id {id_type(docs)}, __text long, start int, prefix long, window long, words binary"
+        run,
+        f"doc_id {kind}, __text long, start int, prefix long, words binary, part long, window long, "
+        f"places array<struct<id: {kind}, of: long, start: int>>",
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of one group after the other, of batches sorted by prefix."""
+def _groups(batches: Iterator[pa.RecordBatch], by: str = "prefix") -> Iterator[pa.RecordBatch]:
+    """The rows of one group after the other, of batches sorted by its key."""
     held: pa.RecordBatch | None = None
     for batch in batches:
         if not len(batch):
             continue
         if held is not None:
             batch = pa.concat_batches([held, batch])
-        starts = [0, *(np.flatnonzero(np.diff(batch.column("prefix").to_numpy())) + 1).tolist()]
+        starts = [0, *(np.flatnonzero(np.diff(batch.column(by).to_numpy())) + 1).tolist()]
         for a, b in zip(starts, starts[1:], strict=False):
             yield batch.slice(a, b - a)
         held = batch.slice(starts[-1])
@@ -220,6 +235,29 @@ def _spans_of_trees(narrow: DataFrame) -> DataFrame:
     return small_batches(dealt).mapInArrow(run, f"doc_id {kind}, __text long, start int, length int")
 
 
+def _spans_of_parts(places: DataFrame) -> DataFrame:
+    """(``doc_id``, ``__text``, ``start``, ``length``) of the runs of words that the repeated ``places`` of each ``part`` make."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "part"):
+            ids, of, start = group.column("places").flatten().flatten()
+            _, owner = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)
+            of_, begun = of.to_numpy(), start.to_numpy()
+            order = np.lexsort((begun, of_, owner))
+            new = (np.diff(owner[order]) != 0) | (of_[order][1:] != of_[order][:-1]) | (np.diff(begun[order]) > 1)
+            firsts = order[np.append(True, new)]
+            lasts = order[np.append(new, True)]
+            taken = pa.array(firsts)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(taken), of.take(taken), start.take(taken), pa.array((begun[lasts] - begun[firsts] + WINDOW).astype(np.int32))],
+                names=["doc_id", "__text", "start", "length"],
+            )
+
+    kind = places.schema["places"].dataType.elementType["id"].dataType.simpleString()
+    dealt = places.repartition("part").sortWithinPartitions("part")
+    return small_batches(dealt).mapInArrow(run, f"doc_id {kind}, __text long, start int, length int")
+
+
 def repeats(docs: DataFrame, work: Scratch, group: int = GROUP) -> DataFrame:
     """(``id``, ``of``, ``spans``) of each document with repeats: ids, text hashes and the sorted (start, length) of what is repeated.
 
@@ -240,13 +278,14 @@ def repeats(docs: DataFrame, work: Scratch, group: int = GROUP) -> DataFrame:
         F.collect_set(F.when(F.col("is_wide"), F.col("prefix"))).alias("wide"),
     )
     suffixes = work.store(_lengthen(docs, wanted), "suffixes")
-    windows = suffixes.where("window is not null").select("doc_id", "__text", "start", "prefix", "window")
-    nodes = windows.groupBy("prefix", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    nodes = work.store(nodes.where("least < most").select("prefix", "window", "least"), "deep-nodes")
-    below = windows.join(nodes, ["prefix", "window"]).where("doc_id > least")
-    spans = _spans_of_trees(suffixes.where("words is not null")).unionByName(
-        below.select("doc_id", "__text", "start", F.lit(WINDOW).alias("length"))
+    windows = suffixes.where("window is not null").select("part", "prefix", "window", "places")
+    nodes = windows.groupBy("prefix", "window").agg(
+        F.min(F.array_min("places.id")).alias("least"), F.max(F.array_max("places.id")).alias("most")
     )
+    nodes = work.store(nodes.where("least < most").select("prefix", "window", "least"), "deep-nodes")
+    below = windows.join(nodes, ["prefix", "window"]).where(F.array_max("places.id") > F.col("least"))
+    below = below.select("part", F.filter("places", lambda p: p["id"] > F.col("least")).alias("places"))
+    spans = _spans_of_trees(suffixes.where("words is not null")).unionByName(_spans_of_parts(below))
     whole = placed.where("doc_id > head").select("doc_id", "__text", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"))
     return spans.unionByName(whole).groupBy(F.col("doc_id").alias("id"), F.col("__text").alias("of")).agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans")
