@@ -257,6 +257,33 @@ def test_components(spark, links):
     assert {r.id: r.component for r in found} == parent
 
 
+@pytest.mark.parametrize("links", [[(i, i + 1) for i in range(30)], [(0, i) for i in range(1, 40)] + [(50, 51), (51, 52)]])
+def test_components_by_rounds(spark, links, monkeypatch):
+    at_once = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    monkeypatch.setattr("zonecast.llm.components.AT_ONCE", 0)
+    assert {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == at_once
+
+
+def test_a_few_links_take_a_few_jobs(spark):
+    """A chain of any length below the limit: no rounds of shuffles over next to nothing."""
+    chain = spark.createDataFrame([(f"{i:04}", f"{i + 1:04}") for i in range(500)], "a string, b string")
+    spark.sparkContext.setJobGroup("few-links", "components of a chain")
+    try:
+        found = components(chain)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")) <= 6
+    assert {(r.id, r.component) for r in found.collect()} == {(f"{i:04}", "0000") for i in range(501)}
+
+
+def test_links_found_below_large_nodes(spark, monkeypatch):
+    """Nodes of a few documents count as large and branch; what is found then is the same."""
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    rows = templated_pairs(8) + [(100 + k, f"copy{k} " + " ".join(f"word{i}" for i in range(200))) for k in range(30)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected_components(rows)
+
+
 def test_a_window_of_many_documents_is_dealt_once_a_part(spark):
     """A passage that 600 documents share: as many rows as its windows and the edges ask for, not a row a document and window."""
     passage = " ".join(f"shared{i}" for i in range(120))

@@ -229,22 +229,23 @@ def _divided(rows: DataFrame) -> DataFrame:
 def _counted(rows: DataFrame, work: Scratch) -> DataFrame:
     """Rows (``node``, ``id``, ``n``, ``component``) of nodes that hold two components or more, with what the node holds, stored.
 
-    ``least`` is its smallest id, ``main`` its largest component; ``size`` and ``volume`` count its documents and their shingles, ``others`` and
-    ``other_volume`` those outside ``main``.
+    ``least`` is its smallest id with the component of that, ``main`` its largest component; ``size`` and ``volume`` count its documents and their
+    shingles, ``others`` and ``other_volume`` those outside ``main``.
     """
     inside = rows.groupBy("node", "component").agg(
         F.count("*").alias("here"), F.sum("n").alias("shingles"), F.min("id").alias("least")
     )
     counted = inside.groupBy("node").agg(
         F.count("*").alias("parts"),
-        F.min("least").alias("least"),
+        F.min(F.struct("least", "component")).alias("first"),
         F.max(F.struct("here", "component", "shingles")).alias("top"),
         F.sum("here").alias("size"),
         F.sum("shingles").alias("volume"),
     )
     shared = counted.where("parts > 1").select(
         "node",
-        "least",
+        F.col("first.least").alias("least"),
+        F.col("first.component").alias("least_component"),
         F.col("top.component").alias("main"),
         "size",
         "volume",
@@ -377,14 +378,19 @@ def _compared(alike: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class _Links:
-    """The links confirmed so far and the components they make, with the full sets read for them."""
+    """The links confirmed so far and the components they make, with the full sets read for them.
+
+    ``paths``, when set, holds the full sets of every document that is still compared; none is read from its text again then.
+    """
 
     def __init__(self, docs: DataFrame, work: Scratch) -> None:
         self.docs, self.work = docs, work
-        self.links = self.found = self.sets = None
+        self.found = self.sets = self.paths = None
 
     def with_sets(self, ids: DataFrame) -> DataFrame:
-        """The sets of these ids (``id``) and of all earlier ones."""
+        """The sets of these ids (``id``) and of others."""
+        if self.paths is not None:
+            return self.paths
         ids = ids.distinct() if self.sets is None else ids.distinct().join(self.sets.select("id"), "id", "left_anti")
         ids = self.work.store(ids, "ends")
         new = self.work.store(_sets(self.docs, ids), "sets")
@@ -392,15 +398,17 @@ class _Links:
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         return self.sets
 
-    def add(self, confirmed: DataFrame) -> None:
+    def add(self, confirmed: DataFrame) -> bool:
+        """Join the components that these links connect; whether there are any."""
         confirmed = self.work.store(confirmed, "confirmed")
         if confirmed.isEmpty():
-            return
+            return False
         # What is joined already is told by one link an id; the new links go on top.
         known = None if self.found is None else self.found.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
         links = confirmed if known is None else confirmed.unionByName(known)
         before, self.found = self.found, components(links, store=self.work.store)
         self.work.drop(before, confirmed)
+        return True
 
     def placed(self, rows: DataFrame) -> DataFrame:
         """Rows (``node``, ``id``, ``n``) with the component of each id so far."""
@@ -409,40 +417,48 @@ class _Links:
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, work: Scratch) -> DataFrame | None:
-    """(``id``, ``component``) of all ids that have a link, stored in ``work``, or None; classes have ``id``, ``n``, ``tokens``, ``nodes``.
+    """(``id``, ``component``) of all ids that have a link, stored in ``work``, or None; classes have ``id``, ``n``, ``low``, ``nodes``.
 
-    A turn's tables are deleted when the next turn's are stored; what lasts is the components and the sets read.
+    A turn's tables are deleted when the next turn's are stored; what lasts is the components and the sets read. Nodes are placed and counted
+    again only where new links were found.
     """
-    low = F.col("tokens")
-    tokens = work.store(classes.select("id", "n", _low_bytes(low).alias("low")).distinct(), "tokens")
-    links, paths = _Links(docs, work), None
-    rows = classes.select(F.explode("nodes").alias("node"), "id", "n").distinct()
+    tokens = classes.select("id", "n", "low")
+    links = _Links(docs, work)
+    rows = classes.select(F.explode(F.array_distinct("nodes")).alias("node"), "id", "n")
     for depth in range(1, ROUNDS + 1):
         before, rows = rows, _counted(links.placed(rows), work)
         work.drop(before)
         if rows.isEmpty():
             break
         # Each document with the least id that it meets, at one node and at another: what joins groups of copies of any size.
-        ends = rows.groupBy(F.col("id").alias("b")).agg(F.min("least").alias("x"), F.max("least").alias("y"))
-        stars = ends.select(F.explode(F.array("x", "y")).alias("a"), "b").where("a <> b").distinct()
-        stars = work.store(_agree(stars if links.found is None else _apart(stars, links.found), tokens), "stars")
+        # Below the first depth that is for large nodes; the documents of small ones are all compared in this turn.
+        met = rows.where("component <> least_component")
+        ends = (met if depth == 1 else met.where(~_is_small())).groupBy(F.col("id").alias("b")).agg(
+            F.min("least").alias("x"), F.max("least").alias("y")
+        )
+        stars = ends.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), "b")
+        stars = work.store(_agree(stars, tokens), "stars")
         if not stars.isEmpty():
             sets = links.with_sets(stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))))
-            links.add(_confirm(stars, sets))
-        before, rows = rows, _counted(links.placed(rows), work)
-        work.drop(before, stars)
+            if links.add(_confirm(stars, sets)):
+                before, rows = rows, _counted(links.placed(rows), work)
+                work.drop(before)
+        work.drop(stars)
         small = _is_small() if depth < ROUNDS else F.lit(True)
         alike = work.store(_alike(_cells(rows.where(small)), tokens), "alike")
-        if not alike.isEmpty():
-            links.add(_compared(alike, links.with_sets(alike.select("id"))))
-        before, rows = rows, work.store(_divided(links.placed(rows.where(~small))), "divided")
-        work.drop(before, alike)
+        joined = not alike.isEmpty() and links.add(_compared(alike, links.with_sets(alike.select("id"))))
+        work.drop(alike)
+        held, rows = rows, rows.where(~small)
+        if joined:
+            before, rows = held, work.store(_divided(links.placed(rows)), "divided")
+            work.drop(before)
+            held = rows
         if rows.isEmpty():
             break
-        if paths is None:  # what is in large nodes later is in large nodes now
-            paths = work.store(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
-        before, rows = rows, work.store(_branch(rows, paths, depth + 1), "branches")
-        work.drop(before)
+        if links.paths is None:  # what is in large nodes later is in large nodes now
+            links.paths = work.store(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
+        rows = work.store(_branch(rows, links.paths, depth + 1), "branches")
+        work.drop(held)
     return links.found
 
 
@@ -459,17 +475,6 @@ def _low_bytes(tokens: object) -> object:
     return F.unhex(F.regexp_replace(F.hex(tokens), "(..)......", "$1"))
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    side = lambda x: found.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
-    return (
-        pairs.join(side("a"), "a", "left")
-        .join(side("b"), "b", "left")
-        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        .select("a", "b")
-    )
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each row: ``doc_id``, the hash of its text, ``n_shingles``, ``component_id``, ``kept``."""
     with Scratch(docs.sparkSession, "near-dedup") as work:
@@ -486,6 +491,7 @@ def _judged(docs: DataFrame, work: Scratch) -> DataFrame:
         real.join(several, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("__key")))
         .select("id", "n", "tokens", "nodes")
         .dropDuplicates(["id", "n", "tokens"])
+        .select("id", "n", _low_bytes(F.col("tokens")).alias("low"), "nodes")
     )
     found = link_classes(docs, work.store(classes, "class-rows"), work)
     if found is None:
