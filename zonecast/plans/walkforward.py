@@ -29,6 +29,8 @@ FORESTS = {
     "forest_no_weather": QuantileForest(weather=False),
     "forest": QuantileForest(weather=True),
 }
+# Training rows that make a task worth its start: a forest takes some twenty stages over its rows.
+TASK_ROWS = 20_000
 NAIVE = {"naive_day": naive_day, "naive_week": naive_week}
 
 
@@ -43,7 +45,7 @@ class FoldStore:
     """The design matrix of all labelled rows, worked out once and stored by month.
 
     A fold's training rows are all months before its own, so it reads a prefix of the partitions, and its test rows are one of
-    them. Forests with fewer inputs slice the same vectors.
+    them. Forests with fewer inputs slice the same vectors. Both are read in as many tasks as their rows ask for, not in one for every few months' files.
     """
 
     def __init__(self, known: DataFrame, zone_codes: dict[str, int], inputs: Sequence[str], work: Scratch) -> None:
@@ -56,14 +58,23 @@ class FoldStore:
         schema = StructType([*matrix.schema.fields, StructField("month", DateType())])
         self.rows = known.sparkSession.read.schema(schema).parquet(path)
 
+        self.counts = {r["month"]: r["n"] for r in self.rows.groupBy("month").agg(F.count("*").alias("n")).collect()}
+
     def months(self) -> set[date]:
-        return {r["month"] for r in self.rows.select("month").distinct().collect()}
+        return set(self.counts)
 
     def before(self, month: date, inputs: Sequence[str]) -> DataFrame:
-        return sliced(self.rows.where(F.col("month") < F.lit(month)).select("delivery_date", "target_price", "x"), self.inputs, inputs)
+        rows = self.rows.where(F.col("month") < F.lit(month)).select("delivery_date", "target_price", "x")
+        return sliced(_in_tasks(rows, sum(n for m, n in self.counts.items() if m < month)), self.inputs, inputs)
 
     def of(self, month: date, inputs: Sequence[str]) -> DataFrame:
-        return sliced(self.rows.where(F.col("month") == F.lit(month)).drop("month"), self.inputs, inputs)
+        rows = self.rows.where(F.col("month") == F.lit(month)).drop("month")
+        return sliced(_in_tasks(rows, self.counts.get(month, 0)), self.inputs, inputs)
+
+
+def _in_tasks(rows: DataFrame, many: int) -> DataFrame:
+    """``many`` rows, read in a task for each ``TASK_ROWS`` at most."""
+    return rows.coalesce(max(1, -(-many // TASK_ROWS)))
 
 
 def run(
@@ -92,7 +103,6 @@ def run(
     out = scratch_path(spark, "fold-predictions")
     with Scratch(spark, "fold-store") as work:
         store = FoldStore(known, zone_codes, every, work)
-        held = store.months()
 
         def fold(job: tuple[date, str]) -> None:
             month, name = job
@@ -102,7 +112,7 @@ def run(
             )
             rows.select(*naive.columns).write.mode("overwrite").parquet(f"{out}/{name}/{month}")
 
-        jobs = [(m, name) for m in month_starts(start, last) if m in held for name in forests]
+        jobs = [(m, name) for m in month_starts(start, last) if m in store.counts for name in forests]
         with ThreadPoolExecutor(max_workers=parallel_folds) as pool:
             list(pool.map(fold, jobs))
     written = spark.read.schema(naive.schema).parquet(f"{out}/*/*")
