@@ -173,6 +173,32 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_tasks_follow_the_documents_not_the_shuffle_partitions(spark, documents, monkeypatch):
+    """Few documents in a session of many shuffle partitions, which nothing joins later: no stored table has a file for each of them."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, files, store = {k: spark.conf.get(k) for k in held}, [], near_dedup.Scratch.store
+
+    def counted(work, df, name):
+        stored = store(work, df, name)
+        files.append((name, len(stored.inputFiles())))
+        return stored
+
+    monkeypatch.setattr(near_dedup.Scratch, "store", counted)
+    docs = documents.select("doc_id", "text")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = near_dedup.near_duplicates(docs)
+        files.append(("near-duplicates", len(found.inputFiles())))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"classes", "class-rows", "nodes", "node-rows"} <= {name for name, _ in files}
+    assert max(n for _, n in files) <= 2 * spark.sparkContext.defaultParallelism < 64
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == expected_components(rows)
+
+
 @pytest.mark.parametrize("group", [0, 40, substring_dedup.GROUP])
 def test_repeats_equal_brute_force(documents, group):
     """By trees alone, by lengthened prefixes alone, and by both."""

@@ -55,6 +55,8 @@ ROUNDS = 34
 MISSED = 1e-6
 # Minwise hashes of a tree at each depth, from which its nodes there choose.
 SLOTS = 16
+# Documents whose rows are worth a task of their own. Fewer tasks than two a core are never asked for.
+A_TASK = 4096
 # The low bits of a node name its tree.
 TREE_BITS = U(0xFF)
 
@@ -163,11 +165,11 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return small_batches(rows).mapInArrow(run, f"id {id_type(docs)}, n long, shingles binary")
 
 
-def _agree(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+def _agree(pairs: DataFrame, tokens: DataFrame, work: Scratch) -> DataFrame:
     """The pairs (``a``, ``b``) whose tokens agree at ``AGREE`` positions or more and whose sizes allow 0.75."""
     kind = id_type(pairs, "a")
     side = lambda x: tokens.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("low").alias(f"low_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+    both = work.narrow(work.narrow(pairs).join(side("a"), "a")).join(side("b"), "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,14 +180,14 @@ def _agree(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
             )
             yield out.filter(pa.array(equal >= AGREE))
 
-    return both.select("a", "b", "low_a", "low_b").mapInArrow(run, f"a {kind}, b {kind}, agree int")
+    return work.narrow(both.select("a", "b", "low_a", "low_b")).mapInArrow(run, f"a {kind}, b {kind}, agree int")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, work: Scratch) -> DataFrame:
     """The pairs whose full sets have a Jaccard similarity of at least 0.75."""
     kind = id_type(pairs, "a")
     side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    both = work.narrow(pairs.select("a", "b").join(side("a"), "a")).join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,10 +198,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return small_batches(both.select("a", "b", "set_a", "set_b")).mapInArrow(run, f"a {kind}, b {kind}")
+    return small_batches(work.narrow(both.select("a", "b", "set_a", "set_b"))).mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _branch(rows: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
+def _branch(rows: DataFrame, sets: DataFrame, depth: int, work: Scratch) -> DataFrame:
     """The children (``node``, ``id``, ``n``) at ``depth`` of rows (``node``, ``id``, ``n``), and their nodes of the trees that start there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +216,8 @@ def _branch(rows: DataFrame, sets: DataFrame, depth: int) -> DataFrame:
             )
 
     of_document = rows.groupBy("id", "n").agg(F.collect_set("node").alias("nodes"))
-    below = small_batches(of_document.join(sets, ["id", "n"])).select("id", "n", "nodes", "shingles").mapInArrow(
+    with_sets = of_document.join(sets, ["id", "n"]).select("id", "n", "nodes", "shingles")
+    below = small_batches(work.narrow(with_sets)).mapInArrow(
         run, f"id {id_type(rows, 'id')}, n long, below array<long>"
     )
     return below.select(F.explode("below").alias("node"), "id", "n")
@@ -235,7 +238,7 @@ def _counted(rows: DataFrame, work: Scratch) -> DataFrame:
     inside = rows.groupBy("node", "component").agg(
         F.count("*").alias("here"), F.sum("n").alias("shingles"), F.min("id").alias("least")
     )
-    counted = inside.groupBy("node").agg(
+    counted = work.narrow(inside).groupBy("node").agg(
         F.count("*").alias("parts"),
         F.min(F.struct("least", "component")).alias("first"),
         F.max(F.struct("here", "component", "shingles")).alias("top"),
@@ -280,8 +283,8 @@ def _cells(rows: DataFrame) -> DataFrame:
     return dealt.select("node", "cell", "id", "n", "component", is_out(cell).alias("outside"), is_member(cell).alias("member"))
 
 
-def _by_cell(rows: DataFrame) -> DataFrame:
-    return small_batches(rows.repartition("node", "cell").sortWithinPartitions("node", "cell"))
+def _by_cell(rows: DataFrame, work: Scratch) -> DataFrame:
+    return small_batches(work.narrow(rows.repartition("node", "cell")).sortWithinPartitions("node", "cell"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,12 +312,12 @@ def _flags(cell: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.flatnonzero(outside), np.flatnonzero(member), component
 
 
-def _alike(cells: DataFrame, tokens: DataFrame) -> DataFrame:
+def _alike(cells: DataFrame, tokens: DataFrame, work: Scratch) -> DataFrame:
     """The rows of the cells that may link: with another component's document in the cell, tokens agree and sizes allow 0.75.
 
     All outsiders of a cell are compared with all its members; what leaves is documents, never pairs.
     """
-    rows = cells.join(tokens.select("id", "low"), "id")
+    rows = work.narrow(cells.join(tokens.select("id", "low"), "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _groups(batches):
@@ -336,14 +339,14 @@ def _alike(cells: DataFrame, tokens: DataFrame) -> DataFrame:
 
     kind = id_type(cells, "id")
     columns = ["node", "cell", "id", "n", "component", "outside", "member"]
-    return _by_cell(rows.select(*columns, "low")).mapInArrow(
+    return _by_cell(rows.select(*columns, "low"), work).mapInArrow(
         run, f"node long, cell int, id {kind}, n long, component {kind}, outside boolean, member boolean"
     )
 
 
-def _compared(alike: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(alike: DataFrame, sets: DataFrame, work: Scratch) -> DataFrame:
     """The links (``a``, ``b``) between components that the full sets of a cell's documents confirm, as many as join what belongs together."""
-    rows = alike.join(sets.select("id", "shingles"), "id")
+    rows = work.narrow(alike.join(sets.select("id", "shingles"), "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _groups(batches):
@@ -374,7 +377,7 @@ def _compared(alike: DataFrame, sets: DataFrame) -> DataFrame:
 
     kind = id_type(alike, "id")
     columns = ["node", "cell", "id", "component", "outside", "member", "shingles"]
-    return _by_cell(rows.select(*columns)).mapInArrow(run, f"a {kind}, b {kind}")
+    return _by_cell(rows.select(*columns), work).mapInArrow(run, f"a {kind}, b {kind}")
 
 
 class _Links:
@@ -437,16 +440,16 @@ def link_classes(docs: DataFrame, classes: DataFrame, work: Scratch) -> DataFram
             F.min("least").alias("x"), F.max("least").alias("y")
         )
         stars = ends.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("a"), "b")
-        stars = work.store(_agree(stars, tokens), "stars")
+        stars = work.store(_agree(stars, tokens, work), "stars")
         if not stars.isEmpty():
             sets = links.with_sets(stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))))
-            if links.add(_confirm(stars, sets)):
+            if links.add(_confirm(stars, sets, work)):
                 before, rows = rows, _counted(links.placed(rows), work)
                 work.drop(before)
         work.drop(stars)
         small = _is_small() if depth < ROUNDS else F.lit(True)
-        alike = work.store(_alike(_cells(rows.where(small)), tokens), "alike")
-        joined = not alike.isEmpty() and links.add(_compared(alike, links.with_sets(alike.select("id"))))
+        alike = work.store(_alike(_cells(rows.where(small)), tokens, work), "alike")
+        joined = not alike.isEmpty() and links.add(_compared(alike, links.with_sets(alike.select("id")), work))
         work.drop(alike)
         held, rows = rows, rows.where(~small)
         if joined:
@@ -457,7 +460,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, work: Scratch) -> DataFram
             break
         if links.paths is None:  # what is in large nodes later is in large nodes now
             links.paths = work.store(_sets(docs, rows.select("id").distinct()).dropDuplicates(["id", "n", "shingles"]), "path-sets")
-        rows = work.store(_branch(rows, links.paths, depth + 1), "branches")
+        rows = work.store(_branch(rows, links.paths, depth + 1, work), "branches")
         work.drop(held)
     return links.found
 
@@ -478,17 +481,19 @@ def _low_bytes(tokens: object) -> object:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Of each row: ``doc_id``, the hash of its text, ``n_shingles``, ``component_id``, ``kept``."""
     with Scratch(docs.sparkSession, "near-dedup") as work:
-        return materialise(_judged(docs, work), "near-duplicates")
+        return materialise(work.narrow(_judged(docs, work)), "near-duplicates")
 
 
 def _judged(docs: DataFrame, work: Scratch) -> DataFrame:
     own = work.store(sketches(docs), "sketches")
+    # Most steps hold few rows a document: with fewer documents than fill the session's partitions, tasks and files would be next to empty.
+    work.tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(own.count() / A_TASK))
     real = own.where("n > 0 and doc_id is not null")
     # The class's smallest doc_id stands for it.
     heads = work.store(real.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
     several = heads.withColumnRenamed("key", "__key")
     classes = (
-        real.join(several, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("__key")))
+        work.narrow(real.join(several, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("__key"))))
         .select("id", "n", "tokens", "nodes")
         .dropDuplicates(["id", "n", "tokens"])
         .select("id", "n", _low_bytes(F.col("tokens")).alias("low"), "nodes")

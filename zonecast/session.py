@@ -98,10 +98,14 @@ class Scratch:
 
     What leaves the block must be stored outside it first (``materialise``). Until then every table stays, so a
     lost executor finds all it needs to go on.
+
+    ``tasks``, when set, is how many tasks a step takes, and how many files a table has, at most: as many as its rows ask for, where
+    the session's shuffle partitions are more than that.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root = spark, scratch_path(spark, name)
+        self.tasks: int | None = None
         self._tables: dict[int, tuple[DataFrame, str]] = {}
 
     def __enter__(self) -> Scratch:
@@ -111,10 +115,14 @@ class Scratch:
         self._tables.clear()
         remove(self.spark, self.root)
 
+    def narrow(self, df: DataFrame) -> DataFrame:
+        """The same rows in ``tasks`` partitions at most, without a shuffle; for what is shuffled anew, mapped or written next."""
+        return df if self.tasks is None else df.coalesce(self.tasks)
+
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table to the folder and read it back."""
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"
-        stored = _written(df, path)
+        stored = _written(self.narrow(df), path)
         self._tables[id(stored)] = (stored, path)
         return stored
 
